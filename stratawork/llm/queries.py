@@ -24,6 +24,24 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.warc import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "pages")).drop("url")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.token_files import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=1)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.packing import pack_documents
+
+    return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=0)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.quality_rules import apply_rules
 
@@ -32,7 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op7_best_fit_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -13,14 +13,14 @@ from stratawork.llm.support import prepare, slim
 
 #: Characters of a chunk, and of the first overlap of two chunks, of a huge document.
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 8
-#: Words whose ids a worker keeps; at the bound it starts anew.
+#: Words, and parts of words, whose ids a worker keeps.
 KEPT_WORDS = 400_000
 
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same split for characters below U+0250, where Python's classes differ only in these numerals.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
 #: Characters whose folding or white space the two libraries might see differently.
-_ODD = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\xadİ]|[^\x00-ɏ]")
+_ODD = re.compile("[^\x09-\x0d\x20-\x7e\xa1-\xac\xae-įı-ɏ]")
 
 
 def _byte_table() -> dict[int, int]:
@@ -31,17 +31,25 @@ def _byte_table() -> dict[int, int]:
 
 
 class _Memo(dict):
-    """A bounded dictionary that works out what it lacks."""
+    """A bounded dictionary that works out what it lacks.
+
+    When full it keeps what came first, which holds most of the frequent keys,
+    and starts anew after four times the bound of misses, as other texts came.
+    """
 
     def __init__(self, find: Callable, bound: int):
         super().__init__()
-        self.find, self.bound = find, bound
+        self.find, self.bound, self.missed = find, bound, 0
 
     def __missing__(self, key):
         value = self.find(key)
-        if len(self) >= self.bound:
-            self.clear()
-        self[key] = value
+        if len(self) < self.bound:
+            self[key] = value
+        else:
+            self.missed += 1
+            if self.missed > 4 * self.bound:
+                self.clear()
+                self.missed = 0
         return value
 
 
