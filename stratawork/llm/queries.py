@@ -42,6 +42,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=0)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.quality_rules import apply_rules
 
@@ -50,7 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op7_best_fit_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op7_best_fit_packing, op8_jaccard_join, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
