@@ -36,6 +36,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=1)
 
 
+def op5_pq_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.vector_links import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.packing import pack_documents
 
@@ -56,7 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op7_best_fit_packing, op8_jaccard_join, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op5_pq_near_vectors, op7_best_fit_packing, op8_jaccard_join, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
