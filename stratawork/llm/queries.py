@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratawork.llm.support import prepare
 from stratawork.session import read_table
@@ -30,6 +31,15 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "pages")).drop("url")
 
 
+def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.language_id import held_out, predict, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    prepare(spark)
+    trees = train(docs.filter(~held_out(F.col("doc_id"), 4, 2)))
+    return predict(docs, trees).select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.token_files import round_trip
 
@@ -54,6 +64,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.language_id import held_out
+    from stratawork.llm.quality_classifier import score, train
+
+    docs, out = read_table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 3, 1)
+    model = train(docs, read_table(spark, sf_dir, "labels"), ~out)
+    return score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.quality_rules import apply_rules
 
@@ -62,7 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op4_token_files, op5_pq_near_vectors, op7_best_fit_packing, op8_jaccard_join, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
