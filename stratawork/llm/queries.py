@@ -52,6 +52,12 @@ def op5_pq_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op6_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.pieces import piece_digests
+
+    return piece_digests(read_table(spark, sf_dir, "documents"), vocabulary(PIECE_BPE))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.packing import pack_documents
 
@@ -81,7 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op6_piece_viterbi, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -112,7 +112,7 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     return joined.select("uri", "nth", "page_id", "payload_bytes", "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"))
 
 
-def rewrite_archives(resolved: DataFrame, root: str) -> DataFrame:
+def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame:
     """Deduplicated archives with fresh headers: revisits lose their payload and name what they refer to; gives (uri, records).
 
     Each archive is read in order beside its records' verdicts, which come to
@@ -138,7 +138,8 @@ def rewrite_archives(resolved: DataFrame, root: str) -> DataFrame:
         write_file(target, b"".join(out))
         return pa.table({"uri": pa.array([target], pa.string()), "records": pa.array([len(out)], pa.int64())})
 
-    return resolved.select("uri", "nth", "revisit", "refers_to").groupBy("uri").applyInArrow(run, "uri string, records bigint")
+    # as many partitions as archives: their headers are few bytes, but each stands for a whole archive's work
+    return resolved.select("uri", "nth", "revisit", "refers_to").repartition(max(1, archives), "uri").groupBy("uri").applyInArrow(run, "uri string, records bigint")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
@@ -167,7 +168,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
 
-    return manifest.select("uri").repartition(F.col("uri")).mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string")
+    return manifest.select("uri").repartition(max(1, manifest.count())).mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string")
 
 
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -179,6 +180,6 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT, id_col: str = "pa
     """
     scratch = Scratch(pages.sparkSession, "warc")
     headers = scratch.table("headers", write_archives(pages, scratch.path("raw"), id_col, url_col, html_col))
-    manifest = scratch.table("manifest", rewrite_archives(resolve(headers, min_bytes), scratch.path("final")))
+    manifest = scratch.table("manifest", rewrite_archives(resolve(headers, min_bytes), scratch.path("final"), headers.select("uri").distinct().count()))
     scratch.drop("raw", "headers")
     return read_archives(manifest).withColumnRenamed("page_id", id_col)
