@@ -197,15 +197,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     word-less texts have 0 shingles and link with nothing. Equal sets are one
     class under its smallest id and links are sought between classes only;
     component_id is the smallest id reachable. A repeated id is one node, each
-    of its rows is returned. Ids are integers, not null.
+    of its rows is returned. A null id links with nothing and has no component.
     """
     scratch = Scratch(df.sparkSession, "jaccard")
     docs = slim(df, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
     sk = scratch.table("sketches", sketched(docs))
-    classes = scratch.table("classes", sk.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")))
+    classes = scratch.table("classes", sk.filter("n > 0 and id is not null").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep")))
     found = links(scratch, docs, sk, classes)
     comp = components(scratch, found, "all")
     reached = scratch.table("reached", classes.join(comp, classes["rep"] == comp["id"], "left").select("n", "k1", "k2", F.coalesce("component", "rep").alias("component_id")))
     own = sk.select("id", "n", "k1", "k2")
     out = own.join(reached, ["n", "k1", "k2"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))

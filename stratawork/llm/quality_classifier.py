@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratawork.llm.quality_rules import measures
+from stratawork.llm.quality_rules import measures, only
 from stratawork.llm.support import prepare
 
 STATISTICS = ("n_words", "mean_word_length", "symbols_per_word", "stop_word_ratio", "letter_ratio", "upper_ratio", "dup_line_ratio", "repeat_word_ratio")
@@ -142,8 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
     picked = known.filter(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "id")
-    rows = rows.select(F.struct("id", "y").alias("k"), "text")
-    got = measures(rows, "k", "text").select("id.id", "id.y", *STATISTICS).toArrow().sort_by([("id", "ascending"), ("y", "ascending"), *((s, "ascending") for s in STATISTICS)])
+    got = measures(rows, ["id", "y"], "text").select(F.col("c0").alias("id"), F.col("c1").alias("y"), *STATISTICS).toArrow().sort_by([("id", "ascending"), ("y", "ascending"), *((s, "ascending") for s in STATISTICS)])
     x = np.column_stack([np.array(got.column(s).to_pylist(), float) for s in STATISTICS]) if got.num_rows else np.zeros((0, len(STATISTICS)))
     return fit(x, np.array(got.column("y").to_pylist(), float))
 
@@ -153,11 +152,10 @@ def score(df: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: str
 
     Statistics and rules are column expressions: one narrow projection.
     """
-    s = measures(df, id_col, text_col).select(F.col("id").alias(id_col), model.column().alias("score"))
+    s = measures(df, [id_col], text_col).select(F.col("c0").alias(id_col), model.column().alias("score"))
     return s.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def scored_rows(df: DataFrame, model: RuleModel, text_col: str = "text", name: str = "score") -> DataFrame:
-    """The rows of ``df`` with all their columns and the score as one more."""
-    keep = df.withColumn("__row", F.struct(*(F.col(f"`{c}`") for c in df.columns)))
-    return measures(keep, "__row", text_col).select("id.*", model.column().alias(name))
+def good_documents(df: DataFrame, model: RuleModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The documents with a score of ``least`` or more, with all their columns, in one narrow pass."""
+    return only(measures(df, df.columns, text_col), df.columns, model.column() >= least)

@@ -46,8 +46,8 @@ def _at(c: Column | str, i: Column) -> Column:
     return F.get(F.col(c) if isinstance(c, str) else c, i)
 
 
-def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document with its counts and ratios, by DataFrame functions alone.
+def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFrame:
+    """One row a document, with the columns ``kept`` as c0, c1 and on, its counts and its ratios, by DataFrame functions alone.
 
     Words found in 3-word windows that occur twice: a window's hash with its
     place in the low bits is sorted as a plain long array, equal neighbours
@@ -55,9 +55,10 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     (sorted with their places), so long texts cost n log n. Null text is
     empty. Every count is of the whole text.
     """
-    t = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    own = [f"c{i}" for i in range(len(kept))]
+    t = df.select(*(F.col(f"`{c}`").alias(o) for c, o in zip(kept, own, strict=True)), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
     t = t.select(
-        "id",
+        *own,
         F.array_remove(F.split("t", f"[{SPACE}]+"), "").alias("w"),
         F.filter(F.split("t", "\n", -1), lambda x: x.rlike(f"[^{SPACE}]")).alias("lines"),
         F.length(F.regexp_replace("t", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -90,7 +91,7 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     gaps = F.zip_with(F.slice("d", 1, F.greatest(F.size("d") - 1, F.lit(0))), F.slice("d", 2, F.greatest(F.size("d") - 1, F.lit(0))), lambda a, b: F.least(b - a, F.lit(3)))
     covered = F.when(F.size("d") > 0, F.aggregate(gaps, F.lit(3), lambda s, x: s + x)).otherwise(F.lit(0))
     return t.select(
-        "id",
+        *own,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -132,18 +133,27 @@ def apply_rules(df: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, i
     id gives a row each time; ids may be null. A narrow projection: no
     shuffle, no Python.
     """
-    out = measures(df, id_col, text_col)
+    out = measures(df, [id_col], text_col)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.col("c0").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & compiled(thresholds)).alias("kept"),
         "mean_word_length", "symbols_per_word", "stop_word_ratio", "letter_ratio", "upper_ratio", "dup_line_ratio",
     )
 
 
-def verdicts(df: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, text_col: str = "text", name: str = "kept") -> DataFrame:
-    """The rows of ``df`` with all their columns and the verdict as one more column, in the same narrow pass."""
-    keep = df.withColumn("__row", F.struct(*(F.col(f"`{c}`") for c in df.columns)))
-    out = measures(keep, "__row", text_col)
+def only(rows: DataFrame, columns: list[str], keep: Column) -> DataFrame:
+    """The rows of ``measures`` for which ``keep`` holds, with their kept columns under their own names.
+
+    A plain filter would be pushed below the projections with every statistic
+    written out anew at each use; a generator of one row or none stays here.
+    """
+    held = rows.select(*(F.col(f"c{i}") for i in range(len(columns))), keep.alias("__keep"))
+    out = held.select(*(F.col(f"c{i}") for i in range(len(columns))), F.explode(F.when(F.col("__keep"), F.array(F.lit(1)))).alias("__one"))
+    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
+
+
+def kept_documents(df: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, text_col: str = "text") -> DataFrame:
+    """The documents that ``apply_rules`` keeps, with all their columns, in the same narrow pass."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.select("id.*", (~failed & compiled(thresholds)).alias(name))
+    return only(measures(df, df.columns, text_col), df.columns, ~failed & compiled(thresholds))

@@ -30,7 +30,7 @@ def _byte_table() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(rest)}
 
 
-class _Memo(dict):
+class Memo(dict):
     """A bounded dictionary that works out what it lacks.
 
     When full it keeps what came first, which holds most of the frequent keys,
@@ -82,8 +82,8 @@ class Encoder:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.table = _byte_table()
-        self.pieces = _Memo(self._piece, KEPT_WORDS)
-        self.words = _Memo(self._word, KEPT_WORDS)
+        self.pieces = Memo(self._piece, KEPT_WORDS)
+        self.words = Memo(self._word, KEPT_WORDS)
 
     def _piece(self, piece: str) -> bytes:
         text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
