@@ -48,11 +48,19 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def encode_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[np.ndarray, bytes]:
-    """(block starts in bytes, one more than blocks; body) of unsigned 32-bit ids; the last block is padded with its last id."""
+def encode_blocks(ids: np.ndarray, percentile: int = PERCENTILE, stretch: int = 1 << 11) -> tuple[np.ndarray, bytes]:
+    """(block starts in bytes, one more than blocks; body) of unsigned 32-bit ids, ``stretch`` blocks at a time."""
+    starts, bodies = [np.zeros(1, np.uint64)], []
+    for at in range(0, len(ids), stretch * BLOCK):
+        s, body = _encode(ids[at : at + stretch * BLOCK], percentile)
+        starts.append(s[1:] + starts[-1][-1])
+        bodies.append(body)
+    return np.concatenate(starts), b"".join(bodies)
+
+
+def _encode(ids: np.ndarray, percentile: int) -> tuple[np.ndarray, bytes]:
+    """``encode_blocks`` of one stretch; the last block is padded with its last id."""
     n = len(ids)
-    if not n:
-        return np.zeros(1, np.uint64), b""
     blocks = -(-n // BLOCK)
     v = np.empty(blocks * BLOCK, np.uint64)
     v[:n], v[n:] = ids, ids[-1]
@@ -121,7 +129,7 @@ def file_bytes(doc_ids: list[int], counts: list[int], ids: bytes) -> bytes:
     return b"".join((head, np.asarray(doc_ids, "<i8").tobytes(), np.asarray(counts, "<u8").tobytes(), starts.astype("<u8").tobytes(), body))
 
 
-def read_documents(uri: str, window: int = 1 << 13):
+def read_documents(uri: str, window: int = 1 << 11):
     """(doc id, its ids) in file order; holds ``window`` blocks at a time besides the current document."""
     with open_reader(uri) as f:
         if f.read(4) != MAGIC:
@@ -195,12 +203,13 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, from the files alone.
 
     The manifest has one row a file of millions of tokens; the running sum of
-    their tokens is worked out over it in one window.
+    their tokens is worked out over it in one window, then each file is a task.
     """
     from pyspark.sql import Window
 
+    n = max(1, manifest.count())
     before = F.coalesce(F.sum("tokens").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.select("uri", before.alias("before"), "part", "file").repartition("part", "file").select("uri", "before")
+    files = manifest.select("uri", before.alias("before")).repartition(n)
 
     def run(batches):
         import pyarrow as pa
