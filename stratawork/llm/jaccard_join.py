@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from stratawork.llm.components import components
 from stratawork.llm.shingles import column_bytes, set_key, shingle_sets
 from stratawork.llm.sketches import JOINED_BLOCKS, SINGLE, bands, blocks
-from stratawork.llm.support import Scratch, slim
+from stratawork.llm.support import Scratch, if_small, slim
 
 #: Documents that may share a block before it counts as hot and is not paired up.
 HOT = 50
 #: Equal blocks that a linked pair of sampled sketches has but for odds under 1e-11 (mean 55 and deviation 6 at similarity 0.75).
 SAMPLED = 14
+#: Hot blocks by which a document that has little else is held against their first document.
+LEAD = 8
 #: Documents in one side of a comparison of those whose blocks are nearly all hot.
 GRID = 512
 
@@ -77,14 +79,17 @@ def _sized(a: Column, b: Column) -> Column:
 
 def links(scratch: Scratch, docs: DataFrame, sk: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) of the class representatives whose components are those of all links."""
-    reps = sk.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", F.explode("bands").alias("x")).select("id", "n", "x.band", F.col("x.keys").alias("keys"))
-    reps = scratch.table("reps", reps)
+    own, small = if_small(classes.select(F.col("rep").alias("id")))
+    reps = sk.join(own, "id", "left_semi").select("id", "n", F.explode("bands").alias("x")).select("id", "n", "x.band", F.col("x.keys").alias("keys"))
+    if not small:
+        reps = scratch.table("reps", reps)
     rows = reps.select("id", "n", "band", F.size("keys").cast("bigint").alias("ne"), F.explode("keys").alias("key"))
     shared = scratch.table("shared", rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"))
-    members = scratch.table("members", rows.join(shared, "key"))
+    members = scratch.table("members", rows.join(if_small(shared)[0], "key"))
     scratch.drop("shared")
 
-    hot = scratch.table("hot", members.filter(F.col("c") > HOT).groupBy("id", "band").agg(F.count("*").alias("h"), F.first("n").alias("n"), F.first("ne").alias("ne")))
+    lead = F.slice(F.sort_array(F.collect_list("key")), 1, LEAD).alias("lead")  # of a document's blocks, 128 at most
+    hot = scratch.table("hot", members.filter(F.col("c") > HOT).groupBy("id", "band").agg(F.count("*").alias("h"), F.first("n").alias("n"), F.first("ne").alias("ne"), lead))
     # pairs of a block that few share; counted over all blocks of the pair
     one = F.struct("id", "n", "ne")
     groups = members.filter(F.col("c") <= HOT).groupBy("key", "band").agg(F.sort_array(F.collect_list(one)).alias("g"))
@@ -104,25 +109,25 @@ def links(scratch: Scratch, docs: DataFrame, sk: DataFrame, classes: DataFrame)
     # documents that could share nothing but hot blocks with a linked one: first against the block's first, the rest by comparison
     least = F.least(F.floor(F.col("n") * 4 / 3), F.pow(F.lit(2), F.col("band") + 1).cast("bigint") - 1)
     fewest = F.when(F.pow(F.lit(2), F.col("band") + 1) <= SINGLE, F.ceil(F.col("n") * 3 / 4)).when(F.pow(F.lit(2), F.col("band")) <= JOINED_BLOCKS, F.col("ne") - F.floor((F.col("n") + least) / 7)).otherwise(F.lit(SAMPLED))
-    open_ = scratch.table("open", hot.filter(F.col("h") >= fewest).select("id", "band", "n", "ne"))
-    hot_rows = members.filter(F.col("c") > HOT).join(open_.select("id", "band"), ["id", "band"], "left_semi")
+    open_ = scratch.table("open", hot.filter(F.col("h") >= fewest))
+    hot_rows = scratch.table("led", open_.select("id", "n", F.explode("lead").alias("key")))
     leaders = scratch.table("leaders", hot_rows.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first")))
     first = hot_rows.join(leaders, "key").filter((F.col("id") > F.col("first.id")) & _sized(F.col("n"), F.col("first.n"))).select(F.col("first.id").alias("a"), F.col("id").alias("b"))
     candidates = scratch.table("candidates", found.union(first).distinct())
     verified = scratch.table("links", verify(scratch, docs, candidates, "sets"))
-    scratch.drop("members", "hot", "leaders", "candidates")
+    scratch.drop("members", "hot", "led", "leaders", "candidates", "sets")
     if open_.limit(1).count():
         comp = components(scratch, verified, "near")
         more = scratch.table("late", grid(scratch, reps, open_, comp))
         if more.limit(1).count():
             verified = verified.union(scratch.table("links2", verify(scratch, docs, more, "sets2")))
-    scratch.drop("reps", "open")
+    scratch.drop("reps", "open", "late", "sets2")
     return verified
 
 
 def verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs whose sets have 100 * intersection >= 75 * union, counted exactly on the whole sets."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ends, _ = if_small(scratch.table(f"{name}-ends", pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
     sets = scratch.table(name, hashed_sets(docs.join(ends, "id", "left_semi").select("id", "text")))
     out = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))

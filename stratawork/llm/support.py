@@ -78,6 +78,18 @@ class Scratch:
             delete(self.spark, self.path(name))
 
 
+#: Rows of two or three numbers up to which one side of a join is broadcast: some tens of MB.
+BROADCAST_ROWS = 1 << 20
+
+
+def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """A table of few narrow columns for a join: marked for broadcast if it is counted to be small, else left to a shuffle."""
+    from pyspark.sql import functions as F
+
+    small = df.count() <= rows
+    return (F.broadcast(df) if small else df), small
+
+
 def local_path(uri: str) -> str:
     return "/" + re.sub(r"^file:/*", "", uri)
 
