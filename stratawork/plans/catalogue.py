@@ -5,25 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from stratawork.session import read_table
+from stratawork.plans import inventory, messages, relational, timeline
 
-
-def dedup_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    order = [F.desc("source"), F.desc("n_chars"), F.asc("doc_id")]
-    key = F.sha2("text", 256)
-    ranked = docs.select(key.alias("content_key"), "doc_id", "source", "n_chars").withColumn("rn", F.row_number().over(W.partitionBy("content_key").orderBy(*order)))
-    return ranked.filter("rn = 1").drop("rn")
+_MODULES = (relational, messages, inventory, timeline)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"dedup_winner": dedup_winner}
+    return {k: f for m in _MODULES for k, (f, _) in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "dedup_winner": "select content_key, doc_id, source, n_chars from (select sha256(text) as content_key, doc_id, source, n_chars, row_number() over (partition by sha256(text) order by source desc, n_chars desc, doc_id) as rn from documents) where rn = 1"
-    }
+    return {k: sql for m in _MODULES for k, (_, sql) in m.QUERIES.items() if sql}
