@@ -92,7 +92,7 @@ def path_depth(path: Column) -> Column:
 
 
 def path_parent(path: Column) -> Column:
-    return F.substring_index(path, "/", F.size(F.split(path, "/")) - 1)
+    return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
 
 def ancestors(path: Column) -> Column:
