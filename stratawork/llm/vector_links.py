@@ -188,12 +188,13 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
     index of inverted lists and residual codes, fitted on a bounded sample,
     names candidates without loss inside a probed list; a link is missed only
     if neither end's probes (at most PROBES lists) hold the other. Every link
-    is reranked exactly. A repeated id is a vector of its own in the counts.
+    is reranked exactly. A repeated id is a vector of its own in the counts; a
+    null id links with nothing, has no component and is not kept.
     """
     scratch = Scratch(df.sparkSession, "vectors")
     rows = slim(df, id=id_col, v=vector_col, label=label_col).select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<float>").alias("v"), F.col("label").cast("string").alias("label"))
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    good = F.col("label").isNotNull() & F.coalesce(F.forall("v", number) & F.exists("v", lambda x: x != 0), F.lit(False))
+    good = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.forall("v", number) & F.exists("v", lambda x: x != 0), F.lit(False))
     reps = scratch.table("reps", rows.filter(good).groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select("id", "copies", "label", "v"))
     found = scratch.table("found", linked(scratch, reps, threshold))
     comp = components(scratch, found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -202,4 +203,4 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
     scratch.drop("placed", "sizes", "found", "reps")
     out = rows.withColumn("own", F.when(good, F.col("label"))).join(done.withColumnRenamed("label", "own"), ["own", "v"], "left")
     comp_id = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), comp_id.alias("component_id"), (F.col("id") == comp_id).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), comp_id.alias("component_id"), F.coalesce(F.col("id") == comp_id, F.lit(False)).alias("kept"))

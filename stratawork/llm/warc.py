@@ -100,12 +100,12 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
 
     Digests are counted with partial aggregates, so a digest that a third of
     all records share is summed where it lies; only digests found more than
-    once come to the join, whose hot keys are split at run time. Of records
-    with the same smallest page_id the first (by archive and place) is the
+    once come to the join, whose hot keys are split at run time. Null ids come
+    last; of records with the same smallest page_id the first (by archive and place) is the
     response.
     """
     big = headers.filter(F.col("payload_bytes") >= min_bytes)
-    first = big.groupBy("payload_digest").agg(F.min(F.struct("page_id", "uri", "nth")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "first")
+    first = big.groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "uri", "nth")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "first")
     joined = headers.join(first, "payload_digest", "left")
     own = (F.col("first.uri") == F.col("uri")) & (F.col("first.nth") == F.col("nth"))
     revisit = (F.col("payload_bytes") >= min_bytes) & F.col("first").isNotNull() & ~own
