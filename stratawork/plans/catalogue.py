@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratawork.plans import inventory, messages, relational, timeline
+from stratawork.plans import extras, inventory, messages, relational, timeline
 
-_MODULES = (relational, messages, inventory, timeline)
+_MODULES = (relational, messages, inventory, timeline, extras)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
