@@ -10,11 +10,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratawork.llm.support import Scratch, open_reader, slim, write_file
+from stratawork.llm.support import Scratch, if_small, open_reader, slim, write_file
 
 #: Equal payloads from this size on are revisits; payload bytes after which an archive is closed.
 MIN_REVISIT, ARCHIVE_BYTES = 100, 1 << 23
 LEVEL = 3
+#: Repeated digests up to which they are broadcast.
+SMALL = 1 << 16
 CAPTURED = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMESPACE = uuid.UUID("6f3f1d0e-58a1-4f0c-9a63-0c9a4d1c7b11")
@@ -95,7 +97,7 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     return rows.mapInArrow(run, "uri string, nth bigint, page_id bigint, payload_bytes bigint, payload_digest string")
 
 
-def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
+def resolve(scratch: Scratch, headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """``headers`` with refers_to: the smallest page_id of equal payloads, where another page has it.
 
     Digests are counted with partial aggregates, so a digest that a third of
@@ -106,6 +108,8 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """
     big = headers.filter(F.col("payload_bytes") >= min_bytes)
     first = big.groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "uri", "nth")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "first")
+    # as a table of its own, both sides of the join are plain shuffles, whose hot partitions are split
+    first, _ = if_small(scratch.table("first", first), SMALL)
     joined = headers.join(first, "payload_digest", "left")
     own = (F.col("first.uri") == F.col("uri")) & (F.col("first.nth") == F.col("nth"))
     revisit = (F.col("payload_bytes") >= min_bytes) & F.col("first").isNotNull() & ~own
@@ -180,6 +184,6 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT, id_col: str = "pa
     """
     scratch = Scratch(pages.sparkSession, "warc")
     headers = scratch.table("headers", write_archives(pages, scratch.path("raw"), id_col, url_col, html_col))
-    manifest = scratch.table("manifest", rewrite_archives(resolve(headers, min_bytes), scratch.path("final"), headers.select("uri").distinct().count()))
-    scratch.drop("raw", "headers")
+    manifest = scratch.table("manifest", rewrite_archives(resolve(scratch, headers, min_bytes), scratch.path("final"), headers.select("uri").distinct().count()))
+    scratch.drop("raw", "headers", "first")
     return read_archives(manifest).withColumnRenamed("page_id", id_col)
