@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratawork.llm import jaccard_join, packing, quality_classifier, quality_rules
 from stratawork.llm.language_id import held_out
 from stratawork.llm.queries import WORD_BPE, vocabulary
-from stratawork.llm.support import Scratch, prepare
+from stratawork.llm.support import Scratch, if_small, prepare
 from stratawork.session import read_table
 
 
@@ -30,7 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat an id are one document: the one of the smallest text hash stays.
     """
     comp = jaccard_join.jaccard_components(docs)
-    out = docs.join(comp.filter("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti")
+    gone = Scratch(spark, "copies").table("gone", comp.filter("component_id <> doc_id").select("doc_id").distinct())
+    out = docs.join(if_small(gone)[0], "doc_id", "left_anti")  # few enough ids go to the texts, not the texts to them
     if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
         first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
         out = out.withColumn("__first", first).filter("doc_id is null or __first = 1").drop("__first")
