@@ -91,4 +91,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from stratawork.llm.oracle import statements
+
+    return statements()
