@@ -13,10 +13,10 @@ from stratawork.llm.support import Scratch, if_small, slim
 
 #: Documents that may share a block before it counts as hot and is not paired up.
 HOT = 50
-#: Equal blocks that a linked pair of sampled sketches has but for odds under 1e-11 (mean 55 and deviation 6 at similarity 0.75).
-SAMPLED = 14
+#: Equal blocks that a linked pair of sampled sketches has but for odds under 1e-10 (mean 55 and deviation 6 at similarity 0.75).
+SAMPLED = 18
 #: Hot blocks by which a document that has little else is held against their first document.
-LEAD = 8
+LEAD = 4
 #: Documents in one side of a comparison of those whose blocks are nearly all hot.
 GRID = 512
 
@@ -87,9 +87,14 @@ def links(scratch: Scratch, docs: DataFrame, sk: DataFrame, classes: DataFrame)
     shared = scratch.table("shared", rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"))
     members = scratch.table("members", rows.join(if_small(shared)[0], "key"))
     scratch.drop("shared")
+    scratch.sweep()
 
     lead = F.slice(F.sort_array(F.collect_list("key")), 1, LEAD).alias("lead")  # of a document's blocks, 128 at most
     hot = scratch.table("hot", members.filter(F.col("c") > HOT).groupBy("id", "band").agg(F.count("*").alias("h"), F.first("n").alias("n"), F.first("ne").alias("ne"), lead))
+    # open documents could share nothing but hot blocks with a linked one
+    least = F.least(F.floor(F.col("n") * 4 / 3), F.pow(F.lit(2), F.col("band") + 1).cast("bigint") - 1)
+    fewest = F.when(F.pow(F.lit(2), F.col("band") + 1) <= SINGLE, F.ceil(F.col("n") * 3 / 4)).when(F.pow(F.lit(2), F.col("band")) <= JOINED_BLOCKS, F.col("ne") - F.floor((F.col("n") + least) / 7)).otherwise(F.lit(SAMPLED))
+    open_ = scratch.table("open", hot.filter(F.col("h") >= fewest))
     # pairs of a block that few share; counted over all blocks of the pair
     one = F.struct("id", "n", "ne")
     groups = members.filter(F.col("c") <= HOT).groupBy("key", "band").agg(F.sort_array(F.collect_list(one)).alias("g"))
@@ -101,21 +106,21 @@ def links(scratch: Scratch, docs: DataFrame, sk: DataFrame, classes: DataFrame)
         .groupBy("a", "b", "band")
         .agg(F.count("*").alias("eq"), *(F.first(c).alias(c) for c in ("na", "nb", "ea", "eb")))
     )
-    heat = lambda end: hot.select(F.col("id").alias(end), "band", F.col("h").alias(f"h{end}"))
+    heat = lambda end: hot.select(F.col("id").alias(end), "band", F.col("h").alias(f"h{end}"), (F.col("h") >= fewest).alias(f"open{end}"))
     pairs = pairs.join(heat("a"), ["a", "band"], "left").join(heat("b"), ["b", "band"], "left")
     most = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+    # two open ones are left to what comes below, which has all their blocks
+    pairs = pairs.filter(~(F.coalesce("opena", F.lit(False)) & F.coalesce("openb", F.lit(False))))
     found = pairs.filter(F.col("eq") + most >= _needed(F.col("band"), F.col("na"), F.col("ea"), F.col("nb"), F.col("eb"))).select("a", "b")
 
-    # documents that could share nothing but hot blocks with a linked one: first against the block's first, the rest by comparison
-    least = F.least(F.floor(F.col("n") * 4 / 3), F.pow(F.lit(2), F.col("band") + 1).cast("bigint") - 1)
-    fewest = F.when(F.pow(F.lit(2), F.col("band") + 1) <= SINGLE, F.ceil(F.col("n") * 3 / 4)).when(F.pow(F.lit(2), F.col("band")) <= JOINED_BLOCKS, F.col("ne") - F.floor((F.col("n") + least) / 7)).otherwise(F.lit(SAMPLED))
-    open_ = scratch.table("open", hot.filter(F.col("h") >= fewest))
+    # open ones: first each against the first of some of its blocks, then by comparison
     hot_rows = scratch.table("led", open_.select("id", "n", F.explode("lead").alias("key")))
     leaders = scratch.table("leaders", hot_rows.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first")))
     first = hot_rows.join(leaders, "key").filter((F.col("id") > F.col("first.id")) & _sized(F.col("n"), F.col("first.n"))).select(F.col("first.id").alias("a"), F.col("id").alias("b"))
     candidates = scratch.table("candidates", found.union(first).distinct())
     verified = scratch.table("links", verify(scratch, docs, candidates, "sets"))
     scratch.drop("members", "hot", "led", "leaders", "candidates", "sets")
+    scratch.sweep()
     if open_.limit(1).count():
         comp = components(scratch, verified, "near")
         more = scratch.table("late", grid(scratch, reps, open_, comp))
@@ -129,7 +134,8 @@ def verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, name: str) -> Da
     """The pairs whose sets have 100 * intersection >= 75 * union, counted exactly on the whole sets."""
     ends, _ = if_small(scratch.table(f"{name}-ends", pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
     sets = scratch.table(name, hashed_sets(docs.join(ends, "id", "left_semi").select("id", "text")))
-    out = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    # pairs of ids go to the sets where they are few enough; each set then goes once to each of its pairs
+    out = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(if_small(pairs)[0], "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     out = out.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     return out.filter(100 * F.col("i") >= 75 * (F.col("t") - F.col("i"))).select("a", "b")

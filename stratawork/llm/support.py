@@ -73,6 +73,13 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def sweep(self) -> None:
+        """Lets Spark's cleaner find the shuffle files that no table needs any more, which it does when the driver collects its garbage."""
+        import gc
+
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for name in names:
             delete(self.spark, self.path(name))
