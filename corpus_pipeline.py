@@ -19,8 +19,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the rule ensemble scores 0.5 or more; it learns from labelled documents of its input that are not held out."""
-    model = quality_classifier.train(docs, read_table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"), 3, 1))
+    """The documents that the rule ensemble scores 0.5 or more; it learns from labelled rows of the whole table that are not held out, as its own input may hold one class alone."""
+    model = quality_classifier.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"), 3, 1))
     return quality_classifier.good_documents(docs, model)
 
 
