@@ -12,7 +12,7 @@ from stratawork.llm.support import prepare, slim
 from stratawork.llm.tokens import Memo
 
 #: Stretches of text, and pairs of pieces, that a worker keeps.
-KEPT = 300_000
+KEPT = 500_000
 MARK = "▁"
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
@@ -54,7 +54,7 @@ class PieceModel:
     the best sum of scores wins, which is Viterbi. A byte-pair model defines
     its result by merges, not by a sum, so there a piece is admitted at a
     place if merging leaves it beside the last piece of the prefix before it
-    (``_beside``); exactly one is, and what is found is the library's result.
+    (``_admitted``); exactly one is, and what is found is the library's result.
     Pieces hold the space mark at their start only, so stretches between marks
     are independent and each is worked out once and kept.
     """
@@ -85,42 +85,48 @@ class PieceModel:
             self.auto.add_word(p, (i, len(p)))
         self.auto.make_automaton()
         self.lost = min((self.score[i] for i in plain), default=0.0) - 10
-        self.kept: dict[str, tuple[int, ...]] = Memo(lambda part: tuple(self._stretch(part)), KEPT)
+        self.kept: dict[str, bytes] = Memo(self._kept, KEPT)
         self.pairs: dict[tuple[int, int], bool] = Memo(self._admitted, KEPT)
+        self.lossy: set[str] = set()  # stretches that do not come back
 
     # -- encoding ---------------------------------------------------------
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; null and empty are none."""
+        return array("I", self.encoded(text)[0]).tolist()
+
+    def encoded(self, text: str | None) -> tuple[bytes, bool]:
+        """Ids as unsigned 32-bit integers, and whether decoding them gives the text back.
+
+        A stretch starts with a mark, which is no byte piece, so a text comes
+        back if its stretches do.
+        """
         if not text:
-            return []
+            return b"", True
         if not self.direct or "\0" in text:
-            return self.sp.encode(text)
-        s = text.replace(" ", MARK)
-        out: list[int] = []
-        kept = self.kept
-        for part in _STRETCH.findall((MARK if self.prefix else "") + s):
-            out += kept[part]
-        return out
+            ids = self.sp.encode(text)
+            return array("I", ids).tobytes(), self.decode(ids) == text.replace(MARK, " ")
+        parts = _STRETCH.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
+        ids = b"".join(map(self.kept.__getitem__, parts))
+        return ids, not self.lossy or self.lossy.isdisjoint(parts)
+
+    def _kept(self, part: str) -> bytes:
+        ids = self._stretch(part)
+        if self._text(ids) != part.replace(MARK, " "):
+            self.lossy.add(part)
+        return array("I", ids).tobytes()
 
     def _stretch(self, s: str) -> list[int]:
         if self.kind == BPE and s.startswith(MARK * 2):  # runs of marks share one score: ties go by place
             return self._spell(self._merged(s))
         n = len(s)
-        last: list[tuple[int, int] | None] = [None] * (n + 1)  # (id, length) of the piece that ends here
+        ids, sizes = [-1] * (n + 1), [0] * (n + 1)  # of the piece that ends at a place; size 0: a lacking character
         if self.kind == BPE:
-            known = 0  # places before it are settled: a lacking character is a piece of its own
-            for end, found in self._matches(s):
-                for i, size in found:
-                    start = end - size
-                    before = last[start]
-                    if start == 0 or (before is not None and self._beside(before[0], i)):
-                        last[end] = (i, size)
-                        break
-                else:
-                    last[end] = (-1, 1)
-                known = end
-            assert known == n
+            pairs = self.pairs
+            for end, (i, size) in self.auto.iter(s):  # places in order, at each the pieces that end there
+                end += 1
+                if not sizes[end] and (end == size or pairs[(ids[end - size], i)]):
+                    ids[end], sizes[end] = i, size
         else:
             best = [0.0] + [-1e300] * n
             for end, found in self._matches(s):
@@ -129,15 +135,15 @@ class PieceModel:
                     one |= size == 1
                     total = best[end - size] + self.score[i]
                     if total > best[end]:
-                        best[end], last[end] = total, (i, size)
+                        best[end], ids[end], sizes[end] = total, i, size
                 if not one and best[end - 1] + self.lost > best[end]:
-                    best[end], last[end] = best[end - 1] + self.lost, (-1, 1)
+                    best[end], ids[end], sizes[end] = best[end - 1] + self.lost, -1, 1
         out, at = [], n
         while at:
-            i, size = last[at]
-            out.append((i, at - size, at))
+            size = sizes[at] or 1
+            out.append((ids[at], s[at - size : at]))
             at -= size
-        return self._spell([(i, s[a:b]) for i, a, b in reversed(out)])
+        return self._spell(out[::-1])
 
     def _matches(self, s: str):
         """(end, pieces that end there) for every place, in order."""
@@ -152,14 +158,13 @@ class PieceModel:
             yield at, found
             at, found = at + 1, []
 
-    def _beside(self, a: int, b: int) -> bool:
-        """Whether merging leaves piece ``a`` and then piece ``b`` of their joined text; a lacking character joins nothing."""
-        return self.pairs[(a, b)]
-
     def _admitted(self, pair: tuple[int, int]) -> bool:
+        """Whether merging leaves piece ``a`` and then piece ``b`` of their joined text; a lacking character (-1) joins nothing."""
         a, b = pair
         if a < 0:
             return len(self._merged(self.piece[b])) == 1
+        if self.piece[a] + self.piece[b] in self.id:
+            return False
         return [i for i, _ in self._merged(self.piece[a] + self.piece[b])] == [a, b]
 
     def _merged(self, s: str) -> list[tuple[int, str]]:
@@ -192,6 +197,10 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: runs of bytes as UTF-8, marks as spaces, the added first space gone."""
+        text = self._text(ids)
+        return text[1:] if self.prefix and text.startswith(" ") else text
+
+    def _text(self, ids: list[int]) -> str:
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -205,8 +214,7 @@ class PieceModel:
             out.append(" ⁇ " if i == self.unk else "" if self.sp.is_control(i) else self.piece[i].replace(MARK, " "))
         if run:
             out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return "".join(out)
 
 
 _models: dict[str, PieceModel] = {}
@@ -267,8 +275,8 @@ def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             rows = []
             for text in b.column(1).to_pylist():
                 text = text or ""
-                ids = m.encode(text)
-                rows.append((len(text.encode()), len(ids), zlib.crc32(array("I", ids).tobytes()), m.decode(ids) == text.replace(MARK, " ")))
+                ids, back = m.encoded(text)
+                rows.append((len(text.encode()), len(ids) // 4, zlib.crc32(ids), back))
             cols = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_tokens", "ids_crc32", "round_trip"])
