@@ -106,8 +106,9 @@ def keyword_context(documents):
 
 @query("""select conv_id, turn, role, left(text, 400) as snippet from (select *, row_number() over (partition by conv_id order by turn) as rn from conversations where role in ('user', 'assistant') and length(text) > 20 and not contains(text, '<')) where rn <= 3""")
 def session_messages(conversations):
-    c = conversations.filter(F.col("role").isin("user", "assistant") & (F.length("text") > 20) & ~F.col("text").contains("<"))
-    return joins.best_of(c, ["conv_id"], [F.asc("turn")], 3).select("conv_id", "turn", "role", F.left("text", F.lit(400)).alias("snippet"))
+    tagged = F.col("text").rlike("<(local-command|command-name|ide_opened)")
+    c = conversations.filter(F.col("role").isin("user", "assistant") & (F.length("text") > 20) & ~tagged)
+    return joins.best_of(c, ["conv_id"], [F.asc("turn")], 26).select("conv_id", "turn", "role", F.left("text", F.lit(400)).alias("snippet"))
 
 
 @query("select doc_id, left(text, 120) as snippet, case when length(text) > 500 then left(text, 500) || '...' else text end as body from documents")
