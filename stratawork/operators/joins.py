@@ -40,20 +40,23 @@ def contained(df: DataFrame, text: str, words: list[str]) -> Column:
     return F.filter(F.array(*map(F.lit, words)), lambda k: low.contains(F.lower(k)))
 
 
-def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str, shingle: int = 3) -> DataFrame:
-    """(key, entity) for every alias that a text holds as a whole-word run.
-
-    Both sides are cut at white space; an alias is looked up by its first
-    ``shingle`` words, an equi join, and checked in full; shorter ones by the
-    words that they have.
+def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str) -> DataFrame:
+    """(key, entity) for every alias that a text holds as a substring, case aside.
+
+    Aliases, without the white space around them, are a table of bounded size
+    and broadcast. Where one occurs, the words inside it are whole words of
+    the text: it is looked up by the longest of these, an equi join, and
+    checked in full. One of fewer than three words has none and is checked
+    against every text.
     """
-    cut = lambda c: F.filter(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), r"\s+"), lambda x: x != "")
-    a = aliases.select(F.col(entity).alias("__e"), cut(alias).alias("__a")).filter(F.size("__a") > 0)
-    a = a.withColumn("__n", F.least(F.size("__a"), F.lit(shingle))).withColumn("__k", F.array_join(F.slice("__a", 1, shingle), " "))
-    t = texts.select(key, cut(text).alias("__t"))
-    keys = F.explode(F.transform(F.col("__t"), lambda x, i: F.struct(i.alias("i"), F.transform(F.sequence(F.lit(1), F.lit(shingle)), lambda n: F.array_join(F.slice(F.col("__t"), i + 1, n), " ")).alias("k"))))
-    rows = t.select(key, "__t", keys.alias("__x")).select(key, "__t", F.col("__x.i").alias("__i"), F.explode(F.array_distinct("__x.k")).alias("__k"))
-    found = rows.join(a, "__k").filter(F.slice("__t", F.col("__i") + 1, F.size("__a")) == F.col("__a"))
+    cut = lambda c: F.filter(F.split(c, r"\s+"), lambda x: x != "")
+    a = aliases.select(F.col(entity).alias("__e"), F.regexp_replace(F.lower(F.col(alias)), r"^\s+|\s+$", "").alias("__a")).filter("__a <> ''").withColumn("__w", cut(F.col("__a")))
+    inner = F.when(F.size("__w") > 2, F.slice("__w", 2, F.size("__w") - 2)).otherwise(F.array(F.lit("")))
+    longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("k"))))["k"]
+    a = a.select("__e", "__a", longest.alias("__k"))
+    t = texts.select(key, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
+    words = t.select(key, "__t", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), cut(F.col("__t"))))).alias("__k"))
+    found = words.join(F.broadcast(a), "__k").filter(F.contains("__t", "__a"))
     return found.select(key, F.col("__e").alias(entity)).distinct()
 
 

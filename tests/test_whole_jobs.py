@@ -24,3 +24,15 @@ def test_session_messages(run):
     texts = "case turn when 3 then 'x <local-command-stdout> and more text' when 4 then '<command-name>/clear and more text' when 5 then 'then <ide_opened_file> and more text' when 6 then 'short' else 'if a < b then <b>bold</b> ' || turn end"
     got = run("session_messages", conversations=f"select 1::bigint as conv_id, turn, case turn when 7 then 'system' else 'user' end as role, {texts} as text from range(40) t(turn)")
     assert sorted(r[1] for r in got) == [0, 1, 2, *range(8, 31)]
+
+
+def test_entity_hits(run):
+    documents = """(values (1, 'See "Acme Widget Works", and (ZED)s'), (2, 'superacme widget worksmanship'), (3, 'acme widgets works' || chr(10) || 'acme widget, works'), (4, 'a foo  bar'), (5, 'xfoo bars'), (6, null)) t(doc_id, text)"""
+    benchmark = """(values (10, ' Acme Widget Works '), (11, 'zed'), (12, 'FOO bar'), (13, '  '), (14, 'widget,'), (11, 'zed)')) t(item_id, text)"""
+    assert run("entity_hits", documents=f"from {documents}", benchmark=f"from {benchmark}") == [(1, 10), (1, 11), (2, 10), (3, 14), (5, 12)]
+
+
+def test_entity_hits_by_contains(spark):
+    d = "/root/testdata/sf0.001"
+    sql = f"select doc_id, item_id from '{d}/documents.parquet' d join '{d}/benchmark.parquet' b on contains(lower(d.text), lower(b.text))"
+    assert sorted(map(tuple, catalogue.queries()["entity_hits"](spark, d).collect())) == sorted(duckdb.sql(sql).fetchall())
