@@ -198,12 +198,12 @@ def upsert_policy(orders):
 
 @query("select doc_id, n_chars from documents where doc_id % 3 = 0 and doc_id not in (select doc_id from labels)")
 def incremental_new_only(documents, labels):
-    return U.incremental(labels.select("doc_id"), documents.filter("doc_id % 3 = 0").select("doc_id", "n_chars"), "doc_id", "incremental")
+    return U.incremental(labels.select("doc_id"), documents.select("doc_id", "n_chars"), "doc_id", "incremental")
 
 
 @query("select doc_id from labels union select doc_id from documents where doc_id % 3 = 0")
 def incremental_accumulate(documents, labels):
-    return U.incremental(labels.select("doc_id"), documents.filter("doc_id % 3 = 0").select("doc_id"), "doc_id", "accumulate")
+    return U.incremental(labels.select("doc_id"), documents.select("doc_id"), "doc_id", "accumulate")
 
 
 @query("select c_custkey, c_name from customer where c_custkey % 2 = 0 union all select c_custkey, c_name || '!' from customer where c_custkey % 3 = 0 and c_custkey % 2 <> 0")

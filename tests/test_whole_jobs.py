@@ -36,3 +36,9 @@ def test_entity_hits_by_contains(spark):
     d = "/root/testdata/sf0.001"
     sql = f"select doc_id, item_id from '{d}/documents.parquet' d join '{d}/benchmark.parquet' b on contains(lower(d.text), lower(b.text))"
     assert sorted(map(tuple, catalogue.queries()["entity_hits"](spark, d).collect())) == sorted(duckdb.sql(sql).fetchall())
+
+
+def test_incremental(run):
+    tables = {"documents": "select i as doc_id, i * 10 as n_chars from range(8) t(i)", "labels": "select unnest([2, 3, 20])::bigint as doc_id"}
+    assert run("incremental_new_only", **tables) == [(i, i * 10) for i in (0, 1, 4, 5, 6, 7)]
+    assert sorted(run("incremental_accumulate", **tables)) == [(i,) for i in (*range(8), 20)]
