@@ -42,7 +42,7 @@ def body_clean_native(documents):
 
 @query(f"select doc_id, length({_cut('\\n-{3,} ?Original Message ?-{3,}')}) as n from {_M} where doc_id % 17 = 0")
 def strip_original(documents):
-    return documents.filter("doc_id % 17 = 0").select("doc_id", F.length(mail.cut(marked(), mail.ORIGINAL)).cast("bigint").alias("n"))
+    return documents.select("doc_id", F.length(mail.cut(marked(), mail.ORIGINAL)).cast("bigint").alias("n"))
 
 
 @query(f"""select doc_id, case when doc_id % 7 = 0 then 'Y' else 'N' end as money, case when regexp_matches(t, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|(January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{{1,2}}, [0-9]{{4}}') then 'Y' else 'N' end as dates

@@ -42,3 +42,8 @@ def test_incremental(run):
     tables = {"documents": "select i as doc_id, i * 10 as n_chars from range(8) t(i)", "labels": "select unnest([2, 3, 20])::bigint as doc_id"}
     assert run("incremental_new_only", **tables) == [(i, i * 10) for i in (0, 1, 4, 5, 6, 7)]
     assert sorted(run("incremental_accumulate", **tables)) == [(i,) for i in (*range(8), 20)]
+
+
+def test_strip_original(run):
+    documents = "select * from (values (1, 'no boundary'), (2, 'kept' || chr(10) || '--- Original Message ---' || chr(10) || 'old'), (17, 'marked')) t(doc_id, text)"
+    assert run("strip_original", documents=documents) == [(1, 11), (17, 6), (2, 4)]
