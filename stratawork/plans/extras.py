@@ -61,19 +61,30 @@ def any_and_all(events):
 
 @query("select c_custkey, c_name, rn from (select c_custkey, c_name, row_number() over (order by lower(c_mktsegment), lower(c_name)) as rn from customer) where rn <= 25")
 def name_sort(customer):
-    top = customer.orderBy(F.lower("c_mktsegment"), F.lower("c_name")).limit(25)
-    return top.withColumn("rn", F.row_number().over(W.orderBy(F.lower("c_mktsegment"), F.lower("c_name")))).select("c_custkey", "c_name", F.col("rn").cast("bigint").alias("rn"))
+    order = ["segment", "name", "c_custkey"]
+    named = customer.select("c_custkey", "c_name", F.lower("c_mktsegment").alias("segment"), F.lower("c_name").alias("name"))
+    # kept, so that counting the partitions and numbering their rows see the same ones
+    ranged = named.repartitionByRange(*order).sortWithinPartitions(*order).select("c_custkey", "c_name", F.monotonically_increasing_id().alias("id")).persist()
+    part = F.shiftright("id", 33).alias("part")
+    sizes = ranged.groupBy(part).agg(F.count("*").alias("n"))
+    before = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rn = F.col("before") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return ranged.select("*", part).join(F.broadcast(before), "part").select("c_custkey", "c_name", rn.alias("rn"))
 
 
 @query("select s_suppkey, cast(regexp_extract(s_name, '([0-9]+)$', 1) as bigint) as n from supplier order by n desc limit 7")
 def numeric_suffix_sort(supplier):
-    return supplier.select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("bigint").alias("n")).orderBy(F.desc("n")).limit(7)
+    return supplier.select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("bigint").alias("n")).orderBy(F.desc("n"))
 
 
 @query("""select vec_id, profile, n from (select vec_id, label % 3 as profile, count(*) over (partition by label % 3) as n from embeddings where vec_id < 40) where n > 1""")
 def profile_conflicts(embeddings):
-    d = embeddings.filter("vec_id < 40").select("vec_id", (F.col("label") % 3).alias("profile"))
-    return d.join(d.groupBy("profile").agg(F.count("*").alias("n")).filter("n > 1"), "profile").select("vec_id", "profile", "n")
+    first = embeddings.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("pv"))
+    profiles = first.select(F.col("label").cast("string").alias("profile"), F.col("label").alias("ordinal"), "pv")
+    d = embeddings.select(F.struct("vec_id", "label").alias("k"), "embedding")
+    matched = joins.nearest_profile(d, "k", "embedding", profiles, 0.3).filter("profile <> 'Unknown'").select("profile", F.col("k.label").cast("string").alias("label")).distinct()
+    labels = F.array_sort(F.collect_list("label"))
+    return matched.groupBy("profile").agg(F.count("*").alias("n"), F.array_join(labels, ", ").alias("labels")).filter("n > 1")
 
 
 @query("select doc_id, sha256(text) || case when length(text) > 2000 then '_partial' else '' end as hash from (select doc_id, left(text, 2000) as text0, text from documents) where length(text) <= 2000 union all select doc_id, sha256(left(text, 2000)) || '_partial' from documents where length(text) > 2000")

@@ -47,3 +47,20 @@ def test_incremental(run):
 def test_strip_original(run):
     documents = "select * from (values (1, 'no boundary'), (2, 'kept' || chr(10) || '--- Original Message ---' || chr(10) || 'old'), (17, 'marked')) t(doc_id, text)"
     assert run("strip_original", documents=documents) == [(1, 11), (17, 6), (2, 4)]
+
+
+def test_profile_conflicts(run):
+    # the first vector of a label is its profile; vectors 101 and 102 of labels 1 and 10 are nearest to 0's, 103 to none
+    vectors = "(values (50, 0, [1, 0, 0]), (51, 1, [0, 1, 0]), (52, 10, [0, 0, 1]), (101, 1, [3, 1, 0]), (102, 10, [3, 0, 1]), (103, 10, [-1, -1, -1]), (104, 1, [3, 1, 1])) t(vec_id, label, v)"
+    embeddings = f"select vec_id::bigint as vec_id, label::bigint as label, v::float[] as embedding from {vectors}"
+    assert run("profile_conflicts", embeddings=embeddings) == [("0", 3, "0, 1, 10")]
+
+
+def test_name_sort(run):
+    customer = "select i as c_custkey, 'N' || (99999 - i) as c_name, case when i % 2 = 0 then 'A' else 'b' end as c_mktsegment from range(20000) t(i)"
+    got = sorted(run("name_sort", customer=customer), key=lambda r: r[2])
+    assert [r[0] for r in got] == [*range(19998, -1, -2), *range(19999, 0, -2)] and [r[2] for r in got] == list(range(1, 20001))
+
+
+def test_numeric_suffix_sort(run):
+    assert len(run("numeric_suffix_sort", supplier="select i as s_suppkey, 'S#' || i as s_name from range(30) t(i)")) == 30
