@@ -106,7 +106,7 @@ def page_density(conversations):
 @query("select conv_id, sum(length(text)) >= 100 as has_text_layer, min(case when length(text) < 100 then turn end) as first_low_page from conversations where turn < 5 group by 1")
 def text_layer(conversations):
     n = F.length("text")
-    return conversations.filter("turn < 5").groupBy("conv_id").agg((F.sum(n) >= 100).alias("has_text_layer"), F.min(F.when(n < 100, F.col("turn"))).alias("first_low_page"))
+    return conversations.groupBy("conv_id").agg((F.coalesce(F.sum(F.when(F.col("turn") < 5, n)), F.lit(0)) >= 100).alias("has_text_layer"), F.min(F.when(n < 100, F.col("turn"))).alias("first_low_page"))
 
 
 _COLS = "(select doc_id, left(text, 30) as c1, case when doc_id % 2 = 0 then left(text, 30) else left(text, 20) end as c2, case when doc_id % 3 = 0 then '' else left(text, 20) end as c3, case when doc_id % 5 = 0 then '' else left(text, 30) end as c4 from documents)"

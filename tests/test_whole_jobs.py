@@ -64,3 +64,8 @@ def test_name_sort(run):
 
 def test_numeric_suffix_sort(run):
     assert len(run("numeric_suffix_sort", supplier="select i as s_suppkey, 'S#' || i as s_name from range(30) t(i)")) == 30
+
+
+def test_text_layer(run):
+    conversations = "select conv_id, turn, repeat('x', n) as text from (values (1, 0, 100), (1, 6, 99), (1, 7, 5), (2, 4, 99), (2, 5, 500), (3, 8, 200)) t(conv_id, turn, n)"
+    assert run("text_layer", conversations=conversations) == [(1, True, 6), (2, False, 4), (3, False, None)]
