@@ -69,3 +69,8 @@ def test_numeric_suffix_sort(run):
 def test_text_layer(run):
     conversations = "select conv_id, turn, repeat('x', n) as text from (values (1, 0, 100), (1, 6, 99), (1, 7, 5), (2, 4, 99), (2, 5, 500), (3, 8, 200)) t(conv_id, turn, n)"
     assert run("text_layer", conversations=conversations) == [(1, True, 6), (2, False, 4), (3, False, None)]
+
+
+def test_money_dates(run):
+    documents = "select * from (values (1, 'ten Dollars'), (2, 'a recent percentage'), (3, 'USD 5 on 2024-01-02'), (4, '50 cents'), (7, 'amount added')) t(doc_id, text)"
+    assert run("money_dates", documents=documents) == [(1, "Y", "N"), (2, "N", "N"), (3, "Y", "Y"), (4, "Y", "N"), (7, "Y", "N")]
