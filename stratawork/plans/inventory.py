@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
-from stratawork.operators import joins, profile, rollup, rules
+from stratawork.operators import joins, mail, profile, rollup, rules
 from stratawork.plans.registry import MARKED_SQL, marked, registrar
 
 QUERIES, query = registrar()
@@ -113,9 +113,9 @@ _COLS = "(select doc_id, left(text, 30) as c1, case when doc_id % 2 = 0 then lef
 
 
 def _compared(documents):
-    t = lambda n: F.left("text", F.lit(n))
-    d = F.col("doc_id")
-    return documents.select("doc_id", t(30).alias("c1"), F.when(d % 2 == 0, t(30)).otherwise(t(20)).alias("c2"), F.when(d % 3 == 0, "").otherwise(t(20)).alias("c3"), F.when(d % 5 == 0, "").otherwise(t(30)).alias("c4"))
+    """The text, the marked text and two cleaned bodies, each whole."""
+    d = documents.select("doc_id", F.col("text").alias("c1"), marked().alias("c2"))
+    return d.select("*", mail.body_clean(mail.strip_method(F.lit(""), F.col("c2"), F.lit("")), F.col("c2")).alias("c3"), mail.cut(F.col("c2"), mail.ORIGINAL).alias("c4"))
 
 
 _CODE = f"""(select doc_id, m, concat(case when c1 = '' then 'E' when c1 = m then 'Y' else 'N' end, case when c2 = '' then 'E' when c2 = m then 'Y' else 'N' end, case when c3 = '' then 'E' when c3 = m then 'Y' else 'N' end, case when c4 = '' then 'E' when c4 = m then 'Y' else 'N' end) as code from
