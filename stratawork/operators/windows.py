@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stratawork.session import written
+
 
 def positions(df: DataFrame, by: list[str], order: list[str], at: str) -> DataFrame:
     """1-based position in the thread and whole seconds since the row before."""
@@ -36,16 +38,20 @@ def interruptions(df: DataFrame, by: list[str], order: list[str], speaker: str,
 def rollover(df: DataFrame, order: list[str], cap: int, existing: int = 0) -> DataFrame:
     """tab and row of each row in sinks of ``cap`` rows, of which the first holds ``existing`` already.
 
-    Rows are numbered without bringing all to one task: partitions sorted by
-    range are counted, and their small running sums are joined back.
+    Rows are numbered without bringing all to one task. They are sorted by
+    range and written once with their partition and place in it; both the
+    counting and the numbering read what was written, so they see the same
+    partitions whatever the planner or a lost executor does in between. The
+    running sums are one number a partition.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("__id"), 33)
-    local = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = ranged.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__l", place)
+    ranged = written(spark, ranged, "rollover")
+    sizes = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     before = sizes.select("__p", F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
-    n = ranged.withColumn("__p", part).withColumn("__l", local).join(F.broadcast(before), "__p").withColumn("__rn", F.col("__b") + F.col("__l") + existing)
-    return n.withColumn("tab", F.floor(F.col("__rn") / cap) + 1).withColumn("row_in_tab", F.col("__rn") % cap + 1).drop("__id", "__p", "__l", "__b", "__rn")
+    n = ranged.join(F.broadcast(before), "__p", "left").withColumn("__rn", F.col("__b") + F.col("__l") + existing)
+    return n.withColumn("tab", F.floor(F.col("__rn") / cap) + 1).withColumn("row_in_tab", F.col("__rn") % cap + 1).drop("__p", "__l", "__b", "__rn")
 
 
 def context(words: Column, hit: Column, around: int = 3) -> Column:

@@ -149,11 +149,10 @@ def snapshot_diff(customer, orders):
 
 @query("select event_id, user_id, event_type from events where event_id in (select min(event_id) from events group by user_id, event_type)")
 def stream_first_seen(spark, sf_dir):
-    from stratawork.plans.timeline import _shared
-    from stratawork.session import read_table
+    from stratawork.session import own_folder, read_table
     from stratawork.streaming.ingest import run_to_end
 
-    root = _shared(spark)
+    root = own_folder(spark, "stream")
     events = read_table(spark, sf_dir, "events")
     # the order of a stream within a batch is not given: the first by id of each key is marked before it goes in
     first = events.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
 from stratawork.operators import joins, windows
 from stratawork.plans.registry import registrar
-from stratawork.session import read_table
+from stratawork.session import own_folder, read_table
 
 QUERIES, query = registrar()
 
@@ -94,9 +92,9 @@ def running_page_start(documents):
     return windows.page_starts(d, ["source"], ["doc_id"], "pages").select("doc_id", "source", F.col("page_start").cast("bigint").alias("page_start"))
 
 
-@query("select event_id, (rn + 137) // 700 + 1 as tab, (rn + 137) % 700 + 1 as row_in_tab from (select event_id, row_number() over (order by event_id) - 1 as rn from events)")
-def sink_rollover(events):
-    return windows.rollover(events.select("event_id"), ["event_id"], 700, 137)
+@query("select doc_id, text, source, (rn + 137) // 700 + 1 as tab, (rn + 137) % 700 + 1 as row_in_tab from (select doc_id, text, source, row_number() over (order by doc_id) - 1 as rn from documents)")
+def sink_rollover(documents):
+    return windows.rollover(documents.select("doc_id", "text", "source"), ["doc_id"], 700, 137)
 
 
 @query("select event_id, event_type, case when event_type <> coalesce(lag(event_type) over (partition by user_id order by event_id), '') then 'DIR' else '' end as marker from events")
@@ -115,25 +113,25 @@ def clock_seconds(spark):
 def stream_append(spark, sf_dir):
     from stratawork.streaming.ingest import run_to_end
 
-    root = _shared(spark)
+    root = own_folder(spark, "stream")
     stream = spark.readStream.schema(read_table(spark, sf_dir, "events").schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*").select("event_id", "event_type", "value")
     run_to_end(stream, f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out")
 
 
-@query("select event_id, (event_id) // 3000 + 1 as tab from (select row_number() over (order by event_id) - 1 as event_id from events)")
+@query("select doc_id, text, rn // 3000 + 1 as tab from (select doc_id, text, row_number() over (order by doc_id) - 1 as rn from documents)")
 def stream_tabs(spark, sf_dir):
     from stratawork.streaming.ingest import append_tabs
 
-    root = _shared(spark)
-    stream = spark.readStream.schema(read_table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*").select("event_id")
-    append_tabs(stream, f"{root}/out", f"{root}/checkpoint", 3000, ["event_id"]).awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("event_id", "tab")
+    root = own_folder(spark, "stream")
+    stream = spark.readStream.schema(read_table(spark, sf_dir, "documents").schema).parquet(f"{sf_dir}/documents.parquet*").select("doc_id", "text")
+    append_tabs(stream, f"{root}/out", f"{root}/checkpoint", 3000, ["doc_id"]).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("doc_id", "text", "tab")
 
 
 @query("select event_type, count(*) as n, round(sum(value), 4) as total from events group by 1")
 def stream_totals(spark, sf_dir):
-    root = _shared(spark)
+    root = own_folder(spark, "stream")
     stream = spark.readStream.schema(read_table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
     g = stream.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
@@ -142,11 +140,3 @@ def stream_totals(spark, sf_dir):
 
     g.writeStream.outputMode("complete").foreachBatch(last).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/out")
-
-
-def _shared(spark) -> str:
-    """A new folder that driver and executors share; a local one only where the session names none."""
-    import uuid
-
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.gettempdir()}/checkpoints"
-    return f"{given}/stream-{uuid.uuid4().hex}"

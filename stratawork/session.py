@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -43,6 +47,57 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share.
+
+    Only a local master, whose executors are the driver's own process, may do
+    without: it gets a folder below the temporary one. On a cluster without
+    the setting this raises, as executors would write where others cannot read.
+    """
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(f"file://{tempfile.gettempdir()}/checkpoints/stratawork")
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def delete(spark: SparkSession, uri: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def _clean() -> None:
+    for spark, uri in _kept:
+        try:
+            if uri.startswith("file:"):
+                shutil.rmtree(re.sub("^file:/*", "/", uri), ignore_errors=True)
+            else:
+                delete(spark, uri)
+        except Exception:  # the session may be gone: the cluster's own clean-up takes over
+            pass
+
+
+def own_folder(spark: SparkSession, what: str) -> str:
+    """A new name in the shared folder; what is there goes when the driver ends."""
+    if not _kept:
+        atexit.register(_clean)
+    uri = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    _kept.append((spark, uri))
+    return uri
+
+
+def written(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
+    """``df`` as a table in the shared folder: planned once, and read again by whatever needs it."""
+    uri = own_folder(spark, what)
+    df.write.parquet(uri)
+    return spark.read.schema(df.schema).parquet(uri)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; ``sf_dir`` may be any path that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -166,3 +166,18 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "r/empty")).first()[0] == "No issues found."
     sinks.write_rollover(spark.range(10).coalesce(1), str(tmp_path / "o"), 4)
     assert len(list((tmp_path / "o").glob("part-*"))) == 3
+
+
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_rollover_numbers_wide_rows_once(spark, parts):
+    """Counting reads a narrow and numbering a wide table: both have to see the same partitions."""
+    from stratawork.operators.windows import rollover
+
+    n = 4000
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        wide = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 32).alias("text"))
+        got = rollover(wide, ["k"], 700, 137).select("k", "tab", "row_in_tab", F.length("text").alias("size")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted((r["k"], r["tab"], r["row_in_tab"], r["size"]) for r in got) == [(k, (k + 137) // 700 + 1, (k + 137) % 700 + 1, 2048) for k in range(n)]
