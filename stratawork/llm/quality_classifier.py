@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratawork.llm.quality_rules import measures, only
+from stratawork.llm.quality_rules import measures, only, settled
 from stratawork.llm.support import prepare
 
 STATISTICS = ("n_words", "mean_word_length", "symbols_per_word", "stop_word_ratio", "letter_ratio", "upper_ratio", "dup_line_ratio", "repeat_word_ratio")
@@ -152,10 +152,11 @@ def score(df: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: str
 
     Statistics and rules are column expressions: one narrow projection.
     """
-    s = measures(df, [id_col], text_col).select(F.col("c0").alias(id_col), model.column().alias("score"))
-    return s.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    s = settled(measures(df, [id_col], text_col), ["c0"], [model.column().alias("score")])
+    return s.select(F.col("c0").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def good_documents(df: DataFrame, model: RuleModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The documents with a score of ``least`` or more, with all their columns, in one narrow pass."""
-    return only(measures(df, df.columns, text_col), df.columns, model.column() >= least)
+    own = [f"c{i}" for i in range(len(df.columns))]
+    return only(settled(measures(df, df.columns, text_col), own, [model.column().alias("score")]), df.columns, F.col("score") >= least)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
+#: Low bits of a window's key that hold its place: all that an array can have.
+PLACE_BITS = 31
 #: Frequent function words of the four languages; fixed values.
 STOP_WORDS = (
     "the of and to in a is that for with "
@@ -46,6 +48,16 @@ def _at(c: Column | str, i: Column) -> Column:
     return F.get(F.col(c) if isinstance(c, str) else c, i)
 
 
+def settled(df: DataFrame, passed: list[str], computed: list[Column | str]) -> DataFrame:
+    """``passed`` columns as they are and ``computed`` ones worked out once.
+
+    A generator of one row: no filter or join on what it makes moves below it,
+    where each statistic would be written out anew at every use of it, and
+    filters on the passed columns still reach the scan.
+    """
+    return df.select(*passed, F.inline(F.array(F.struct(*computed))))
+
+
 def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFrame:
     """One row a document, with the columns ``kept`` as c0, c1 and on, its counts and its ratios, by DataFrame functions alone.
 
@@ -67,7 +79,7 @@ def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFram
     )
     n = F.size("w").cast("long")
     places = F.when(F.size("w") >= 3, F.sequence(F.lit(0), F.size("w") - 3)).otherwise(F.array().cast("array<int>"))
-    low = F.lit((1 << 24) - 1).cast("long")
+    low = F.lit((1 << PLACE_BITS) - 1).cast("long")
     keys = F.transform(places, lambda i: F.xxhash64(_at("w", i), _at("w", i + 1), _at("w", i + 2)).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long")))
     counts = (
         n.alias("n_words"),
@@ -90,8 +102,7 @@ def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFram
     t = t.select("*", F.sort_array(F.array_distinct(same)).alias("d"))
     gaps = F.zip_with(F.slice("d", 1, F.greatest(F.size("d") - 1, F.lit(0))), F.slice("d", 2, F.greatest(F.size("d") - 1, F.lit(0))), lambda a, b: F.least(b - a, F.lit(3)))
     covered = F.when(F.size("d") > 0, F.aggregate(gaps, F.lit(3), lambda s, x: s + x)).otherwise(F.lit(0))
-    return t.select(
-        *own,
+    counts = [
         "n_words",
         "word_chars",
         "n_symbols",
@@ -101,7 +112,8 @@ def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFram
         "n_stop_words",
         "n_upper",
         "n_letters",
-    ).select(
+    ]
+    return settled(t, own, counts).select(
         "*",
         _ratio(F.col("word_chars"), F.col("n_words")).alias("mean_word_length"),
         _ratio(F.col("n_symbols"), F.col("n_words")).alias("symbols_per_word"),
@@ -143,14 +155,8 @@ def apply_rules(df: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, i
 
 
 def only(rows: DataFrame, columns: list[str], keep: Column) -> DataFrame:
-    """The rows of ``measures`` for which ``keep`` holds, with their kept columns under their own names.
-
-    A plain filter would be pushed below the projections with every statistic
-    written out anew at each use; a generator of one row or none stays here.
-    """
-    held = rows.select(*(F.col(f"c{i}") for i in range(len(columns))), keep.alias("__keep"))
-    out = held.select(*(F.col(f"c{i}") for i in range(len(columns))), F.explode(F.when(F.col("__keep"), F.array(F.lit(1)))).alias("__one"))
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
+    """The rows of ``measures`` for which ``keep`` holds, with their kept columns under their own names."""
+    return rows.filter(keep).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
 
 
 def kept_documents(df: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, text_col: str = "text") -> DataFrame:

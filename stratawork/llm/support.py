@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import io
 import os
 import re
@@ -11,28 +10,12 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratawork.session import ship
+from stratawork.session import delete, own_folder, ship
 
-LOCAL_SHARED = "file:///tmp/checkpoints/stratawork"
 #: Rows of text in one Arrow batch; bounds a Python worker's memory, and is kept if the session asks for fewer.
 ROWS_A_BATCH = 512
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only without one, a folder of our own."""
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not given:
-        spark.sparkContext.setCheckpointDir(LOCAL_SHARED)
-        given = LOCAL_SHARED
-    return given.rstrip("/")
-
-
-def delete(spark: SparkSession, uri: str) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def prepare(spark: SparkSession) -> None:
     """Ships the package and bounds the Arrow batches that carry whole texts."""
     ship(spark)
@@ -52,19 +35,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, what: str):
         prepare(spark)
         self.spark = spark
-        self.root = f"{shared_root(spark)}/{what}-{uuid.uuid4().hex}"
-        atexit.register(self._clean)
-
-    def _clean(self) -> None:
-        try:
-            if self.root.startswith("file:"):
-                import shutil
-
-                shutil.rmtree(local_path(self.root), ignore_errors=True)
-            else:
-                delete(self.spark, self.root)
-        except Exception:  # the session may be gone: the cluster's own clean-up takes over
-            pass
+        self.root = own_folder(spark, what)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -50,6 +50,21 @@ def test_a_table_of_thresholds(docs):
     assert all(r["n_words"] >= 100 for r in R.apply_rules(docs, strict).filter("kept").collect())
 
 
+def test_results_can_be_filtered_and_joined(docs):
+    """A filter or join on a result works its statistics out once; it hung when filters moved below them."""
+    verdict = R.apply_rules(docs)
+    rows = verdict.collect()
+    assert verdict.filter("kept").count() == sum(r["kept"] for r in rows)
+    assert verdict.filter("base_failed and n_words > 3").count() == sum(r["base_failed"] and r["n_words"] > 3 for r in rows)
+    assert docs.join(verdict.filter("kept").select("doc_id"), "doc_id", "left_semi").count() == sum(r["kept"] for r in rows)
+    x, y = _data()
+    scored = Q.score(docs, Q.fit(x, y))
+    rows = scored.collect()
+    assert scored.filter("predicted = 1").count() == sum(r["predicted"] for r in rows)
+    assert scored.join(verdict, "doc_id").filter("score > 0.3 and n_words > 0").count() > 0
+    assert scored.groupBy("predicted").count().count() == len({r["predicted"] for r in rows})
+
+
 def test_no_python_in_the_plan(docs):
     assert not re.search("Python|Pandas|Arrow", R.kept_documents(docs)._jdf.queryExecution().executedPlan().toString())
 
