@@ -58,10 +58,10 @@ def _family(rows, first, base, n, edits, seed):
         rows.append((first + k, " ".join(w)))
 
 
-@pytest.mark.parametrize("hot,grid", [(50, 512), (3, 8)])
-def test_jaccard_components_equal_brute_force(spark, docs, corpus, monkeypatch, hot, grid):
+@pytest.mark.parametrize("hot,cell,joined", [(50, 512, 128), (3, 8, 128), (5, 512, None)])
+def test_jaccard_components_equal_brute_force(spark, docs, corpus, monkeypatch, hot, cell, joined):
     monkeypatch.setattr(jaccard_join, "HOT", hot)
-    monkeypatch.setattr(jaccard_join, "GRID", grid)
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
     rows = []
     _family(rows, 1000, prose(7, 200), 40, 9, 1)
     _family(rows, 2000, prose(8, 30), 20, 2, 2)
@@ -70,7 +70,7 @@ def test_jaccard_components_equal_brute_force(spark, docs, corpus, monkeypatch,
     rows += [(4000 + i, shared + " x" * (i % 3)) for i in range(8)]
     rows += [(5000 + i, " ".join(prose(9, 900).split()[: 700 + 40 * i])) for i in range(5)]
     d = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    got = jaccard_join.jaccard_components(d).collect()
+    got = jaccard_join.jaccard_components(d, joined=joined).collect()
     assert len(got) == d.count()
     want = _brute([*corpus, *rows])
     for r in got:
