@@ -19,11 +19,19 @@ LEVEL = 3
 SMALL = 1 << 16
 CAPTURED = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+SOFTWARE = "stratawork"
 _NAMESPACE = uuid.UUID("6f3f1d0e-58a1-4f0c-9a63-0c9a4d1c7b11")
 
 
-def record_id(page: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, str(page))}>"
+def record_id(uri: str, nth: int | str) -> str:
+    """The id of a record by its place, which no other record of any run has; a repeated task gives the same again."""
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{uri}#{nth}')}>"
+
+
+def opening(uri: str) -> bytes:
+    """The record that describes an archive, at its start."""
+    fields = f"software: {SOFTWARE}\r\nformat: WARC File Format 1.1\r\n".encode()
+    return member("warcinfo", [("WARC-Record-ID", record_id(uri, "info")), ("WARC-Date", CAPTURED), ("WARC-Filename", uri.rsplit("/", 1)[1]), ("Content-Type", "application/warc-fields")], fields)
 
 
 def member(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -42,7 +50,7 @@ def http_block(payload: bytes) -> bytes:
 
 
 def records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive, one record in memory at a time."""
+    """(headers, block) of each record of an archive but those that describe it, one in memory at a time."""
     with open_reader(uri) as f:
         data = b""
         while True:
@@ -59,13 +67,14 @@ def records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
             head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
             lines = head.decode().split("\r\n")
             headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-            yield headers, rest[: int(headers["Content-Length"])]
+            if headers["WARC-Type"] != "warcinfo":
+                yield headers, rest[: int(headers["Content-Length"])]
 
 
 def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One response record a row, as archives under ``root``; gives the records' headers.
 
-    (uri, nth, page_id, payload_bytes, payload_digest); a null html is an
+    (uri, nth, page_id, payload_bytes, payload_digest, url); a null html is an
     empty payload. Archives are named by partition and number, so that a
     repeated task writes the same files.
     """
@@ -80,25 +89,26 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
             for page, url, html in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 payload = (html or "").encode()
                 digest = hashlib.sha256(payload).hexdigest()
-                headers = [("WARC-Record-ID", record_id(page)), ("WARC-Date", CAPTURED), ("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Page-ID", "" if page is None else str(page)), ("Content-Type", "application/http; msgtype=response")]
-                out.append((f"{root}/{part:07d}-{made:05d}.warc.gz", len(buffer), page, len(payload), digest))
+                uri, url = f"{root}/{part:07d}-{made:05d}.warc.gz", _clean(url)
+                headers = [("WARC-Record-ID", record_id(uri, len(buffer))), ("WARC-Date", CAPTURED), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Page-ID", "" if page is None else str(page)), ("Content-Type", "application/http; msgtype=response")]
+                out.append((uri, len(buffer), page, len(payload), digest, url))
                 buffer.append(member("response", headers, http_block(payload)))
                 size += len(buffer[-1])
                 if size >= ARCHIVE_BYTES:
-                    write_file(f"{root}/{part:07d}-{made:05d}.warc.gz", b"".join(buffer))
+                    write_file(uri, b"".join([opening(uri), *buffer]))
                     made, buffer, size = made + 1, [], 0
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["uri", "nth", "page_id", "payload_bytes", "payload_digest"])
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["uri", "nth", "page_id", "payload_bytes", "payload_digest", "url"])
         if buffer:
-            write_file(f"{root}/{part:07d}-{made:05d}.warc.gz", b"".join(buffer))
+            write_file(uri, b"".join([opening(uri), *buffer]))
 
     rows = slim(pages, page_id=id_col, url=url_col, html=html_col).withColumn("page_id", F.col("page_id").cast("bigint"))
-    return rows.mapInArrow(run, "uri string, nth bigint, page_id bigint, payload_bytes bigint, payload_digest string")
+    return rows.mapInArrow(run, "uri string, nth bigint, page_id bigint, payload_bytes bigint, payload_digest string, url string")
 
 
 def resolve(scratch: Scratch, headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """``headers`` with refers_to: the smallest page_id of equal payloads, where another page has it.
+    """Of each of ``headers`` whether it revisits, and the page and place it refers to: the smallest page_id of equal payloads, where another record has it.
 
     Digests are counted with partial aggregates, so a digest that a third of
     all records share is summed where it lies; only digests found more than
@@ -107,17 +117,17 @@ def resolve(scratch: Scratch, headers: DataFrame, min_bytes: int = MIN_REVISIT)
     response.
     """
     big = headers.filter(F.col("payload_bytes") >= min_bytes)
-    first = big.groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "uri", "nth")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "first")
+    first = big.groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "uri", "nth", "url")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("payload_digest", "first")
     # as a table of its own, both sides of the join are plain shuffles, whose hot partitions are split
     first, _ = if_small(scratch.table("first", first), SMALL)
     joined = headers.join(first, "payload_digest", "left")
     own = (F.col("first.uri") == F.col("uri")) & (F.col("first.nth") == F.col("nth"))
     revisit = (F.col("payload_bytes") >= min_bytes) & F.col("first").isNotNull() & ~own
-    return joined.select("uri", "nth", "page_id", "payload_bytes", "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"))
+    return joined.select("uri", "nth", "page_id", "payload_bytes", "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"), F.when(revisit, F.col("first")).alias("to"))
 
 
 def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame:
-    """Deduplicated archives with fresh headers: revisits lose their payload and name what they refer to; gives (uri, records).
+    """Deduplicated archives with fresh headers: revisits lose their payload and name the record they refer to; gives (uri, records).
 
     Each archive is read in order beside its records' verdicts, which come to
     one task by archive: its size bounds both.
@@ -127,23 +137,24 @@ def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame
         import pyarrow as pa
 
         source = key[0].as_py()
-        verdict = dict(zip(table.column("nth").to_pylist(), zip(table.column("revisit").to_pylist(), table.column("refers_to").to_pylist(), strict=True), strict=True))
-        out = []
+        target = f"{root}/{source.rsplit('/', 1)[1]}"
+        verdict = dict(zip(table.column("nth").to_pylist(), table.column("to").to_pylist(), strict=True))
+        out = [opening(target)]
         for nth, (h, block) in enumerate(records(source)):
-            revisit, to = verdict[nth]
-            page = h["X-Page-ID"]
-            headers = [("WARC-Record-ID", record_id(page or None)), ("WARC-Date", h["WARC-Date"]), ("WARC-Target-URI", h["WARC-Target-URI"]), ("WARC-Payload-Digest", h["WARC-Payload-Digest"]), ("X-Page-ID", page)]
-            if revisit:
+            to = verdict[nth]
+            headers = [("WARC-Record-ID", record_id(target, nth)), *((k, h[k]) for k in ("WARC-Date", "WARC-Target-URI", "WARC-Payload-Digest", "X-Page-ID"))]
+            if to:
                 head, _, payload = block.partition(b"\r\n\r\n")
                 block = head + b"\r\n\r\n"
-                headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(to)), ("X-Refers-To-Page", "" if to is None else str(to)), ("X-Payload-Length", str(len(payload)))]
-            out.append(member("revisit" if revisit else "response", [*headers, ("Content-Type", "application/http; msgtype=response")], block))
-        target = f"{root}/{source.rsplit('/', 1)[1]}"
+                first = f"{root}/{to['uri'].rsplit('/', 1)[1]}"
+                headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(first, to["nth"])), ("WARC-Refers-To-Target-URI", to["url"]), ("WARC-Refers-To-Date", CAPTURED)]
+                headers += [("X-Refers-To-Page", "" if to["page_id"] is None else str(to["page_id"])), ("X-Payload-Length", str(len(payload)))]
+            out.append(member("revisit" if to else "response", [*headers, ("Content-Type", "application/http; msgtype=response")], block))
         write_file(target, b"".join(out))
-        return pa.table({"uri": pa.array([target], pa.string()), "records": pa.array([len(out)], pa.int64())})
+        return pa.table({"uri": pa.array([target], pa.string()), "records": pa.array([len(out) - 1], pa.int64())})
 
-    # as many partitions as archives: their headers are few bytes, but each stands for a whole archive's work
-    return resolved.select("uri", "nth", "revisit", "refers_to").repartition(max(1, archives), "uri").groupBy("uri").applyInArrow(run, "uri string, records bigint")
+    # about an archive a partition, by ranges: its headers are few bytes, but each stands for a whole archive's work
+    return resolved.select("uri", "nth", "to").repartitionByRange(max(1, archives), "uri").groupBy("uri").applyInArrow(run, "uri string, records bigint")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
@@ -179,7 +190,7 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT, id_col: str = "pa
     """Writes pages as archives, resolves revisits, writes the deduplicated archives and reads them back.
 
     Null html is an empty payload, null url an empty target; null ids stay
-    null; of repeated ids every row is a record. The first archives go once
+    null; of repeated ids every row is a record with an id of its own. The first archives go once
     the deduplicated ones are whole.
     """
     scratch = Scratch(pages.sparkSession, "warc")
