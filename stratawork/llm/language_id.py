@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -13,12 +12,16 @@ from stratawork.llm.shingles import column_bytes
 from stratawork.llm.support import prepare, slim
 
 ORDER = 4
-#: Bound of the sample that the trees are grown from: documents a language (about: a hash picks them), and their bytes at most.
+#: Bound of the sample that the trees are grown from: documents a language (about: a hash picks them), characters of each and bytes of all at most.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 700, 1 << 16, 1 << 22
 #: Context nodes at most, and bytes of the table of code lengths at most.
 NODES, TABLE_BYTES = 1 << 14, 40 << 20
 STRETCH = 1 << 18
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a character of a letter category; numerals such as fractions are none."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 class Trees:
@@ -131,15 +134,17 @@ class Trees:
 
 
 def held_out(id_col: Column, parts: int, part: int) -> Column:
-    return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)) == part
+    """Whether the checksum of the id's text leaves ``part``; of a null id it does not."""
+    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Trees | None:
     """Trees from a bounded sample of the rows with a text and a language; None if there are none.
 
     Languages are counted over all rows, which makes the prior; a hash of the
-    id picks about SAMPLE_DOCS documents of each, whole texts of up to
-    SAMPLE_DOC_BYTES, and the first SAMPLE_BYTES of them by that hash are used.
+    id picks about SAMPLE_DOCS documents of each, and the first SAMPLE_BYTES of
+    them by that hash are used. A longer text teaches with its first
+    SAMPLE_DOC_BYTES characters, so a language of long texts alone is known.
     """
     rows = slim(df, id=id_col, text=text_col, lang=lang_col).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("text") != ""))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
@@ -147,7 +152,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return None
     share = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, SAMPLE_DOCS / n) * (1 << 30)))))
     h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    picked = rows.filter((h < share[F.col("lang")]) & (F.octet_length("text") <= SAMPLE_DOC_BYTES)).select(h.alias("h"), "id", "lang", "text").toArrow().sort_by([("h", "ascending"), ("id", "ascending")])
+    picked = rows.filter(h < share[F.col("lang")]).select(h.alias("h"), "id", "lang", F.left("text", F.lit(SAMPLE_DOC_BYTES)).alias("text")).toArrow().sort_by([("h", "ascending"), ("id", "ascending")])
     texts: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for lang, text in zip(picked.column("lang").to_pylist(), picked.column("text").to_pylist(), strict=True):
@@ -176,7 +181,7 @@ def predict(df: DataFrame, trees: Trees | None, id_col: str = "doc_id", text_col
         model = _load(kept.value)
         for b in batches:
             texts = b.column(1).to_pylist()
-            letter = [bool(t and _LETTER.search(t)) for t in texts]
+            letter = [has_letter(t) for t in texts]
             if model is None:
                 pred, score = ["und"] * len(texts), [0.0] * len(texts)
             else:

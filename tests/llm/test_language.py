@@ -72,3 +72,37 @@ def test_prediction(spark):
     assert got[100] == got[101] == got[102] == ("und", 0.0) and got[103][0] == "en" and got[None][0] == "de"
     assert all(0 <= s <= 1 for _, s in got.values())
     assert {r["lang_pred"] for r in predict(d, train(d.limit(0))).collect()} == {"und"}
+
+
+def test_letters_and_held_out_rows(spark):
+    from pyspark.sql import functions as F
+
+    from stratawork.llm.language_id import has_letter, held_out
+
+    assert [has_letter(t) for t in ("\u00b2 \u00bd", "12 _", "\u2167", None, "", "x", "1\u00e9", "\u65e5")] == [False, False, False, False, False, True, True, True]
+    d = spark.createDataFrame([(i,) for i in range(40)] + [(None,)], "doc_id bigint")
+    import zlib
+
+    got = {r[0]: r[1] for r in d.select("doc_id", held_out(F.col("doc_id"), 4, 2)).collect()}
+    assert got == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(40)} | {None: False}
+
+
+def test_a_language_of_long_texts_is_learned(spark, monkeypatch):
+    from stratawork.llm import language_id
+
+    monkeypatch.setattr(language_id, "SAMPLE_DOC_BYTES", 400)
+    rows = [(i, "the sun and the moon " * 3, "en") for i in range(20)] + [(100 + i, "der mond und die sonne " * 90, "de") for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    trees = train(d)
+    assert trees.langs == ["de", "en"]
+    assert {r["lang_pred"] for r in predict(d.filter("lang = 'de'"), trees).collect()} == {"de"}
+
+
+def test_registered_query_predicts_held_out_rows(spark):
+    from stratawork.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = queries.op3_ppm_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r["held_out"] and r["lang"] is not None and r["lang_pred"] != "und"]
+    assert len(held) > 100 and np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.99
+    assert all(0 <= r["score"] <= 1 for r in got)
