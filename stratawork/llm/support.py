@@ -12,16 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratawork.session import delete, own_folder, ship
 
-#: Rows of text in one Arrow batch; bounds a Python worker's memory, and is kept if the session asks for fewer.
-ROWS_A_BATCH = 512
+#: Rows and bytes of one Arrow batch; they bound a Python worker's memory, and smaller settings of the session are kept.
+ROWS_A_BATCH, BYTES_A_BATCH = 512, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ships the package and bounds the Arrow batches that carry whole texts."""
+    """Ships the package and bounds the Arrow batches that carry whole texts, in rows and in bytes.
+
+    The two settings stay lowered in the session, as results are worked out
+    after the call that describes them.
+    """
     ship(spark)
-    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if rows > ROWS_A_BATCH or rows <= 0:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
+    for key, most in (("maxRecordsPerBatch", ROWS_A_BATCH), ("maxBytesPerBatch", BYTES_A_BATCH)):
+        now = int(re.sub(r"\D", "", spark.conf.get(f"spark.sql.execution.arrow.{key}")) or 0)
+        if now > most or now <= 0:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 class Scratch:

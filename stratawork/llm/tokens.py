@@ -13,8 +13,8 @@ from stratawork.llm.support import prepare, slim
 
 #: Characters of a chunk, and of the first overlap of two chunks, of a huge document.
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 8
-#: Words, and parts of words, whose ids a worker keeps.
-KEPT_WORDS = 400_000
+#: Words, and parts of words, whose ids a worker keeps, and characters of one at most: together they bound its memory.
+KEPT_WORDS, KEPT_CHARS = 400_000, 48
 
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same split for characters below U+0250, where Python's classes differ only in these numerals.
@@ -35,14 +35,17 @@ class Memo(dict):
 
     When full it keeps what came first, which holds most of the frequent keys,
     and starts anew after four times the bound of misses, as other texts came.
+    Keys longer than ``longest`` are never kept.
     """
 
-    def __init__(self, find: Callable, bound: int):
+    def __init__(self, find: Callable, bound: int, longest: int = KEPT_CHARS):
         super().__init__()
-        self.find, self.bound, self.missed = find, bound, 0
+        self.find, self.bound, self.longest, self.missed = find, bound, longest, 0
 
     def __missing__(self, key):
         value = self.find(key)
+        if len(key) > self.longest:
+            return value
         if len(self) < self.bound:
             self[key] = value
         else:
