@@ -1,7 +1,8 @@
 """Token ids on disk in patched frame-of-reference blocks.
 
-A file holds a run of documents in order: magic, counts, the documents' ids
-and token counts, an index of block starts, then the blocks. A block of 128
+A file holds a run of documents in order: magic, counts, the documents' ids,
+which of them are null, and token counts, an index of block starts, then the
+blocks. A block of 128
 ids keeps its minimum, the width at which the chosen percentile of its
 differences fits, the packed low bits, and an exception list (place, high
 bits) for outliers.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from stratawork.llm.support import Scratch, open_reader, slim, write_file
 from stratawork.llm.tokens import encoder
 
-MAGIC, BLOCK, PERCENTILE = b"PFR1", 128, 90
+MAGIC, BLOCK, PERCENTILE = b"PFR2", 128, 90
 #: Tokens after which a partition starts a new file; bounds what a reader or writer holds.
 FILE_TOKENS = 1 << 22
 
@@ -122,37 +123,61 @@ def decode_blocks(starts: np.ndarray, body: bytes, n: int, first: int = 0) -> np
     return (out + low[:, None]).ravel()[:n].astype(np.uint32)
 
 
-def file_bytes(doc_ids: list[int], counts: list[int], ids: bytes) -> bytes:
+def file_bytes(doc_ids: list[int | None], counts: list[int], ids: bytes) -> bytes:
     v = np.frombuffer(ids, "<u4")
     starts, body = encode_blocks(v)
     head = MAGIC + struct.pack("<QQQ", len(doc_ids), len(v), len(starts) - 1)
-    return b"".join((head, np.asarray(doc_ids, "<i8").tobytes(), np.asarray(counts, "<u8").tobytes(), starts.astype("<u8").tobytes(), body))
+    null = np.packbits([d is None for d in doc_ids]).tobytes()
+    return b"".join((head, np.asarray([d or 0 for d in doc_ids], "<i8").tobytes(), null, np.asarray(counts, "<u8").tobytes(), starts.astype("<u8").tobytes(), body))
+
+
+class TokenFile:
+    """What an open file says before its blocks: documents, their token counts, and where blocks start."""
+
+    def __init__(self, f, uri: str):
+        if f.read(4) != MAGIC:
+            raise ValueError(f"{uri} is not a token file")
+        docs, self.tokens, self.blocks = struct.unpack("<QQQ", f.read(24))
+        ids = np.frombuffer(f.read(8 * docs), "<i8")
+        null = np.unpackbits(np.frombuffer(f.read(-(-docs // 8)), np.uint8), count=docs)
+        self.ids = [None if x else d for d, x in zip(ids.tolist(), null.tolist(), strict=True)]
+        self.counts = np.frombuffer(f.read(8 * docs), "<u8").astype(np.int64)
+        self.starts = np.frombuffer(f.read(8 * (self.blocks + 1)), "<u8")
+        self.body = 28 + 8 * docs + -(-docs // 8) + 8 * docs + 8 * (self.blocks + 1)
 
 
 def read_documents(uri: str, window: int = 1 << 11):
     """(doc id, its ids) in file order; holds ``window`` blocks at a time besides the current document."""
     with open_reader(uri) as f:
-        if f.read(4) != MAGIC:
-            raise ValueError(f"{uri} is not a token file")
-        docs, n, blocks = struct.unpack("<QQQ", f.read(24))
-        doc_ids = np.frombuffer(f.read(8 * docs), "<i8")
-        counts = np.frombuffer(f.read(8 * docs), "<u8").astype(np.int64)
-        starts = np.frombuffer(f.read(8 * (blocks + 1)), "<u8")
+        t = TokenFile(f, uri)
         have, done = np.zeros(0, np.uint32), 0
-        for doc, count in zip(doc_ids.tolist(), counts.tolist(), strict=True):
+        for doc, count in zip(t.ids, t.counts.tolist(), strict=True):
             parts, lack = [], count
             while lack > len(have):
                 parts.append(have)
                 lack -= len(have)
-                to = min(blocks, done + window)
-                body = f.read(int(starts[to] - starts[done]))
-                have = decode_blocks(starts[done : to + 1], body, min(n - done * BLOCK, (to - done) * BLOCK))
+                to = min(t.blocks, done + window)
+                body = f.read(int(t.starts[to] - t.starts[done]))
+                have = decode_blocks(t.starts[done : to + 1], body, min(t.tokens - done * BLOCK, (to - done) * BLOCK))
                 done = to
             parts.append(have[:lack])
             have = have[lack:]
             yield doc, parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+def read_range(uri: str, first: int, count: int) -> np.ndarray:
+    """``count`` ids from place ``first`` of a file; the index names the blocks that hold them, no other is read."""
+    with open_reader(uri) as f:
+        t = TokenFile(f, uri)
+        first, end = max(0, min(first, t.tokens)), max(0, min(first + count, t.tokens))
+        if first >= end:
+            return np.zeros(0, np.uint32)
+        a, b = first // BLOCK, -(-end // BLOCK)
+        f.seek(t.body + int(t.starts[a]))
+        ids = decode_blocks(t.starts[a : b + 1], f.read(int(t.starts[b] - t.starts[a])), min(t.tokens - a * BLOCK, (b - a) * BLOCK))
+        return ids[first - a * BLOCK : end - a * BLOCK]
+
+
 def write_token_files(df: DataFrame, path: str, root: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes ids in ascending id order as files under ``root``; gives (part, file, uri, docs, tokens).
 
@@ -160,12 +185,14 @@ def write_token_files(df: DataFrame, path: str, root: str, end_id: int = 1, id_c
     and encoded and written where they are sorted: ids never cross the
     network. A row is the manifest entry of a file. Files are renamed when
     whole and named by place, so a repeated task writes the same again. Null
-    and empty texts are the end id alone; null ids come first as -1; a
-    repeated id keeps each row, in the order of the text's hash.
+    and empty texts are the end id alone; null ids come first; a repeated id
+    keeps each row, in the order of the text's hash. Ranges are of the id, that
+    hash and a random number, so that no id and no repeated row is too much for
+    one of them.
     """
     end = array("I", [end_id]).tobytes()
-    rows = slim(df, id=id_col, text=text_col).select(F.coalesce(F.col("id").cast("bigint"), F.lit(-1)).alias("id"), "text")
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+    rows = slim(df, id=id_col, text=text_col).select(F.col("id").cast("bigint").alias("id"), "text", F.xxhash64("text").alias("h"), F.rand(7).alias("r"))
+    ordered = rows.repartitionByRange("id", "h", "r").sortWithinPartitions("id", "h").select("id", "text")
 
     def run(batches):
         import pyarrow as pa
@@ -202,14 +229,17 @@ def write_token_files(df: DataFrame, path: str, root: str, end_id: int = 1, id_c
 def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document, from the files alone.
 
-    The manifest has one row a file of millions of tokens; the running sum of
-    their tokens is worked out over it in one window, then each file is a task.
+    The manifest has one row a file of millions of tokens. Running sums are of
+    files within a partition, and of the partitions' totals, one number each;
+    then each file is a task.
     """
     from pyspark.sql import Window
 
     n = max(1, manifest.count())
-    before = F.coalesce(F.sum("tokens").over(Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = manifest.select("uri", before.alias("before")).repartition(n)
+    sum_ = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("tokens").alias("t")).select("part", sum_("t", Window.orderBy("part")).alias("base"))
+    files = manifest.select("uri", "part", sum_("tokens", Window.partitionBy("part").orderBy("file")).alias("own")).join(parts, "part")
+    files = files.select("uri", (F.col("own") + F.col("base")).alias("before")).repartition(n)
 
     def run(batches):
         import pyarrow as pa
