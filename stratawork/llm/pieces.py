@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame
 
@@ -87,7 +88,9 @@ class PieceModel:
         self.lost = min((self.score[i] for i in plain), default=0.0) - 10
         self.kept: dict[str, bytes] = Memo(self._kept, KEPT)
         self.pairs: dict[tuple[int, int], bool] = Memo(self._admitted, KEPT)
-        self.lossy: set[str] = set()  # stretches that do not come back
+        self.sums: dict[str, int] = Memo(self._sum_tokens, KEPT)
+        self.lossy: set[str] = set()  # kept stretches that do not come back
+        self.lost_long = False  # whether one that is too long to be kept does not
 
     # -- encoding ---------------------------------------------------------
 
@@ -106,44 +109,74 @@ class PieceModel:
         if not self.direct or "\0" in text:
             ids = self.sp.encode(text)
             return array("I", ids).tobytes(), self.decode(ids) == text.replace(MARK, " ")
-        parts = _STRETCH.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
+        if len(self.lossy) > KEPT:
+            self.lossy.clear()
+            self.kept.clear()
+        self.lost_long = False
+        parts = self._parts(text)
         ids = b"".join(map(self.kept.__getitem__, parts))
-        return ids, not self.lossy or self.lossy.isdisjoint(parts)
+        return ids, not self.lost_long and (not self.lossy or self.lossy.isdisjoint(parts))
+
+    def _parts(self, text: str) -> list[str]:
+        return _STRETCH.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
+
+    def best_sum(self, text: str | None) -> int | None:
+        """Tokens of the segmentation with the best sum of scores, by the plain Viterbi pass; None for a model whose texts have no independent stretches."""
+        if not text:
+            return 0
+        if not self.direct or "\0" in text:
+            return None
+        return sum(map(self.sums.__getitem__, self._parts(text)))
+
+    def _sum_tokens(self, part: str) -> int:
+        return len(self._spell(self._relaxed(part)))
 
     def _kept(self, part: str) -> bytes:
         ids = self._stretch(part)
         if self._text(ids) != part.replace(MARK, " "):
-            self.lossy.add(part)
+            if len(part) > self.kept.longest:
+                self.lost_long = True
+            else:
+                self.lossy.add(part)
         return array("I", ids).tobytes()
 
     def _stretch(self, s: str) -> list[int]:
         if self.kind == BPE and s.startswith(MARK * 2):  # runs of marks share one score: ties go by place
             return self._spell(self._merged(s))
+        if self.kind != BPE:
+            return self._spell(self._relaxed(s))
         n = len(s)
         ids, sizes = [-1] * (n + 1), [0] * (n + 1)  # of the piece that ends at a place; size 0: a lacking character
-        if self.kind == BPE:
-            pairs = self.pairs
-            for end, (i, size) in self.auto.iter(s):  # places in order, at each the pieces that end there
-                end += 1
-                if not sizes[end] and (end == size or pairs[(ids[end - size], i)]):
-                    ids[end], sizes[end] = i, size
-        else:
-            best = [0.0] + [-1e300] * n
-            for end, found in self._matches(s):
-                one = False
-                for i, size in found:
-                    one |= size == 1
-                    total = best[end - size] + self.score[i]
-                    if total > best[end]:
-                        best[end], ids[end], sizes[end] = total, i, size
-                if not one and best[end - 1] + self.lost > best[end]:
-                    best[end], ids[end], sizes[end] = best[end - 1] + self.lost, -1, 1
-        out, at = [], n
+        pairs = self.pairs
+        for end, (i, size) in self.auto.iter(s):  # places in order, at each the pieces that end there
+            end += 1
+            if not sizes[end] and (end == size or pairs[(ids[end - size], i)]):
+                ids[end], sizes[end] = i, size
+        return self._spell(self._back(s, ids, sizes))
+
+    def _relaxed(self, s: str) -> list[tuple[int, str]]:
+        """The pieces with the best sum of scores: one Viterbi pass over the automaton's outputs."""
+        n = len(s)
+        ids, sizes, best = [-1] * (n + 1), [0] * (n + 1), [0.0] + [-1e300] * n
+        for end, found in self._matches(s):
+            one = False
+            for i, size in found:
+                one |= size == 1
+                total = best[end - size] + self.score[i]
+                if total > best[end]:
+                    best[end], ids[end], sizes[end] = total, i, size
+            if not one and best[end - 1] + self.lost > best[end]:
+                best[end], ids[end], sizes[end] = best[end - 1] + self.lost, -1, 1
+        return self._back(s, ids, sizes)
+
+    @staticmethod
+    def _back(s: str, ids: list[int], sizes: list[int]) -> list[tuple[int, str]]:
+        out, at = [], len(s)
         while at:
             size = sizes[at] or 1
             out.append((ids[at], s[at - size : at]))
             at -= size
-        return self._spell(out[::-1])
+        return out[::-1]
 
     def _matches(self, s: str):
         """(end, pieces that end there) for every place, in order."""
@@ -168,18 +201,29 @@ class PieceModel:
         return [i for i, _ in self._merged(self.piece[a] + self.piece[b])] == [a, b]
 
     def _merged(self, s: str) -> list[tuple[int, str]]:
-        """Best-scored merges first, the leftmost of equals, until none is a piece."""
-        parts = list(s)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = self.id.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or self.score[i] > best):
-                    best, at = self.score[i], k
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [(self.id.get(p, -1), p) for p in parts]
+        """Best-scored merges first, the leftmost of equals, until none is a piece; n log n by a heap over linked parts."""
+        parts, n = list(s), len(s)
+        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(k: int, j: int) -> None:
+            if k >= 0 and j < n and (i := self.id.get(parts[k] + parts[j])) is not None:
+                heappush(heap, (-self.score[i], k, len(parts[k]), len(parts[j])))
+
+        for k in range(n - 1):
+            offer(k, k + 1)
+        while heap:
+            _, k, left, right = heappop(heap)
+            j = after[k]
+            if not alive[k] or j >= n or len(parts[k]) != left or len(parts[j]) != right:
+                continue  # one of the two has been merged since
+            parts[k] += parts[j]
+            alive[j], after[k] = False, after[j]
+            if after[k] < n:
+                before[after[k]] = k
+            offer(before[k], k)
+            offer(k, after[k])
+        return [(self.id.get(p, -1), p) for p, ok in zip(parts, alive, strict=True) if ok]
 
     def _spell(self, parts: list[tuple[int, str]]) -> list[int]:
         """Ids, lacking characters as their bytes; without those, a run of them is one unknown."""
@@ -259,11 +303,14 @@ def decode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
 
 
 def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens, ids_crc32, round_trip): each whole text encoded and decoded again.
+    """(id, n_bytes, n_tokens, ids_crc32, round_trip, n_best_sum): each whole text encoded and decoded again.
 
     ids_crc32 is of the ids as little-endian unsigned 32-bit integers;
     round_trip says whether decoding gives the text back (the mark itself in a
-    text comes back as a space, as in the library).
+    text comes back as a space, as in the library). n_best_sum is the number of
+    tokens that the Viterbi pass over sums of scores gives, which for a unigram
+    model is n_tokens and for a byte-pair model is at most that, or differs
+    where merges take another way; null where the library encodes whole texts.
     """
     prepare(df.sparkSession)
 
@@ -276,10 +323,10 @@ def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             for text in b.column(1).to_pylist():
                 text = text or ""
                 ids, back = m.encoded(text)
-                rows.append((len(text.encode()), len(ids) // 4, zlib.crc32(ids), back))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_tokens", "ids_crc32", "round_trip"])
+                rows.append((len(text.encode()), len(ids) // 4, zlib.crc32(ids), back, m.best_sum(text)))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_tokens", "ids_crc32", "round_trip", "n_best_sum"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return slim(df, id=id_col, text=text_col).mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, ids_crc32 bigint, round_trip boolean").withColumnRenamed("id", id_col)
+    return slim(df, id=id_col, text=text_col).mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, ids_crc32 bigint, round_trip boolean, n_best_sum bigint").withColumnRenamed("id", id_col)

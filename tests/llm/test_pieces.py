@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import zlib
 
+import numpy as np
 import pytest
 
-from stratawork.llm.pieces import PieceModel, decode_pieces, encode_pieces, fields, piece_digests
+from stratawork.llm.pieces import MARK, PieceModel, decode_pieces, encode_pieces, fields, piece_digests
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +56,41 @@ def test_columns(docs, corpus, data, vocab):
     assert all(r["round_trip"] for r in got)
     back = decode_pieces(encode_pieces(docs, path), path).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in back) == sorted([(i, t or "") for i, t in corpus] + [(0, "")])
+
+
+def test_long_runs_take_linear_time(data):
+    """A run of spaces and a text without any: no square of the length, nothing long is kept."""
+    import time
+
+    m = PieceModel(data)
+    for n in (500, 3001, 20_000):
+        assert m.encode("a" + " " * n + "b") == m.sp.encode("a" + " " * n + "b")
+    t = time.time()
+    ids, back = m.encoded("a" + " " * 1_000_000 + "b")
+    long = "".join(chr(0x4E00 + (i * 7919) % 3000) + "abc"[i % 3] for i in range(300_000))
+    got, back2 = m.encoded(long)
+    assert back and back2 and time.time() - t < 60
+    assert len(got) // 4 == len(m.sp.encode(long))
+    assert max(map(len, m.kept), default=0) <= 48 and max(map(len, m.lossy), default=0) <= 48
+
+
+def test_merging_equals_the_library(data):
+    """The heap of merges on whole texts, which the automaton's pass has to agree with."""
+    m = PieceModel(data)
+    for t in ["hello world", "aaaaaaaaaaaaaaaaaaaaaaa", "  " * 30, "thethethe theythem", "日本語テスト", "é𝄞x"]:
+        s = (MARK if m.prefix else "") + t.replace(" ", MARK)
+        assert m._spell(m._merged(s)) == m.sp.encode(t)
+
+
+def test_registered_query(spark, vocab, data):
+    from stratawork.llm import queries
+
+    sf, m = "/root/testdata/sf0.001", PieceModel(data)
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.op6_piece_viterbi(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = m.sp.encode(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert r["n_best_sum"] is None or 0 < r["n_best_sum"] or not ids
+    assert piece_digests(spark.read.parquet(f"{sf}/documents.parquet").limit(0), vocab("piece_bpe_32k.model")).count() == 0
