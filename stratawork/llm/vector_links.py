@@ -11,8 +11,10 @@ from stratawork.llm.components import components
 from stratawork.llm.support import Scratch, slim
 
 THRESHOLD = 0.93
-#: Vectors that the index is fitted on (about: a hash picks them), lists at most, lists that a vector is sought in at most.
-SAMPLE, MAX_LISTS, PROBES = 20_000, 4096, 8
+#: Vectors that the index is fitted on (about: a hash picks them), and lists that a vector is sought in.
+SAMPLE, PROBES = 20_000, 8
+#: Vectors of the largest label in a list, about, and centroids of one level of the lists at most.
+LIST, LEVEL = 128, 4096
 #: Width of a subspace, codes in one, vectors in one side of a comparison.
 SUBSPACE, CODES, CELL = 8, 256, 512
 #: Rows up to which the table of list sizes is broadcast.
@@ -38,39 +40,84 @@ def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.concatenate([_squares(x[i : i + 4096], c).argmin(1) for i in range(0, len(x), 4096)]) if len(x) else np.zeros(0, np.int64)
 
 
+def levels(lists: int) -> tuple[int, int]:
+    """Centroids of the coarse level and of that of its residuals for about so many lists: one level is enough for few."""
+    lists = max(1, lists)
+    if lists <= 1024:
+        return lists, 1
+    first = min(LEVEL, round(lists**0.5))
+    return first, min(LEVEL, -(-lists // first))
+
+
 class Index:
-    """Coarse centroids and, of the residuals, one codebook a subspace; fitted on a bounded sample of unit vectors."""
+    """Inverted lists in two levels and, of the residuals, one codebook a subspace; fitted on a bounded sample of unit vectors.
+
+    A list is a coarse centroid and a centroid of what it leaves, so lists can
+    grow with the table, up to LEVEL squared, while the sample does not.
+    """
 
     def __init__(self, sample: np.ndarray, lists: int, seed: int = 5):
         rng = np.random.default_rng(seed)
         dim = sample.shape[1]
-        self.coarse = _kmeans(sample, max(1, min(lists, len(sample))), 8, rng)
+        first, second = (min(k, len(sample)) for k in levels(lists))
+        self.coarse = _kmeans(sample, first, 8, rng)
         rest = sample - self.coarse[_nearest(sample, self.coarse)]
+        self.fine = _kmeans(rest, second, 6, rng) if second > 1 else np.zeros((1, dim))
+        rest -= self.fine[_nearest(rest, self.fine)]
         self.cuts = [(a, min(dim, a + SUBSPACE)) for a in range(0, dim, SUBSPACE)]
         self.books = [_kmeans(rest[:, a:b], min(CODES, len(sample)), 6, rng) for a, b in self.cuts]
 
+    def centre(self, at: np.ndarray) -> np.ndarray:
+        return self.coarse[at // len(self.fine)] + self.fine[at % len(self.fine)]
+
+    def lists(self, x: np.ndarray) -> np.ndarray:
+        """The list of each vector."""
+        a = _nearest(x, self.coarse)
+        return a * len(self.fine) + _nearest(x - self.coarse[a], self.fine)
+
     def encode(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and how far each vector is from what its code says."""
-        rest = x - self.coarse[at]
+        rest = x - self.centre(at)
         codes = np.stack([_nearest(rest[:, a:b], book) for (a, b), book in zip(self.cuts, self.books, strict=True)], axis=1)
         said = np.concatenate([book[codes[:, m]] for m, book in enumerate(self.books)], axis=1)
         return codes.astype(np.uint8), np.sqrt(((rest - said) ** 2).sum(1))
 
-    def probes(self, x: np.ndarray, most: int, radius: float) -> list[np.ndarray]:
-        """The lists, nearest first, whose cell comes within ``radius`` of each vector; ``most`` of them at most."""
-        out = []
-        for i in range(0, len(x), 1024):
-            d = _squares(x[i : i + 1024], self.coarse)
-            near = np.argsort(d, axis=1, kind="stable")[:, :most]
-            dn = np.take_along_axis(d, near, 1)
-            apart = np.sqrt(((self.coarse[near] - self.coarse[near[:, :1]]) ** 2).sum(2))
-            ok = dn - dn[:, :1] <= 2 * radius * apart + 1e-9  # the distance to the plane between the two cells
-            out += [n[k].astype(np.int32) for n, k in zip(near, ok, strict=True)]
+    @staticmethod
+    def _within(x: np.ndarray, centres: np.ndarray, most: int | None, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The centroids nearest to each vector, their squared distances, and whether their cells come within ``radius`` of it."""
+        d = _squares(x, centres)
+        near = np.argsort(d, axis=1, kind="stable")[:, :most]
+        dn = np.take_along_axis(d, near, 1)
+        apart = np.sqrt(np.maximum(0, ((centres[near] - centres[near[:, :1]]) ** 2).sum(2)))
+        return near, dn, dn - dn[:, :1] <= 2 * radius * apart + 1e-9  # the distance to the plane between the two cells
+
+    def probes(self, x: np.ndarray, most: int | None, radius: float) -> list[np.ndarray]:
+        """The lists whose cell comes within ``radius`` of each vector, its own first; the ``most`` nearest of them, or all."""
+        out, own = [], self.lists(x)
+        for i in range(0, len(x), 256):
+            part = x[i : i + 256]
+            near, dn, ok = self._within(part, self.coarse, most, radius)
+            found, far = [], []
+            for m in range(near.shape[1]):
+                if len(self.fine) == 1:
+                    found.append(np.where(ok[:, m : m + 1], near[:, m : m + 1], -1))
+                    far.append(dn[:, m : m + 1])
+                else:
+                    rest = part - self.coarse[near[:, m]]
+                    n2, d2, ok2 = self._within(rest, self.fine, most, radius)
+                    found.append(np.where(ok2 & ok[:, m : m + 1], near[:, m : m + 1] * len(self.fine) + n2, -1))
+                    far.append(d2)
+            found, far = np.concatenate(found, 1), np.concatenate(far, 1)
+            far[(found < 0)] = np.inf
+            far[found == own[i : i + 256, None]] = -1
+            order = np.argsort(far, axis=1, kind="stable")[:, :most]
+            found, far = np.take_along_axis(found, order, 1), np.take_along_axis(far, order, 1)
+            out += [f[k].astype(np.int32) for f, k in zip(found, np.isfinite(far), strict=True)]
         return out
 
     def tables(self, x: np.ndarray, at: int) -> np.ndarray:
         """Squared distances of each query's residual to every code, a table a subspace."""
-        rest = x - self.coarse[at]
+        rest = x - self.centre(np.array([at]))
         out = np.zeros((len(self.books), len(x), CODES))
         for m, ((a, b), book) in enumerate(zip(self.cuts, self.books, strict=True)):
             out[m, :, : len(book)] = _squares(rest[:, a:b], book)
@@ -79,15 +126,18 @@ class Index:
 
 def _matrix(column, dim: int) -> np.ndarray:
     """Unit vectors in double precision, filled up with zeros to ``dim``."""
-    lists = column.to_pylist()
-    x = np.zeros((len(lists), dim))
-    for i, v in enumerate(lists):
-        x[i, : len(v)] = v
+    import pyarrow as pa
+
+    c = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = np.asarray(c.value_lengths())
+    flat = np.asarray(c.flatten(), np.float64)
+    x = np.zeros((len(c), dim))
+    x[np.arange(dim)[None, :] < sizes[:, None]] = flat
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
+def linked(scratch: Scratch, reps: DataFrame, threshold: float, most: int | None) -> DataFrame:
     """(id, add, root): of each comparison the links that a vector gained, copies counted, and the smallest id of its group in it."""
     spark = reps.sparkSession
     n, dim = reps.agg(F.count("*"), F.max(F.size("v"))).first()
@@ -98,8 +148,9 @@ def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
     picked = reps.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "v").toArrow().sort_by("id")
     if not picked.num_rows:
         picked = reps.orderBy("id").limit(256).select("id", "v").toArrow()
-    lists = int(min(MAX_LISTS, max(1, round(n**0.5))))
-    index = Index(_matrix(picked.column("v"), dim), lists)
+    largest = reps.groupBy("label").count().agg(F.max("count")).first()[0]
+    index = Index(_matrix(picked.column("v"), dim), -(-largest // LIST))  # lists grow with the table, so that a vector meets as many others at any size
+    vector = reps.schema["v"].dataType.simpleString()
     radius = float(np.sqrt(2 - 2 * threshold))
 
     def place(batches):
@@ -109,7 +160,7 @@ def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
             if not b.num_rows:
                 continue
             x = _matrix(b.column("v"), dim)
-            probes = index.probes(x, PROBES, radius)
+            probes = index.probes(x, most, radius)
             at = np.array([p[0] for p in probes], np.int32)
             codes, off = index.encode(x, at)
             yield pa.RecordBatch.from_arrays(
@@ -117,7 +168,7 @@ def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
                 names=["id", "copies", "label", "v", "list", "probes", "code", "off"],
             )
 
-    schema = "id bigint, copies bigint, label string, v array<float>, list int, probes array<int>, code binary, off double"
+    schema = f"id bigint, copies bigint, label string, v {vector}, list int, probes array<int>, code binary, off double"
     placed = scratch.table("placed", reps.select("id", "copies", "label", "v").mapInArrow(place, schema)).withColumn("dim", F.size("v"))
     key = ["label", "dim", "list"]
     asked = placed.select("label", "dim", F.explode("probes").alias("list")).groupBy(key).agg(F.count("*").alias("q"))
@@ -149,8 +200,9 @@ def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
             cos = np.concatenate([(xv[i[k : k + 65536]] * yv[j[k : k + 65536]]).sum(1) for k in range(0, len(i), 65536)] or [np.zeros(0)])
             i, j = i[cos >= threshold], j[cos >= threshold]
             xi, yi, xo = (np.array(c.to_pylist(), np.int64) for c in (x.column("id"), y.column("id"), x.column("own")))
-            back = np.full((y.num_rows, PROBES), -1)
-            for r, p in enumerate(y.column("probes").to_pylist()):
+            probes = y.column("probes").to_pylist()
+            back = np.full((y.num_rows, max(map(len, probes))), -1)
+            for r, p in enumerate(probes):
                 back[r, : len(p)] = p
             # a pair that both ends find counts where the smaller one asks
             twice = (back[j] == xo[i][:, None]).any(1)
@@ -177,7 +229,7 @@ def linked(scratch: Scratch, reps: DataFrame, threshold: float) -> DataFrame:
     return rows.groupBy("label", "dim", "list", "mcell", "qcell").applyInArrow(compare, "id bigint, add bigint, root bigint")
 
 
-def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_vectors(df: DataFrame, threshold: float = THRESHOLD, probes: int | None = PROBES, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) of every vector.
 
     Vectors link when their labels are equal and not null, their lengths are
@@ -186,16 +238,18 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
     link with nothing. Equal vectors are one class that counts its copies. An
     index of inverted lists and residual codes, fitted on a bounded sample,
     names candidates without loss inside a probed list; a link is missed only
-    if neither end's probes (at most PROBES lists) hold the other. Every link
-    is reranked exactly. A repeated id is a vector of its own in the counts; a
+    if neither end's probes (the nearest ``probes`` lists) hold the other, and
+    with None, which seeks in every list that can hold a partner, none is.
+    Every link is reranked exactly, and floats or doubles are never narrowed. A repeated id is a vector of its own in the counts; a
     null id links with nothing, has no component and is not kept.
     """
     scratch = Scratch(df.sparkSession, "vectors")
-    rows = slim(df, id=id_col, v=vector_col, label=label_col).select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<float>").alias("v"), F.col("label").cast("string").alias("label"))
+    kind = "array<float>" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = slim(df, id=id_col, v=vector_col, label=label_col).select(F.col("id").cast("bigint").alias("id"), F.col("v").cast(kind).alias("v"), F.col("label").cast("string").alias("label"))
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     good = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(F.forall("v", number) & F.exists("v", lambda x: x != 0), F.lit(False))
     reps = scratch.table("reps", rows.filter(good).groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).select("id", "copies", "label", "v"))
-    found = scratch.table("found", linked(scratch, reps, threshold))
+    found = scratch.table("found", linked(scratch, reps, threshold, probes))
     comp = components(scratch, found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     gained = found.groupBy("id").agg(F.sum("add").alias("add"))
     done = scratch.table("done", reps.join(gained, "id", "left").join(comp, "id", "left").select("label", "v", (F.col("copies") - 1 + F.coalesce("add", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")))

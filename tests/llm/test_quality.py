@@ -108,3 +108,13 @@ def test_held_out_accuracy(spark):
     assert np.mean([got[i]["predicted"] == (1 if i % 4 else 0) for i in held]) > 0.95
     assert 0 <= got[900]["score"] <= 1 and len(got) == len(rows)
     assert {r["score"] for r in Q.score(d, Q.train(d, labels.limit(0), F.lit(True))).collect()} == {0.5}
+
+
+def test_registered_query_scores_held_out_rows(spark):
+    from stratawork.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = queries.op9_rule_ensemble(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").collect()
+    held = [r for r in got if r["held_out"]]
+    assert len(held) > 50 and np.mean([r["quality"] == r["predicted"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
