@@ -57,7 +57,8 @@ class PieceModel:
     place if merging leaves it beside the last piece of the prefix before it
     (``_admitted``); exactly one is, and what is found is the library's result.
     Pieces hold the space mark at their start only, so stretches between marks
-    are independent and each is worked out once and kept.
+    (and line breaks, if no piece holds any) are independent and each is worked
+    out once and kept.
     """
 
     def __init__(self, data: bytes):
@@ -83,14 +84,17 @@ class PieceModel:
         self.direct = self.kind in (UNIGRAM, BPE) and not squeeze and escape and not norm.get(2) and all(MARK not in p.lstrip(MARK) for p in self.id) and not any(v for n, _, p, _, _ in fields(data) if n == 1 for m, _, v, _, _ in fields(p) if m == 3 and v == 4)
         self.auto = ahocorasick.Automaton()
         for p, i in self.id.items():
-            self.auto.add_word(p, (i, len(p)))
+            self.auto.add_word(p, (i, len(p), self.score[i]))
         self.auto.make_automaton()
+        #: What an id reads as, and the characters that are pieces: a text of these alone comes back and lacks nothing.
+        self.reads = [" ⁇ " if i == self.unk else "" if sp.is_control(i) else self.piece[i].replace(MARK, " ") for i in ids]
+        self.single = {p for p in self.id if len(p) == 1}
+        # white space that no piece holds is spelled as bytes wherever it stands, so what is on both sides of it is independent too
+        apart = "".join(c for c in "\n\r\t" if self.fallback and not any(c in p for p in self.id))
+        self.stretch = re.compile(f"[{apart}]|{MARK}*[^{MARK}{apart}]+|{MARK}+") if apart else _STRETCH
         self.lost = min((self.score[i] for i in plain), default=0.0) - 10
-        self.kept: dict[str, bytes] = Memo(self._kept, KEPT)
+        self.kept: dict[str, tuple[bytes, int, bool]] = Memo(self._kept, KEPT)
         self.pairs: dict[tuple[int, int], bool] = Memo(self._admitted, KEPT)
-        self.sums: dict[str, int] = Memo(self._sum_tokens, KEPT)
-        self.lossy: set[str] = set()  # kept stretches that do not come back
-        self.lost_long = False  # whether one that is too long to be kept does not
 
     # -- encoding ---------------------------------------------------------
 
@@ -99,60 +103,67 @@ class PieceModel:
         return array("I", self.encoded(text)[0]).tolist()
 
     def encoded(self, text: str | None) -> tuple[bytes, bool]:
-        """Ids as unsigned 32-bit integers, and whether decoding them gives the text back.
+        """Ids as unsigned 32-bit integers, and whether decoding them gives the text back."""
+        return self.measured(text)[:2]
 
-        A stretch starts with a mark, which is no byte piece, so a text comes
-        back if its stretches do.
+    def measured(self, text: str | None) -> tuple[bytes, bool, int | None]:
+        """``encoded``, and the tokens of the segmentation with the best sum of scores.
+
+        A stretch starts with a mark or is ASCII by itself, and neither ends
+        or starts a longer sequence of byte pieces, so a text comes back if its
+        stretches do. A model or text outside what the pass was
+        proven for goes to the library whole, and has no such number.
         """
         if not text:
-            return b"", True
+            return b"", True, 0
         if not self.direct or "\0" in text:
             ids = self.sp.encode(text)
-            return array("I", ids).tobytes(), self.decode(ids) == text.replace(MARK, " ")
-        if len(self.lossy) > KEPT:
-            self.lossy.clear()
-            self.kept.clear()
-        self.lost_long = False
-        parts = self._parts(text)
-        ids = b"".join(map(self.kept.__getitem__, parts))
-        return ids, not self.lost_long and (not self.lossy or self.lossy.isdisjoint(parts))
-
-    def _parts(self, text: str) -> list[str]:
-        return _STRETCH.findall((MARK if self.prefix else "") + text.replace(" ", MARK))
-
-    def best_sum(self, text: str | None) -> int | None:
-        """Tokens of the segmentation with the best sum of scores, by the plain Viterbi pass; None for a model whose texts have no independent stretches."""
-        if not text:
-            return 0
-        if not self.direct or "\0" in text:
-            return None
-        return sum(map(self.sums.__getitem__, self._parts(text)))
-
-    def _sum_tokens(self, part: str) -> int:
-        return len(self._spell(self._relaxed(part)))
-
-    def _kept(self, part: str) -> bytes:
-        ids = self._stretch(part)
-        if self._text(ids) != part.replace(MARK, " "):
-            if len(part) > self.kept.longest:
-                self.lost_long = True
-            else:
-                self.lossy.add(part)
-        return array("I", ids).tobytes()
-
-    def _stretch(self, s: str) -> list[int]:
-        if self.kind == BPE and s.startswith(MARK * 2):  # runs of marks share one score: ties go by place
-            return self._spell(self._merged(s))
-        if self.kind != BPE:
-            return self._spell(self._relaxed(s))
+            return array("I", ids).tobytes(), self.decode(ids) == text.replace(MARK, " "), None
+        found = list(map(self.kept.__getitem__, self.stretch.findall((MARK if self.prefix else "") + text.replace(" ", MARK))))
+        return b"".join([f[0] for f in found]), all([f[2] for f in found]), sum([f[1] for f in found])
+
+    def _kept(self, part: str) -> tuple[bytes, int, bool]:
+        """(ids, tokens of the best sum, whether it comes back) of a stretch."""
+        plain = self.single.issuperset(part)
+        if self.kind != BPE or part.startswith(MARK * 2):  # runs of marks share one score: ties go by place
+            best = self._spell(self._relaxed(part))
+            ids = best if self.kind != BPE else self._spell(self._merged(part))
+            count = len(best)
+        elif plain:
+            ids, count = self._passed(part)
+        else:
+            ids, count = self._spell(self._admissible(part)), len(self._spell(self._relaxed(part)))
+        return array("I", ids).tobytes(), count, plain or self._text(ids) == part.replace(MARK, " ")
+
+    def _passed(self, s: str) -> tuple[list[int], int]:
+        """(ids, tokens of the best sum) of a stretch without lacking characters: both relaxations in one pass over the outputs."""
         n = len(s)
-        ids, sizes = [-1] * (n + 1), [0] * (n + 1)  # of the piece that ends at a place; size 0: a lacking character
+        ids, sizes = [-1] * (n + 1), [0] * (n + 1)
+        best, count = [0.0] + [-1e300] * n, [0] * (n + 1)
         pairs = self.pairs
-        for end, (i, size) in self.auto.iter(s):  # places in order, at each the pieces that end there
+        for end, (i, size, score) in self.auto.iter(s):
             end += 1
-            if not sizes[end] and (end == size or pairs[(ids[end - size], i)]):
+            at = end - size
+            if not sizes[end] and (not at or pairs[(ids[at], i)]):
                 ids[end], sizes[end] = i, size
-        return self._spell(self._back(s, ids, sizes))
+            total = best[at] + score
+            if total > best[end]:
+                best[end], count[end] = total, count[at] + 1
+        out, at = [], n
+        while at:
+            out.append(ids[at])
+            at -= sizes[at]
+        return out[::-1], count[n]
+
+    def _admissible(self, s: str) -> list[tuple[int, str]]:
+        """The pieces that merging leaves: at each place, in order, the one that merging leaves beside the last piece of the prefix before it."""
+        n = len(s)
+        ids, sizes = [-1] * (n + 1), [0] * (n + 1)  # of the piece that ends at a place; size 0: a lacking character
+        for end, (i, size, _) in self.auto.iter(s):
+            end += 1
+            if not sizes[end] and (end == size or self.pairs[(ids[end - size], i)]):
+                ids[end], sizes[end] = i, size
+        return self._back(s, ids, sizes)
 
     def _relaxed(self, s: str) -> list[tuple[int, str]]:
         """The pieces with the best sum of scores: one Viterbi pass over the automaton's outputs."""
@@ -160,9 +171,9 @@ class PieceModel:
         ids, sizes, best = [-1] * (n + 1), [0] * (n + 1), [0.0] + [-1e300] * n
         for end, found in self._matches(s):
             one = False
-            for i, size in found:
+            for i, size, score in found:
                 one |= size == 1
-                total = best[end - size] + self.score[i]
+                total = best[end - size] + score
                 if total > best[end]:
                     best[end], ids[end], sizes[end] = total, i, size
             if not one and best[end - 1] + self.lost > best[end]:
@@ -255,7 +266,7 @@ class PieceModel:
             if run:
                 out.append(run.decode("utf-8", "replace"))
                 run.clear()
-            out.append(" ⁇ " if i == self.unk else "" if self.sp.is_control(i) else self.piece[i].replace(MARK, " "))
+            out.append(self.reads[i])
         if run:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
@@ -322,8 +333,8 @@ def piece_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             rows = []
             for text in b.column(1).to_pylist():
                 text = text or ""
-                ids, back = m.encoded(text)
-                rows.append((len(text.encode()), len(ids) // 4, zlib.crc32(ids), back, m.best_sum(text)))
+                ids, back, best = m.measured(text)
+                rows.append((len(text.encode()), len(ids) // 4, zlib.crc32(ids), back, best))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["id", "n_bytes", "n_tokens", "ids_crc32", "round_trip", "n_best_sum"])
