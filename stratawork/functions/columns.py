@@ -24,17 +24,20 @@ def blank_to_null(c: Column) -> Column:
     return F.when(strip(c) != "", c)
 
 
+#: Characters of a header that part its words, and those that go; fixed values.
+PARTING, DROPPED = ".-()=_", "?!@#+'\"&"
+_HEADER = str.maketrans(PARTING, " " * len(PARTING), DROPPED)
+
+
 def snake_case(c: Column) -> Column:
-    """Header to column name: separators and '=' to underscores, punctuation dropped, underscores collapsed."""
-    c = F.regexp_replace(F.lower(c), r"[\s.\-()]+", "_")
-    c = F.regexp_replace(F.regexp_replace(c, "=", "_"), r"[?!@#+'\"&]", "")
-    return F.regexp_replace(F.regexp_replace(c, "_+", "_"), "^_|_$", "")
+    """Header to column name: its words in lower case with one underscore between them."""
+    words = F.split(F.translate(F.lower(c), PARTING + DROPPED, " " * len(PARTING)), r"\s+")
+    return F.array_join(F.filter(words, lambda w: w != ""), "_")
 
 
 def snake_name(header: str | None) -> str:
     """``snake_case`` for the driver's side."""
-    s = re.sub(r"[\s.\-()]+", "_", (header or "").lower()).replace("=", "_")
-    return re.sub("_+", "_", re.sub(r"[?!@#+'\"&]", "", s)).strip("_")
+    return "_".join((header or "").lower().translate(_HEADER).split())
 
 
 def map_headers(headers: list[str | None], suffixes: bool = True) -> list[str]:
@@ -148,13 +151,18 @@ def tri_state(hit: Column, c: Column) -> Column:
     return F.when(strip(text(c)) == "", "").when(hit, "Y").otherwise("N")
 
 
+#: Patterns of amounts and of dates; fixed values.
+MONEY = r"\$\s*[\d,]+(?:\.\d{1,2})?|(?i:\b(?:usd|dollars?|cents?)\b)"
+MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
+DATES = rf"\b\d{{1,2}}/\d{{1,2}}/\d{{2,4}}\b|\b\d{{4}}-\d{{2}}-\d{{2}}\b|(?i:\b(?:{MONTHS})\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}\b)"
+
+
 def money(c: Column) -> Column:
-    return tri_state(c.rlike(r"\$\s?\d[\d,]*(\.\d+)?|(?i)\b(usd|dollars?|cents?)\b"), c)
+    return tri_state(c.rlike(MONEY), c)
 
 
 def dates(c: Column) -> Column:
-    months = "January|February|March|April|May|June|July|August|September|October|November|December"
-    return tri_state(c.rlike(rf"\d{{1,2}}/\d{{1,2}}/\d{{2,4}}|\d{{4}}-\d{{2}}-\d{{2}}|({months}) \d{{1,2}}, \d{{4}}"), c)
+    return tri_state(c.rlike(DATES), c)
 
 
 def keyword_list(c: Column) -> Column:
@@ -185,11 +193,22 @@ def run_id(prefix: str, at: Column) -> Column:
 
 
 def forum_date(c: Column, as_of: Column) -> Column:
-    """'Today at h:m:s AM', 'Yesterday at ...' against ``as_of``, or a full date; anything else is null."""
-    day = F.when(F.lower(c).startswith("today"), F.to_date(as_of)).when(F.lower(c).startswith("yesterday"), F.date_sub(F.to_date(as_of), 1))
-    clock = F.regexp_extract(c, r"(\d{1,2}:\d{2}:\d{2} [AP]M)", 1)
-    relative = F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), clock), F.lit("yyyy-MM-dd h:mm:ss a"))
-    return F.when(day.isNotNull(), relative).otherwise(F.try_to_timestamp(c, F.lit("MMMM d, yyyy, h:mm:ss a")))
+    """'Today at h:m:s AM' or 'Yesterday ...' against ``as_of``, whose own time stands where none is given, or a full date; anything else is null."""
+    raw, now = strip(c), as_of.cast("timestamp")
+    base = F.when(F.lower(raw).startswith("today"), now).when(F.lower(raw).startswith("yesterday"), now - F.expr("interval 1 day"))
+    clock = F.upper(F.regexp_extract(raw, r"(?i)(\d+:\d+:\d+\s+[AP]M)", 1))
+    at = F.try_to_timestamp(F.concat_ws(" ", F.date_format(base, "yyyy-MM-dd"), F.regexp_replace(clock, r"\s+", " ")), F.lit("yyyy-MM-dd h:m:s a"))
+    full = F.regexp_extract(raw, r"(?i)^([A-Za-z]+\s+\d+,\s+\d{4},\s+\d+:\d+:\d+\s+)[AP]M", 1)
+    half = F.upper(F.regexp_extract(raw, r"(?i)([AP]M)", 1))
+    exact = F.try_to_timestamp(F.concat(F.regexp_replace(full, r"\s+", " "), half), F.lit("MMMM d, yyyy, h:m:s a"))
+    return F.when(base.isNotNull(), F.when(clock == "", base).otherwise(at)).otherwise(exact)
+
+
+def forum_date_text(c: Column) -> Column:
+    """The first date of a post's header: each part between 'Last Edit:' marks is tried in turn; empty if none has one."""
+    date = r"(?i)((?:Today|Yesterday|\w+ \d+, \d{4}),?\s+(?:at\s+)?\d+:\d+:\d+\s+[AP]M)"
+    parts = F.transform(F.split(F.regexp_replace(text(c), r"\s+", " "), r"Last Edit\s*:"), lambda p: F.regexp_extract(p, date, 1))
+    return text(F.get(F.filter(parts, lambda p: p != ""), F.lit(0)))
 
 
 def any_date(c: Column) -> Column:
@@ -207,3 +226,98 @@ def cosine(a: Column, b: Column) -> Column:
 def tokens(c: Column) -> Column:
     """Lower-cased runs of letters and digits, in order."""
     return F.filter(F.split(F.lower(text(c)), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+
+
+#: Marks of folders that a cloud client keeps, in order; a configuration.
+STORES = [("OneDrive", ["/onedrive"]), ("GoogleDriveSync", ["/google drive", "/googledrive"])]
+
+
+def source_store(path: Column, stores=STORES) -> Column:
+    """The store whose folder a path is in, else Local."""
+    low = F.concat(F.lower(path), F.lit("/"))
+    hits = [F.when(F.array_max(F.array(*(low.contains(m + "/") for m in marks))), name) for name, marks in stores]
+    return F.coalesce(*hits, F.lit("Local"))
+
+
+def drive_file_id(url: Column) -> Column:
+    """The id in a link to a shared file, by its path or else its query; null without one."""
+    tried = (r"/file/d/([a-zA-Z0-9_-]+)", r"[?&]id=([a-zA-Z0-9_-]+)")
+    return F.coalesce(*(F.nullif(F.regexp_extract(url, p, 1), F.lit("")) for p in tried))
+
+
+def folder_cwd(path: Column) -> Column:
+    """The working directory that a project folder's name stands for: drive, then parts between hyphens; null without a hyphen."""
+    parts = F.split(file_name(F.regexp_replace(path, r"[/\\]+$", "")), "-")
+    rest = F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(1))), "\\")
+    return F.when(F.size(parts) >= 2, F.concat(F.get(parts, F.lit(0)), F.lit(":\\"), rest))
+
+
+def without_fence(c: Column) -> Column:
+    """JSON text without the code fence around it."""
+    return strip(F.regexp_replace(strip(text(c)), r"^```[A-Za-z]*\s*|\s*```$", ""))
+
+
+def message_text(c: Column) -> Column:
+    """Message content that is a JSON string or a list of parts: the string, or its text parts joined by spaces; anything else as it is."""
+    parts = F.from_json(c, "array<struct<type:string,text:string>>")
+    said = F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: text(p["text"]))
+    whole = F.get_json_object(F.concat(F.lit('{"x":'), c, F.lit("}")), "$.x")
+    return F.when(F.trim(c).startswith("["), F.array_join(said, " ")).when(F.trim(c).startswith('"'), whole).otherwise(c)
+
+
+def one_or_many(c: Column) -> Column:
+    """A JSON list, or a JSON or bare scalar, as an array of strings; blank and null are empty."""
+    many = F.from_json(c, "array<string>")
+    one = F.when(strip(text(c)) == "", F.array().cast("array<string>")).otherwise(F.array(F.regexp_replace(strip(c), r'^"|"$', "")))
+    return F.when(F.trim(c).startswith("["), F.coalesce(many, F.array().cast("array<string>"))).otherwise(one)
+
+
+def nested_or_dotted(columns: dict[str, object], outer: str, inner: str) -> Column:
+    """``outer.inner`` of a frame whose column may be a struct, or flat under the dotted name; null if neither is there.
+
+    ``columns`` is {field name: data type} of the frame.
+    """
+    from pyspark.sql import types as T
+
+    found = []
+    kind = columns.get(outer)
+    if isinstance(kind, T.StructType) and inner in kind.fieldNames():
+        found.append(F.col(f"`{outer}`").getField(inner).cast("string"))
+    if f"{outer}.{inner}" in columns:
+        found.append(F.col(f"`{outer}.{inner}`").cast("string"))
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
+#: A line of service on a statement, as a vision model reports it.
+SERVICE_RECORDS = "array<struct<service_date:string,description:string,units:bigint,charge:double>>"
+
+
+def service_records(c: Column) -> Column:
+    """The service records of an answer in JSON, fenced or not."""
+    return F.from_json(without_fence(c), f"service_records {SERVICE_RECORDS}")["service_records"]
+
+
+def depth_name(path: Column) -> Column:
+    """A directory's name indented by two spaces a level."""
+    return F.concat(F.repeat(F.lit("  "), path_depth(path)), file_name(path))
+
+
+def fold_case(c: Column, insensitive: bool) -> Column:
+    """Lower case where names are told apart without case only."""
+    return F.lower(c) if insensitive else c
+
+
+def resolve(names: list[str], wanted: str, words: tuple[str, ...] = ()) -> str | None:
+    """The column that is meant: the same name case aside, else the first that holds it, else the first that holds all ``words``."""
+    low = [(n, n.lower()) for n in names]
+    tests = [lambda x: x == wanted.lower(), lambda x: wanted.lower() in x]
+    if words:
+        tests.append(lambda x: all(w in x for w in words))
+    return next((n for test in tests for n, x in low if test(x)), None)
+
+
+def typed_schema(names: list[str], integers: set[str]):
+    """The schema of a loaded sheet: long for the columns of an allow-list, text for all others."""
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField(n, T.LongType() if n in integers else T.StringType()) for n in names])

@@ -77,3 +77,38 @@ def smallest_unused(df: DataFrame, column: str, prefix: str) -> DataFrame:
     used = df.select(F.regexp_extract(column, rf"^{prefix}(\d+)$", 1).try_cast("bigint").alias("n")).filter("n is not null").distinct()
     first = used.select((F.col("n") + 1).alias("n")).union(df.sparkSession.range(1, 2).toDF("n"))
     return first.join(used, "n", "left_anti").agg(F.min("n").alias("n"))
+
+
+def bands(df: DataFrame) -> DataFrame:
+    """(band, min_score): what is no number is 0, the highest first."""
+    return df.select("band", F.coalesce(strip(text(F.col("min_score"))).try_cast("int"), F.lit(0)).alias("min_score")).orderBy(F.desc("min_score"), "band")
+
+
+#: What a scan may be in, and what may follow.
+STATES = {None: ("queued",), "queued": ("running", "stopped"), "running": ("done", "error", "stopped"), "done": (), "error": ("queued",), "stopped": ("queued",)}
+
+
+def advance(history: DataFrame | None, spark: SparkSession, path: str, scan: str, state: str, at: str, rows: int = 0) -> None:
+    """Appends a state of a scan to its history at ``path``; one that may not follow the last raises."""
+    last = None
+    if history is not None:
+        r = history.filter(F.col("scan") == scan).agg(F.max(F.struct("at", "state")).alias("x")).first()["x"]
+        last = r["state"] if r else None
+    if state not in STATES.get(last, ()):
+        raise ValueError(f"{scan} is {last}, {state} may not follow")
+    spark.createDataFrame([(scan, state, at, rows)], "scan string, state string, at string, rows bigint").write.mode("append").parquet(path)
+
+
+def states(history: DataFrame) -> DataFrame:
+    """(scan, state, at, rows): the last state of each scan."""
+    return history.groupBy("scan").agg(F.max(F.struct("at", "state", "rows")).alias("x")).select("scan", "x.state", "x.at", "x.rows")
+
+
+def next_free(names: DataFrame, column: str, wanted: str) -> str:
+    """The name itself if it is free, else the first of name_1, name_2 and on (before the extension) that is."""
+    stem, dot, ext = wanted.rpartition(".")
+    stem, ext = (stem, dot + ext) if dot else (wanted, "")
+    if names.filter(F.col(column) == wanted).isEmpty():
+        return wanted
+    n = smallest_unused(names.select(F.regexp_replace(column, rf"{ext.replace('.', chr(92) + '.')}$", "").alias("__n")), "__n", f"{stem}_").first()["n"]
+    return f"{stem}_{n}{ext}"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratawork.functions.columns import ancestors, cosine
+from stratawork.functions.columns import ancestors
 
 
 def orphan_status(df: DataFrame, keys: DataFrame, key: str, otherwise: Column) -> DataFrame:
@@ -40,24 +40,60 @@ def contained(df: DataFrame, text: str, words: list[str]) -> Column:
     return F.filter(F.array(*map(F.lit, words)), lambda k: low.contains(F.lower(k)))
 
 
-def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str) -> DataFrame:
+def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str, few: int = 20_000) -> DataFrame:
     """(key, entity) for every alias that a text holds as a substring, case aside.
 
-    Aliases, without the white space around them, are a table of bounded size
-    and broadcast. Where one occurs, the words inside it are whole words of
-    the text: it is looked up by the longest of these, an equi join, and
-    checked in full. One of fewer than three words has none and is checked
-    against every text.
+    A table of aliases that is counted to be small goes into one automaton,
+    which passes over each text once. A larger one is joined: an occurrence
+    has the words inside the alias as whole words of the text, so the alias is
+    looked up by the longest of these with (key, word) rows, and only texts of
+    a match are fetched and checked in full; aliases of fewer than three
+    words, which have no inner word, stay with the automaton.
     """
     cut = lambda c: F.filter(F.split(c, r"\s+"), lambda x: x != "")
-    a = aliases.select(F.col(entity).alias("__e"), F.regexp_replace(F.lower(F.col(alias)), r"^\s+|\s+$", "").alias("__a")).filter("__a <> ''").withColumn("__w", cut(F.col("__a")))
-    inner = F.when(F.size("__w") > 2, F.slice("__w", 2, F.size("__w") - 2)).otherwise(F.array(F.lit("")))
+    a = aliases.select(F.col(entity).alias("__e"), F.regexp_replace(F.lower(F.col(alias)), r"^\s+|\s+$", "").alias("__a")).filter("__a <> ''").distinct()
+    t = texts.select(F.col(key), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
+    if a.limit(few + 1).count() <= few:
+        return _by_automaton(t, key, a, entity)
+    a = a.withColumn("__w", cut(F.col("__a")))
+    short = a.filter(F.size("__w") < 3).select("__e", "__a")
+    inner = F.slice("__w", F.lit(2), F.greatest(F.size("__w") - 2, F.lit(1)))
     longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("k"))))["k"]
-    a = a.select("__e", "__a", longest.alias("__k"))
-    t = texts.select(key, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    words = t.select(key, "__t", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), cut(F.col("__t"))))).alias("__k"))
-    found = words.join(F.broadcast(a), "__k").filter(F.contains("__t", "__a"))
-    return found.select(key, F.col("__e").alias(entity)).distinct()
+    long = a.filter(F.size("__w") > 2).select("__e", "__a", longest.alias("__k"))
+    words = t.select(key, F.explode(F.array_distinct(cut(F.col("__t")))).alias("__k"))
+    near = words.join(long, "__k").select(key, "__e", "__a")
+    found = near.join(t, key).filter(F.contains("__t", "__a")).select(key, F.col("__e").alias(entity))
+    return found.union(_by_automaton(t, key, short, entity)).distinct()
+
+
+def _by_automaton(t: DataFrame, key: str, a: DataFrame, entity: str) -> DataFrame:
+    """The aliases of a bounded table in each text, by one pass of an automaton over it."""
+    kinds = {f.name: f.dataType.simpleString() for f in (*t.schema, *a.schema)}
+    table: dict[str, list] = {}
+    for r in a.collect():  # bounded by the caller
+        table.setdefault(r["__a"], []).append(r["__e"])
+    shared = t.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        machine = ahocorasick.Automaton()
+        for word, entities in shared.value.items():
+            machine.add_word(word, entities)
+        machine.make_automaton()
+        for b in batches:
+            at, hits = [], []
+            for k, body in enumerate(b.column(1).to_pylist()):
+                found = {e for _, entities in machine.iter(body) for e in entities} if shared.value else ()
+                at += [k] * len(found)
+                hits += sorted(found)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(hits, b_type)], names=[key, entity])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    b_type = to_arrow_type(a.schema["__e"].dataType)
+    return t.mapInArrow(run, f"`{key}` {kinds[key]}, `{entity}` {kinds['__e']}")
 
 
 def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width: float, within: list[str] = ()) -> DataFrame:
@@ -84,16 +120,60 @@ def last_contained(outer: DataFrame, inner: DataFrame, group: str, width: float)
     return j.groupBy("oid").agg(F.max(F.struct("start", "id")).alias("m")).select("oid", F.col("m.id").alias("last_id"))
 
 
-def nearest_profile(df: DataFrame, key: str, vector: str, profiles: DataFrame, threshold: float) -> DataFrame:
+def nearest_profile(df: DataFrame, key: str, vector: str, profiles: DataFrame, threshold: float, block: int = 20_000) -> DataFrame:
     """(key, profile, similarity) of the most similar profile above the threshold, ties to the first, else Unknown.
 
-    Profiles (profile, ordinal, pv) are a registry of bounded size: the
-    comparison is a broadcast of it, and the maximum an aggregate without a
-    sort.
+    Profiles (profile, ordinal, pv) are counted: up to ``block`` of them go
+    out as one matrix, by which batches of vectors are multiplied; a larger
+    registry is dealt to blocks of that size, a pass each, and the maxima of
+    the blocks are one aggregate by key.
     """
-    j = df.select(key, vector).crossJoin(F.broadcast(profiles)).withColumn("s", cosine(F.col(vector), F.col("pv")))
-    best = j.groupBy(key).agg(F.max(F.when(F.col("s") >= threshold - 1e-9, F.struct("s", (-F.col("ordinal")).alias("o"), "profile"))).alias("b"))
-    return best.select(key, F.coalesce("b.profile", F.lit("Unknown")).alias("profile"), F.coalesce("b.s", F.lit(0.0)).alias("similarity"))
+    parts = max(1, -(-profiles.count() // block))
+    dealt = F.pmod(F.xxhash64("profile", "ordinal"), F.lit(parts))
+    found = [_nearest_of(df, key, vector, profiles if parts == 1 else profiles.filter(dealt == i), threshold) for i in range(parts)]
+    best = found[0]
+    for f in found[1:]:
+        best = best.union(f)
+    if parts > 1:
+        top = F.max(F.when(F.col("profile").isNotNull(), F.struct("similarity", (-F.col("ordinal")).alias("o"), "profile")))
+        best = best.groupBy(key).agg(top.alias("b")).select(key, "b.profile", "b.similarity")
+    return best.select(key, F.coalesce("profile", F.lit("Unknown")).alias("profile"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
+
+
+def _nearest_of(df: DataFrame, key: str, vector: str, profiles: DataFrame, threshold: float) -> DataFrame:
+    """(key, profile, ordinal, similarity) by one matrix of profiles; nulls where none is near enough."""
+    rows = profiles.select("ordinal", F.col("profile").cast("string").alias("profile"), F.col("pv").cast("array<double>").alias("pv")).filter("pv is not null").orderBy("ordinal", "profile").collect()  # a block
+    shared = df.sparkSession.sparkContext.broadcast([(int(r["ordinal"]), r["profile"], r["pv"]) for r in rows])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held = shared.value
+        by_size: dict[int, tuple] = {}
+        for size in {len(pv) for _, _, pv in held}:
+            some = [h for h in held if len(h[2]) == size]
+            m = np.array([h[2] for h in some], float).reshape(len(some), size)
+            by_size[size] = (some, m, np.sqrt((m * m).sum(1)))
+        for b in batches:
+            names, ordinals, sims = [None] * len(b), [None] * len(b), [None] * len(b)
+            vectors = b.column(1).to_pylist()
+            for size, (some, m, norms) in by_size.items():
+                at = [k for k, v in enumerate(vectors) if v is not None and len(v) == size and None not in v]
+                if not at:
+                    continue
+                x = np.array([vectors[k] for k in at], float).reshape(len(at), size)
+                both = np.sqrt((x * x).sum(1))[:, None] * norms[None, :]
+                s = np.where(both > 0, (x @ m.T) / np.where(both > 0, both, 1), 0.0).round(12)  # equal profiles are equal, whatever the order of a sum
+                top = s.argmax(1)
+                for k, t, v in zip(at, top.tolist(), s[np.arange(len(at)), top].tolist(), strict=True):
+                    if v >= threshold - 1e-9:
+                        ordinals[k], names[k], sims[k] = some[t][0], some[t][1], v
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(ordinals, pa.int64()), pa.array(sims, pa.float64())], names=[key, "profile", "ordinal", "similarity"])
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(F.col(key), F.col(vector).cast("array<double>").alias("__v"))
+    return rows.mapInArrow(run, f"`{key}` {kind}, profile string, ordinal bigint, similarity double")
 
 
 def band_of(score: Column, bands: list[tuple[str, int]], default: str = "Skip") -> Column:

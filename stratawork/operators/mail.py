@@ -1,87 +1,153 @@
-"""Message bodies: how a reply quotes, cutting the quote, and signatures."""
+"""Message bodies: how a reply quotes, where it came from, cutting the quote, and signatures."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Boundaries of quoted messages, as patterns; fixed values.
-FORWARD_DASHES = r"\n-{5,}\s*Forwarded message\s*-{5,}"
-FORWARD_BEGIN = r"\nBegin forwarded message:"
-OUTLOOK = r"\nFrom: [^\n]*\n(Sent|Date):"
-ORIGINAL = r"\n-{3,} ?Original Message ?-{3,}"
-ON_WROTE = r"\nOn [^\n]{5,}wrote:"
-IOS = r"\nSent from my [^\n]+"
-#: (trigger pattern, only for senders of this domain or all) of synthetic signatures.
-SIGNATURES = [(r"\n-- ?\n", None), (r"\nThis message is confidential", None), (r"\nExample Corp\b", "example.com")]
-
-
-def strip_method(subject: Column, text: Column, html: Column) -> Column:
-    """How a body quotes, by ordered rules."""
-    t, h, s = (F.coalesce(c, F.lit("")) for c in (text, html, subject))
-    t = F.concat(F.lit("\n"), t)
-    return (
-        F.when(s.rlike(r"(?i)^inline:"), "Inline")
-        .when(s.rlike(r"(?i)^fwd?:"), "Forward")
-        .when(F.lower(h).contains("gmail_quote"), "Gmail")
-        .when(h.contains("MsoNormal"), "Outlook")
-        .when(t.rlike(r"\n>"), "GT_Prefix")
-        .when(h.contains('dir="auto"') | t.rlike(IOS), "iOS")
-        .when(t.rlike(OUTLOOK), "Outlook_Plain")
-        .when(t.rlike(ON_WROTE), "OnWrote")
-        .when(t.rlike(ORIGINAL), "Original")
-        .otherwise("Clean_Reply")
-    )
+from stratawork.functions.html import html_to_text, strip_gmail
+
+#: How a body is told to quote, as patterns over the body; fixed values.
+INLINE = r"(?i)\binline\b"
+FORWARD_SUBJECT = r"(?i)^\s*fwd?\s*[:\-]"
+GT_LINE = r"(?m)^>"
+ORIGINAL_LINE = r"(?im)^-{3,}.*original message.*-{3,}"
+HEADER_LINES = r"(?im)^From:\s.+\n(Subject|Date|Sent):"
+ON_WROTE_ANYWHERE = r"(?i)On .{5,100} wrote:"
+#: Boundaries of quoted messages, as patterns that start with the line break before them; fixed values.
+FORWARD_DASHES = r"(?i)\n[ \t]*-{4,}[ \t]*(?:Forwarded|Original)\s+messages?[ \t]*-{4,}"
+FORWARD_BEGIN = r"(?i)\nBegin\s+forwarded\s+message\s*:"
+OUTLOOK = r"(?i)\nFrom:[ \t]+\S[^\n]*\n(?:Sent|Date):[ \t]"
+ORIGINAL = r"(?i)\n-----Original Message-----"
+ON_WROTE = r"(?i)\nOn .{5,}wrote:"
+IOS_ON_AT = r"(?i)\nOn [A-Za-z]+ \d{1,2}, \d{4}, at \d{1,2}:\d{2}(?:\s*[AP]M)?,"
+MOBILE_HEADER = r"(?i)\nFrom:[ \t]+\"[^\"]{1,80}\"[ \t]+<[^>]{1,80}>\s*\n(?:Subject|Date|To):[ \t]"
+ANNOUNCES = r"(?i)^On .{5,}wrote:\s*$"
+#: (trigger pattern, domain that the sender must have or None for all, lines of a name block above it at most); synthetic names.
+SIGNATURES = [
+    (r"(?i)\nExample Corp", "example.com", 5),
+    (r"(?i)\nGet Outlook for iOS", None, 0),
+    (r"(?i)\nThe information contained in this transmission", None, 0),
+    (r"(?i)\nThis e-mail message, including any attachments", None, 0),
+]
+
+ENDS = r"^\s+|\s+$"
+
+
+def _text(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def _trim(c: Column) -> Column:
+    return F.regexp_replace(c, ENDS, "")
+
+
+def strip_method(subject: Column, text: Column, html: Column, in_reply_to: Column) -> Column:
+    """How a body quotes, by ordered rules over the sender's text, the markup, the subject and whether it answers anything."""
+    t, h, s = _text(text), _text(html), _text(subject)
+    answers = _trim(_text(in_reply_to)) != ""
+    rules = [
+        (t.rlike(INLINE), "Inline"),
+        (s.rlike(FORWARD_SUBJECT), "Forward"),
+        (F.lower(h).contains("gmail_quote"), "Gmail"),
+        (h.contains("MsoNormal"), "Outlook"),
+        (t.rlike(GT_LINE), "GT_Prefix"),
+        (h.contains('dir="auto"') & answers, "iOS"),
+        (t.rlike(ORIGINAL_LINE) | t.rlike(HEADER_LINES), "Outlook_Plain"),
+        (t.rlike(ON_WROTE_ANYWHERE), "OnWrote"),
+        (~answers, "Original"),
+    ]
+    return F.coalesce(*(F.when(hit, name) for hit, name in rules), F.lit("Clean_Reply"))
+
+
+def source_kind(thread_id: Column, file: Column) -> Column:
+    """GMAIL_API if there is a thread id, else by the file's extension MSG_FILE or EML_FILE."""
+    return F.when(_trim(_text(thread_id)) != "", "GMAIL_API").when(F.lower(_text(file)).endswith(".msg"), "MSG_FILE").otherwise("EML_FILE")
+
+
+def has_boundary(text: Column, pattern: str) -> Column:
+    return F.concat(F.lit("\n"), _text(text)).rlike(pattern)
 
 
 def cut(text: Column, pattern: str) -> Column:
     """What is before the first match; a boundary may be the first line."""
-    whole = F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))
-    return F.regexp_replace(F.get(F.split(whole, pattern, 2), F.lit(0)), r"^\s+|\s+$", "")
+    whole = F.concat(F.lit("\n"), _text(text))
+    return _trim(F.get(F.split(whole, pattern, 2), F.lit(0)))
+
+
+def first_cut(text: Column, *patterns: str) -> Column:
+    """Cut at the first pattern, in their order, that is found; without one the text, trimmed."""
+    return F.coalesce(*(F.when(has_boundary(text, p), cut(text, p)) for p in patterns), _trim(_text(text)))
+
+
+def strip_outlook(text: Column) -> Column:
+    """Cut at an Outlook header, which has to be on a line after the first."""
+    return _trim(F.get(F.split(_text(text), OUTLOOK, 2), F.lit(0)))
 
 
 def strip_forward(text: Column) -> Column:
-    whole = F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))
-    return F.when(whole.rlike(FORWARD_DASHES), cut(text, FORWARD_DASHES)).when(whole.rlike(FORWARD_BEGIN), cut(text, FORWARD_BEGIN)).otherwise(cut(text, OUTLOOK))
+    return first_cut(text, FORWARD_DASHES, FORWARD_BEGIN, OUTLOOK)
 
 
 def strip_gt(text: Column) -> Column:
-    """Without quoted lines and the lines that announce them; blank runs collapsed."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ~x.startswith(">") & ~x.rlike(r"^On .*wrote:"))
-    return F.regexp_replace(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    """Without quoted lines and the lines that announce them; runs of blank lines become one."""
+    plain = F.regexp_replace(_text(text), r"\r\n?", "\n")
+    lines = F.filter(F.split(plain, "\n"), lambda x: ~x.startswith(">") & ~x.rlike(ANNOUNCES))
+    return _trim(F.regexp_replace(F.array_join(lines, "\n"), r"\n(?:[^\S\n]*\n)+", "\n\n"))
 
 
 def strip_outlook_plain(text: Column) -> Column:
-    whole = F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))
-    return F.when(whole.rlike(ORIGINAL), cut(text, ORIGINAL)).otherwise(cut(text, OUTLOOK))
+    return F.when(has_boundary(text, ORIGINAL), cut(text, ORIGINAL)).otherwise(strip_outlook(text))
+
+
+def strip_ios(text: Column, plain: Column | None = None) -> Column:
+    """Cut at a mobile client's header in the text, else in the plain body, else as a forward."""
+    tried = [text] if plain is None else [text, plain]
+    found = [F.when(has_boundary(c, p), cut(c, p)) for c in tried for p in (IOS_ON_AT, MOBILE_HEADER)]
+    return F.coalesce(*found, strip_forward(text))
 
 
-def strip_ios(text: Column) -> Column:
-    whole = F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))
-    return F.when(whole.rlike(IOS), cut(text, IOS)).otherwise(strip_forward(text))
+def walk_back(text: Column, most: int) -> Column:
+    """Without the block of name and title lines at the end: up to the blank line before it, ``most`` lines at most."""
+    lines = F.split(F.regexp_replace(text, r"\s+$", ""), "\n")
+    last_blank = F.array_max(F.transform(lines, lambda x, i: F.when(F.trim(x) == "", i + 1).otherwise(0)))
+    return F.array_join(F.slice(lines, F.lit(1), F.greatest(last_blank, F.size(lines) - most, F.lit(0))), "\n")
 
 
 def strip_signature(text: Column, sender: Column | None = None, triggers=SIGNATURES) -> Column:
-    """Cut at the first trigger that is found, in their order; then name lines after the last blank line go."""
-    whole = F.concat(F.lit("\n"), F.coalesce(text, F.lit("")))
-    case = None
-    for pattern, domain in triggers:
-        ok = whole.rlike(pattern)
+    """Cut at the first trigger, in their order, that is found and whose domain the sender has; then name lines above it go."""
+    plain = F.regexp_replace(_text(text), r"\r\n?", "\n")
+    who = _text(sender) if sender is not None else F.lit("")
+    found = []
+    for pattern, domain, lines in triggers:
+        hit = plain.rlike(pattern)
         if domain is not None:
-            ok = ok & (F.endswith(F.lower(F.coalesce(sender, F.lit(""))), F.lit("@" + domain)) if sender is not None else F.lit(False))
-        case = F.when(ok, cut(text, pattern)) if case is None else case.when(ok, cut(text, pattern))
-    return F.coalesce(text, F.lit("")) if case is None else case.otherwise(F.coalesce(text, F.lit("")))
-
-
-def body_clean(method: Column, text: Column) -> Column:
-    """The body without its quote, by method; those that need the element tree are in ``functions.html``."""
-    plain = F.coalesce(text, F.lit(""))
-    return (
-        F.when(method == "Forward", strip_forward(text))
-        .when(method == "GT_Prefix", strip_gt(text))
-        .when(method == "iOS", strip_ios(text))
-        .when(method == "Outlook_Plain", strip_outlook_plain(text))
-        .when(method == "OnWrote", cut(text, ON_WROTE))
-        .when(method == "Outlook", cut(text, OUTLOOK))
-        .otherwise(plain)
-    )
+            hit = hit & F.lower(who).contains(domain)
+        before = F.get(F.split(plain, pattern, 2), F.lit(0))
+        found.append(F.when(hit, _trim(walk_back(before, lines) if lines else before)))
+    return F.coalesce(*found, _trim(plain))
+
+
+def body_clean(method: Column, text: Column, html: Column | None = None, sender: Column | None = None, triggers=SIGNATURES) -> Column:
+    """The body without its quote, by method, and then without its signature.
+
+    Methods that cut work on the text of the markup where there is any, else
+    on the plain text; Inline, Original and Clean_Reply keep the plain text.
+    """
+    plain = _text(text)
+    body = plain
+    gmail = plain
+    if html is not None:
+        marked = _text(html) != ""
+        body = F.when(marked, html_to_text(_text(html))).otherwise(plain)
+        gmail = F.when(marked, strip_gmail(_text(html))).otherwise(plain)
+    by_method = {
+        "Gmail": gmail,
+        "Outlook": strip_outlook(body),
+        "Forward": strip_forward(body),
+        "GT_Prefix": strip_gt(body),
+        "Outlook_Plain": strip_outlook_plain(body),
+        "iOS": strip_ios(body, plain if html is not None else None),
+        "OnWrote": first_cut(body, ON_WROTE),
+    }
+    return strip_signature(F.coalesce(*(F.when(method == m, c) for m, c in by_method.items()), plain), sender, triggers)

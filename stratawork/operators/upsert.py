@@ -13,8 +13,19 @@ def upsert(target: DataFrame, source: DataFrame, key: str, policy: dict[str, str
 
     overwrite takes the source's value, keep_filled the target's unless it is
     blank, if_filled the source's unless it is blank; columns without a policy
-    keep the target's. One full outer join by key.
+    keep the target's. Of rows that repeat a key in the source the greatest
+    counts; rows without a key raise, as an insert could not be found again.
+    One full outer join by key.
     """
+    if key not in source.columns or key not in target.columns:
+        raise ValueError(f"both sides need the key {key}")
+    if not source.filter(F.col(key).isNull() | (F.trim(F.col(key).cast("string")) == "")).isEmpty():
+        raise ValueError(f"source rows without a {key}")
+    rest = [c for c in source.columns if c != key]
+    if rest:
+        source = source.groupBy(key).agg(F.max(F.struct(*rest)).alias("__s")).select(key, "__s.*")
+    else:
+        source = source.distinct()
     s = source.select(key, *(F.col(c).alias(f"__{c}") for c in source.columns if c != key), F.lit(True).alias("__new"))
     j = target.withColumn("__old", F.lit(True)).join(s, key, "full")
     out = [F.col(key)]
@@ -48,3 +59,35 @@ def incremental(prior: DataFrame, new: DataFrame, key: str, mode: str) -> DataFr
         return fresh
     lacked = fresh.join(prior.select(key), key, "left_anti")
     return prior.unionByName(lacked, allowMissingColumns=True) if mode == "accumulate" else lacked
+
+
+def gate(df: DataFrame, path: str, level: str, levels: list[str], wanted: str, mode: str) -> DataFrame:
+    """What is walked again of ``df`` (path, level reached, null if none): with mode skip the paths below ``wanted``, with rewalk all; abort raises if any reached it."""
+    rank = F.coalesce(F.create_map(*(F.lit(x) for i, v in enumerate(levels) for x in (v, i)))[F.col(level)], F.lit(-1))
+    done = df.groupBy(path).agg(F.max(rank).alias("__r"))
+    if mode == "rewalk":
+        return done.select(path)
+    if mode == "abort":
+        if not done.filter(F.col("__r") >= levels.index(wanted)).isEmpty():
+            raise RuntimeError(f"some paths reached {wanted} already")
+        return done.select(path)
+    if mode != "skip":
+        raise ValueError(f"unknown mode {mode}")
+    return done.filter(F.col("__r") < levels.index(wanted)).select(path)
+
+
+def copied(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, dict[str, int]]:
+    """The target and the source's rows that it lacks, and what a copy would do: how many are copied and skipped."""
+    fresh = source.dropDuplicates([key])
+    new = fresh.join(target.select(key), key, "left_anti")
+    n, m = fresh.count(), new.count()
+    return target.unionByName(new, allowMissingColumns=True), {"copied": m, "skipped": n - m}
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, state) of two snapshots with the same columns: new, gone, changed or unchanged, by one full outer join of keys and hashes."""
+    rest = [c for c in before.columns if c != key]
+    hashed = lambda df, name: df.select(key, F.sha2(F.to_json(F.struct(*rest)), 256).alias(name))
+    j = hashed(before, "__b").join(hashed(after, "__a"), key, "full")
+    state = F.when(F.col("__b").isNull(), "new").when(F.col("__a").isNull(), "gone").when(F.col("__a") != F.col("__b"), "changed").otherwise("unchanged")
+    return j.select(key, state.alias("state"))

@@ -54,6 +54,11 @@ def rollover(df: DataFrame, order: list[str], cap: int, existing: int = 0) -> Da
     return n.withColumn("tab", F.floor(F.col("__rn") / cap) + 1).withColumn("row_in_tab", F.col("__rn") % cap + 1).drop("__p", "__l", "__b", "__rn")
 
 
+def numbered(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
+    """``df`` with a consecutive number from 1 over a whole ordered table, without one task that sees all of it."""
+    return rollover(df, order, 1 << 40).withColumnRenamed("row_in_tab", name).drop("tab")
+
+
 def context(words: Column, hit: Column, around: int = 3) -> Column:
     """Words around place ``hit`` (from 0) of a list."""
     first = F.greatest(hit - around, F.lit(0))

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
-from stratawork.operators import config, joins, rollup
+from stratawork.operators import config, joins, rollup, upsert, windows
 from stratawork.plans.registry import registrar
 
 QUERIES, query = registrar()
@@ -59,25 +59,20 @@ def any_and_all(events):
     return events.groupBy("user_id").agg(F.some(F.col("event_type") == "purchase").alias("any_purchase"), F.every(F.col("value") > 1).alias("all_above"))
 
 
-@query("select c_custkey, c_name, rn from (select c_custkey, c_name, row_number() over (order by lower(c_mktsegment), lower(c_name)) as rn from customer) where rn <= 25")
+@query("select c_custkey, c_name, row_number() over (order by lower(c_mktsegment), lower(c_name), c_custkey) as rn from customer")
 def name_sort(customer):
-    order = ["segment", "name", "c_custkey"]
     named = customer.select("c_custkey", "c_name", F.lower("c_mktsegment").alias("segment"), F.lower("c_name").alias("name"))
-    # kept, so that counting the partitions and numbering their rows see the same ones
-    ranged = named.repartitionByRange(*order).sortWithinPartitions(*order).select("c_custkey", "c_name", F.monotonically_increasing_id().alias("id")).persist()
-    part = F.shiftright("id", 33).alias("part")
-    sizes = ranged.groupBy(part).agg(F.count("*").alias("n"))
-    before = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rn = F.col("before") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return ranged.select("*", part).join(F.broadcast(before), "part").select("c_custkey", "c_name", rn.alias("rn"))
+    return windows.numbered(named, ["segment", "name", "c_custkey"]).select("c_custkey", "c_name", "rn")
 
 
-@query("select s_suppkey, cast(regexp_extract(s_name, '([0-9]+)$', 1) as bigint) as n from supplier order by n desc limit 7")
+@query("select s_suppkey, cast(regexp_extract(s_name, '([0-9]+)$', 1) as bigint) as n from supplier")
 def numeric_suffix_sort(supplier):
     return supplier.select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("bigint").alias("n")).orderBy(F.desc("n"))
 
 
-@query("""select vec_id, profile, n from (select vec_id, label % 3 as profile, count(*) over (partition by label % 3) as n from embeddings where vec_id < 40) where n > 1""")
+@query("""with p as (select label as profile, arg_min(embedding, vec_id)::double[] as pv from embeddings group by 1), m as (select e.vec_id, e.label, p.profile, round(coalesce(list_cosine_similarity(e.embedding::double[], p.pv), 0), 12) as s from embeddings e cross join p),
+b as (select distinct label, profile from (select *, row_number() over (partition by vec_id, label order by s desc, profile) as rn from m where s >= 0.3 - 1e-9) where rn = 1)
+select cast(profile as varchar) as profile, count(*) as n, string_agg(cast(label as varchar), ', ' order by cast(label as varchar)) as labels from b group by 1 having count(*) > 1""")
 def profile_conflicts(embeddings):
     first = embeddings.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("pv"))
     profiles = first.select(F.col("label").cast("string").alias("profile"), F.col("label").alias("ordinal"), "pv")
@@ -127,11 +122,12 @@ def keyword_lists(spark):
     return d.select("k", F.array_join(C.keyword_list(F.col("s")), "|").alias("x"))
 
 
-@query("select message_id, found, match_count from (values ('<a@x>', 'Found', 2), ('<b@x>', 'Missing', 0)) t(message_id, found, match_count)")
-def message_id_gate(spark):
-    wanted = spark.createDataFrame([("A@x",), ("<b@x>",)], "id string").select(C.message_id_filter(F.col("id")).alias("message_id"))
-    mail = spark.createDataFrame([("<a@X>",), ("message-id: a@x",), ("c@x",)], "id string").select(C.message_id_filter(F.col("id")).alias("message_id"))
-    n = mail.groupBy("message_id").agg(F.count("*").alias("n"))
+@query("select '<k' || l.doc_id || '@x>' as message_id, case when n > 0 then 'Found' else 'Missing' end as found, coalesce(n, 0) as match_count from labels l left join (select doc_id, count(*) as n from documents where doc_id % 5 <> 0 group by 1) d on d.doc_id = l.doc_id")
+def message_id_gate(labels, documents):
+    """Wanted ids (of labels) among those of messages (documents), both in several spellings."""
+    wanted = labels.select(C.message_id_filter(F.concat(F.lit(" K"), "doc_id", F.lit("@X "))).alias("message_id")).distinct()
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("Message-ID: k"), "doc_id", F.lit("@x"))).otherwise(F.concat(F.lit("<K"), "doc_id", F.lit("@X>")))
+    n = documents.filter("doc_id % 5 <> 0").select(C.message_id_filter(raw).alias("message_id")).groupBy("message_id").agg(F.count("*").alias("n"))
     j = wanted.join(n, "message_id", "left")
     return j.select("message_id", F.when(F.col("n") > 0, "Found").otherwise("Missing").alias("found"), F.coalesce("n", F.lit(0)).alias("match_count"))
 
@@ -141,22 +137,24 @@ def top_per_status(orders):
     return joins.best_of(orders, ["o_orderstatus"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 3).select("o_orderstatus", "o_orderkey", "o_totalprice")
 
 
-@query("""select c.c_custkey, case when o.n is null then 'new' when o.n % 2 = 0 then 'changed' else 'unchanged' end as state from customer c left join (select o_custkey, count(*) as n from orders group by 1) o on c.c_custkey = o.o_custkey""")
-def snapshot_diff(customer, orders):
-    n = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    return customer.join(n, "c_custkey", "left").select("c_custkey", F.when(F.col("n").isNull(), "new").when(F.col("n") % 2 == 0, "changed").otherwise("unchanged").alias("state"))
+@query("""select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null then 'new' when b.o_orderkey is null then 'gone' when a.o_totalprice is distinct from b.price or a.o_orderstatus is distinct from b.o_orderstatus then 'changed' else 'unchanged' end as state
+from (select * from orders where o_orderkey % 7 <> 0) a full join (select o_orderkey, o_orderstatus, case when o_orderkey % 3 = 0 then o_totalprice + 1 else o_totalprice end as price from orders where o_orderkey % 5 <> 0) b on a.o_orderkey = b.o_orderkey""")
+def snapshot_diff(orders):
+    """Two snapshots of a table, compared by a full outer join of keys and hashes of the other columns."""
+    before = orders.filter("o_orderkey % 7 <> 0").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    after = orders.filter("o_orderkey % 5 <> 0").select("o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+    return upsert.snapshot_diff(before, after, "o_orderkey")
 
 
-@query("select event_id, user_id, event_type from events where event_id in (select min(event_id) from events group by user_id, event_type)")
+@query("select distinct user_id, event_type from events")
 def stream_first_seen(spark, sf_dir):
+    """Repeated keys of a stream are dropped by its state, which the watermark bounds."""
     from stratawork.session import own_folder, read_table
-    from stratawork.streaming.ingest import run_to_end
+    from stratawork.streaming.ingest import first_seen, run_to_end
 
     root = own_folder(spark, "stream")
-    events = read_table(spark, sf_dir, "events")
-    # the order of a stream within a batch is not given: the first by id of each key is marked before it goes in
-    first = events.groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
-    first.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(first.schema).parquet(f"{root}/in").dropDuplicates(["user_id", "event_type"])
-    run_to_end(stream, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type")
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
+    keyed = stream.select(F.concat_ws("|", "user_id", "event_type").alias("k"), "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    run_to_end(first_seen(keyed, "k", "at", "10000 days"), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("user_id", "event_type")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
-from stratawork.operators import joins, mail, profile, rollup, rules
+from stratawork.operators import joins, mail, profile, rollup, rules, windows
 from stratawork.plans.registry import MARKED_SQL, marked, registrar
 
 QUERIES, query = registrar()
@@ -63,27 +63,32 @@ def human_size(documents):
     return documents.select("doc_id", C.human_size(F.col("n_chars")).alias("size"), F.round(F.col("n_chars") / F.lit(1048576.0), 6).alias("size_mb"))
 
 
-@query("""select doc_id, case when contains(l, 'invoice') or contains(l, 'amount due') then 'financial' when contains(l, 'statement') or contains(l, 'balance') then 'financial' when contains(l, 'license') or contains(l, 'licence') or contains(l, 'copyright') then 'legal'
-when contains(l, 'agreement') or contains(l, 'contract') then 'legal' when contains(l, 'dear ') or contains(l, 'sincerely') then 'correspondence' when contains(l, '@') or contains(l, 'phone') then 'contact' else 'unknown' end as doc_type,
-case when contains(l, 'invoice') or contains(l, 'amount due') then 'High' when contains(l, 'statement') or contains(l, 'balance') then 'Medium' when contains(l, 'license') or contains(l, 'licence') or contains(l, 'copyright') then 'High'
-when contains(l, 'agreement') or contains(l, 'contract') or contains(l, 'dear ') or contains(l, 'sincerely') then 'Medium' when contains(l, '@') or contains(l, 'phone') then 'Low' else '' end as confidence from (select doc_id, lower(text) as l from documents)""")
+_TYPED = "(text || case doc_id % 10 when 0 then ' Invoice' when 1 then ' claim for long-term care' when 2 then ' coverage CLAIM' when 3 then ' restatement' when 4 then ' trust and trustee' when 5 then ' a trust' when 6 then ' premium' when 7 then ' policy, long-term care' when 8 then ' claim' else '' end)"
+_HITS = "(case when doc_id % 10 = 8 then 'LTC;x' when doc_id % 17 = 0 then 'invoice' else '' end)"
+
+
+@query(f"""select doc_id, case when contains(l, 'invoice') then 'Invoice' when contains(l, 'claim') and (contains(l, 'long-term care') or contains(l, 'ltc')) then 'LTC_Claim' when (contains(l, 'benefit') or contains(l, 'coverage')) and contains(l, 'claim') then 'LTC_Claim'
+when contains(l, 'amendment') or contains(l, 'restatement') then 'Trust_Document' when contains(l, 'trust') then 'Trust_Document' when contains(l, 'premium') or (contains(l, 'policy') and contains(l, 'long-term care')) then 'Insurance_Policy' else '' end as doc_type,
+case when contains(l, 'invoice') or (contains(l, 'claim') and (contains(l, 'long-term care') or contains(l, 'ltc'))) then '' when (contains(l, 'benefit') or contains(l, 'coverage')) and contains(l, 'claim') then '' when contains(l, 'amendment') or contains(l, 'restatement') then 'Amendment' else '' end as subtype,
+case when contains(l, 'invoice') then 'medium' when contains(l, 'claim') and (contains(l, 'long-term care') or contains(l, 'ltc')) then 'medium' when (contains(l, 'benefit') or contains(l, 'coverage')) and contains(l, 'claim') then 'low' when contains(l, 'amendment') or contains(l, 'restatement') then 'medium'
+when contains(l, 'trust') and (contains(l, 'trustee') or contains(l, 'beneficiary') or contains(l, 'fiduciary')) then 'medium' when contains(l, 'trust') then 'low' when contains(l, 'premium') or (contains(l, 'policy') and contains(l, 'long-term care')) then 'low' else '' end as confidence from (select doc_id, lower({_TYPED}) || ' ' || lower({_HITS}) as l from documents)""")
 def doc_type_rules(documents):
-    d = documents.select("doc_id", rules.doc_type(F.col("text")).alias("t"))
-    return d.select("doc_id", "t.doc_type", "t.confidence")
+    d = documents.select("doc_id", rules.doc_type(F.expr(_TYPED), F.expr(_HITS)).alias("t"))
+    return d.select("doc_id", "t.doc_type", "t.subtype", "t.confidence")
 
 
-_SIGNALS = f"""(select doc_id, case when contains(lower(t), 'license') or contains(lower(t), 'copyright') then 'legal' else 'unknown' end as dt, case when doc_id % 7 = 0 then 'Y' else 'N' end as money, case when doc_id % 11 = 0 then 'Y' else 'N' end as dated,
+_SIGNALS = f"""(select doc_id, case when contains(lower(t), 'license') or contains(lower(t), 'copyright') then 'Trust_Document' else '' end as dt, case when doc_id % 7 = 0 then 'Y' else 'N' end as money, case when doc_id % 11 = 0 then 'Y' else 'N' end as dated,
 case when contains(lower(t), ' the ') then 'Y' else 'N' end as kw, case when doc_id % 6 = 0 then 'Y' else 'N' end as ocr from (select doc_id, {MARKED_SQL} as t from documents))"""
-_SCORE = "(case when dt = 'legal' then 25 else 0 end + case when money = 'Y' then 20 else 0 end + case when dated = 'Y' then 10 else 0 end + case when kw = 'Y' then 15 else 0 end + case when ocr = 'Y' then 5 else 0 end)"
+_SCORE = "(case when dt = 'Trust_Document' then 25 else 0 end + case when money = 'Y' then 20 else 0 end + case when dated = 'Y' then 10 else 0 end + case when kw = 'Y' then 15 else 0 end + case when ocr = 'Y' then 5 else 0 end)"
 
 
 @query(f"""select doc_id, score, band, case when band = 'Medium' and ocr = 'Y' then 'OCR then review' when band = 'High' then 'Review now' when band = 'Medium' then 'Review' when band = 'Low' then 'Sample' else 'Archive' end as next_step, reasons from (select doc_id, ocr, {_SCORE} as score,
-case when {_SCORE} >= 60 then 'High' when {_SCORE} >= 35 then 'Medium' when {_SCORE} >= 10 then 'Low' else 'Skip' end as band, concat_ws(';', case when dt = 'legal' then 'DocType=legal' end, case when money = 'Y' then 'Money=Y' end, case when dated = 'Y' then 'Date=Y' end, case when kw = 'Y' then 'Keyword=Y' end, case when ocr = 'Y' then 'OCR=Y' end) as reasons from {_SIGNALS})""")
+case when {_SCORE} >= 60 then 'High' when {_SCORE} >= 35 then 'Medium' when {_SCORE} >= 10 then 'Low' else 'Skip' end as band, concat_ws(';', case when dt = 'Trust_Document' then 'DocType=Trust_Document' end, case when money = 'Y' then 'Money=Y' end, case when dated = 'Y' then 'Date=Y' end, case when kw = 'Y' then 'Keyword=Y' end, case when ocr = 'Y' then 'OCR=Y' end) as reasons from {_SIGNALS})""")
 def triage_band(documents):
     low = F.lower(marked())
     yes = lambda c: F.when(c, "Y").otherwise("N")
     d = documents.select(
-        "doc_id", F.when(low.contains("license") | low.contains("copyright"), "legal").otherwise("unknown").alias("dt"), yes(F.col("doc_id") % 7 == 0).alias("money"),
+        "doc_id", F.when(low.contains("license") | low.contains("copyright"), "Trust_Document").otherwise("").alias("dt"), yes(F.col("doc_id") % 7 == 0).alias("money"),
         yes(F.col("doc_id") % 11 == 0).alias("dated"), yes(low.contains(" the ")).alias("kw"), yes(F.col("doc_id") % 6 == 0).alias("ocr"),
     )
     s = {"DocType": F.col("dt"), "Money": F.col("money"), "Date": F.col("dated"), "Keyword": F.col("kw"), "OCR": F.col("ocr")}
@@ -103,19 +108,20 @@ def page_density(conversations):
     return rules.page_density(conversations.select("conv_id", F.length("text").alias("n")), "conv_id", "n")
 
 
-@query("select conv_id, sum(length(text)) >= 100 as has_text_layer, min(case when length(text) < 100 then turn end) as first_low_page from conversations where turn < 5 group by 1")
+@query("select conv_id, coalesce(sum(case when turn < 5 then length(text) end), 0) >= 100 as has_text_layer, min(case when length(text) < 100 then turn end) as first_low_page from conversations group by 1")
 def text_layer(conversations):
     n = F.length("text")
     return conversations.groupBy("conv_id").agg((F.coalesce(F.sum(F.when(F.col("turn") < 5, n)), F.lit(0)) >= 100).alias("has_text_layer"), F.min(F.when(n < 100, F.col("turn"))).alias("first_low_page"))
 
 
-_COLS = "(select doc_id, left(text, 30) as c1, case when doc_id % 2 = 0 then left(text, 30) else left(text, 20) end as c2, case when doc_id % 3 = 0 then '' else left(text, 20) end as c3, case when doc_id % 5 = 0 then '' else left(text, 30) end as c4 from documents)"
+_ORIGINAL = "(?i)\\n-----Original Message-----"
+_COLS = f"""(select doc_id, text as c1, t as c2, case when doc_id % 3 = 0 then '' else regexp_replace(string_split_regex(chr(10) || t, '{_ORIGINAL}')[1], '^\\s+|\\s+$', '', 'g') end as c3, regexp_replace(t, '^\\s+|\\s+$', '', 'g') as c4 from (select *, {MARKED_SQL} as t from documents))"""
 
 
 def _compared(documents):
-    """The text, the marked text and two cleaned bodies, each whole."""
+    """The text, the marked text, its cut body (none for some) and the marked text trimmed, each whole."""
     d = documents.select("doc_id", F.col("text").alias("c1"), marked().alias("c2"))
-    return d.select("*", mail.body_clean(mail.strip_method(F.lit(""), F.col("c2"), F.lit("")), F.col("c2")).alias("c3"), mail.cut(F.col("c2"), mail.ORIGINAL).alias("c4"))
+    return d.select("*", F.when(F.col("doc_id") % 3 == 0, "").otherwise(mail.cut(F.col("c2"), mail.ORIGINAL)).alias("c3"), F.regexp_replace("c2", mail.ENDS, "").alias("c4"))
 
 
 _CODE = f"""(select doc_id, m, concat(case when c1 = '' then 'E' when c1 = m then 'Y' else 'N' end, case when c2 = '' then 'E' when c2 = m then 'Y' else 'N' end, case when c3 = '' then 'E' when c3 = m then 'Y' else 'N' end, case when c4 = '' then 'E' when c4 = m then 'Y' else 'N' end) as code from
@@ -153,8 +159,4 @@ def level_coverage(events):
 def exact_groups(documents):
     h = documents.select("doc_id", F.sha2("text", 256).alias("sha"))
     keys = h.groupBy("sha").agg(F.count("*").alias("copies"))
-    # ranks over a range partitioning: place in the partition and the partitions' running sums
-    from stratawork.operators.windows import rollover
-
-    ranked = rollover(keys, ["sha"], 1 << 40).select("sha", "copies", F.col("row_in_tab").alias("g"))
-    return h.join(ranked, "sha").select("doc_id", "sha", "g", "copies")
+    return h.join(windows.numbered(keys, ["sha"], "g"), "sha").select("doc_id", "sha", "g", "copies")

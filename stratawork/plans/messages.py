@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
 from stratawork.functions import html as H
-from stratawork.operators import forms, joins, mail, search, windows
-from stratawork.plans.registry import MARKED_SQL, marked, registrar
+from stratawork.operators import joins, mail, search, windows
+from stratawork.plans.registry import MAIL_SQL, MARKED_SQL, marked, messages, registrar
 
 QUERIES, query = registrar()
 
@@ -15,40 +16,75 @@ _M = f"(select doc_id, source, {MARKED_SQL} as t from documents)"
 _STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
 
 
-def _cut(pattern: str) -> str:
+def _cut(pattern: str, of: str = "t") -> str:
     """SQL of what comes before the first match of a boundary."""
-    return _STRIP.format(f"string_split_regex(chr(10) || t, '{pattern}')[1]")
+    return _STRIP.format(f"string_split_regex(chr(10) || {of}, '{pattern}')[1]")
 
 
-@query(f"""select doc_id, case when t like '%' || chr(10) || '>%' then 'GT_Prefix' when regexp_matches(chr(10) || t, '\\nFrom: [^\\n]*\\n(Sent|Date):') then 'Outlook_Plain'
-when regexp_matches(chr(10) || t, '\\nOn [^\\n]{{5,}}wrote:') then 'OnWrote' when regexp_matches(chr(10) || t, '\\n-{{3,}} ?Original Message ?-{{3,}}') then 'Original' else 'Clean_Reply' end as method from {_M}""")
+_METHOD = r"""case when regexp_matches(t, '(?i)\binline\b') then 'Inline' when regexp_matches(subject, '(?i)^\s*fwd?\s*[:\-]') then 'Forward' when contains(lower(html), 'gmail_quote') then 'Gmail' when contains(html, 'MsoNormal') then 'Outlook'
+when regexp_matches(t, '(?m)^>') then 'GT_Prefix' when contains(html, 'dir="auto"') and in_reply_to <> '' then 'iOS' when regexp_matches(t, '(?im)^-{3,}.*original message.*-{3,}') or regexp_matches(t, '(?im)^From:\s.+\n(Subject|Date|Sent):') then 'Outlook_Plain'
+when regexp_matches(t, '(?i)On .{5,100} wrote:') then 'OnWrote' when in_reply_to = '' then 'Original' else 'Clean_Reply' end"""
+_MAIL = f"(select *, {_METHOD} as method from ({MAIL_SQL}))"
+
+
+def _method():
+    return mail.strip_method(F.col("subject"), F.col("t"), F.col("html"), F.col("in_reply_to"))
+
+
+@query(f"select doc_id, method from {_MAIL}")
 def strip_method(documents):
-    return documents.select("doc_id", mail.strip_method(F.lit(""), marked(), F.lit("")).alias("method"))
+    return messages(documents).select("doc_id", _method().alias("method"))
 
 
-@query(f"""select method, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 4) as pct from (select case when t like '%' || chr(10) || '>%' then 'GT_Prefix' when regexp_matches(chr(10) || t, '\\nFrom: [^\\n]*\\n(Sent|Date):') then 'Outlook_Plain'
-when regexp_matches(chr(10) || t, '\\n-{{3,}} ?Original Message ?-{{3,}}') then 'Original' else 'Clean_Reply' end as method from {_M}) group by 1""")
+@query(f"select method, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 4) as pct from {_MAIL} group by 1")
 def method_histogram(documents):
-    g = documents.select(mail.strip_method(F.lit(""), marked(), F.lit("")).alias("method")).groupBy("method").agg(F.count("*").alias("n"))
-    return g.crossJoin(F.broadcast(documents.agg(F.count("*").alias("t")))).select("method", "n", F.round(100.0 * F.col("n") / F.col("t"), 4).alias("pct"))
+    g = messages(documents).groupBy(_method().alias("method")).agg(F.count("*").alias("n"))
+    return g.select("method", "n", F.round(100.0 * F.try_divide(F.col("n"), F.sum("n").over(W.partitionBy())), 4).alias("pct"))  # over a row a method
+
+
+_GT = _STRIP.format(r"regexp_replace(array_to_string(list_filter(string_split(b, chr(10)), lambda x: not starts_with(x, '>') and not regexp_matches(x, '(?i)^On .{5,}wrote:\s*$')), chr(10)), '\n(?:[^\S\n]*\n)+', chr(10) || chr(10), 'g')")
+_OUT = r"(?i)\nFrom:[ \t]+\S[^\n]*\n(?:Sent|Date):[ \t]"
+_FWD = r"(?i)\n[ \t]*-{4,}[ \t]*(?:Forwarded|Original)\s+messages?[ \t]*-{4,}"
+_ORIG = r"(?i)\n-----Original Message-----"
+_AT = r"(?i)\nOn [A-Za-z]+ \d{1,2}, \d{4}, at \d{1,2}:\d{2}(?:\s*[AP]M)?,"
+_NOT_FIRST = _STRIP.format(f"string_split_regex(b, '{_OUT}')[1]")
+_BODY = f"""(select *, case method when 'Gmail' then 'body' when 'Outlook' then {_NOT_FIRST} when 'Forward' then case when regexp_matches(chr(10) || b, '{_FWD}') then {_cut(_FWD, "b")} else {_cut(_OUT, "b")} end when 'GT_Prefix' then {_GT}
+when 'iOS' then case when regexp_matches(chr(10) || b, '{_AT}') then {_cut(_AT, "b")} when regexp_matches(chr(10) || t, '{_AT}') then {_cut(_AT)} else {_cut(_OUT, "b")} end
+when 'Outlook_Plain' then case when regexp_matches(chr(10) || b, '{_ORIG}') then {_cut(_ORIG, "b")} else {_NOT_FIRST} end when 'OnWrote' then {_cut("(?i)\\nOn .{5,}wrote:", "b")} else t end as x
+from (select *, case when html = '' then t when contains(html, 'Gmail') then 'body' || chr(10) || 'old' else 'body' end as b from {_MAIL}))"""
+_SIGNED = _STRIP.format(r"regexp_replace(chr(10) || regexp_replace(string_split_regex(x, '(?i)\nExample Corp')[1], '\s+$', ''), '(?:\n[^\n]*\S[^\n]*){1,5}$', '')")
+
+
+@query(rf"select doc_id, sha256(case when regexp_matches(x, '(?i)\nExample Corp') and contains(lower(sender), 'example.com') then {_SIGNED} else {_STRIP.format('x')} end) as body_hash from {_BODY}")
+def body_clean(documents):
+    return messages(documents).select("doc_id", F.sha2(mail.body_clean(_method(), F.col("t"), F.col("html"), F.col("sender")), 256).alias("body_hash"))
 
 
-@query(f"""select doc_id, sha256(case when doc_id % 5 = 0 then {_STRIP.format("regexp_replace(array_to_string(list_filter(string_split(t, chr(10)), lambda x: not starts_with(x, '>') and not regexp_matches(x, '^On .*wrote:')), chr(10)), '\\n{3,}', chr(10) || chr(10), 'g')")}
-when doc_id % 13 = 0 and doc_id % 17 = 0 then {_cut("\\n-{3,} ?Original Message ?-{3,}")} when doc_id % 13 = 0 then {_cut("\\nFrom: [^\\n]*\\n(Sent|Date):")} else t end) as body_hash from {_M}""")
+@query(f"""select doc_id, sha256(case when method = 'Gmail' then {_STRIP.format("t")} else {_STRIP.format("x")} end) as body_hash from {_BODY.replace("case when html = '' then t when contains(html, 'Gmail') then 'body' || chr(10) || 'old' else 'body' end", "t")}""")
 def body_clean_native(documents):
-    d = documents.select("doc_id", marked().alias("t"))
-    return d.select("doc_id", F.sha2(mail.body_clean(mail.strip_method(F.lit(""), F.col("t"), F.lit("")), F.col("t")), 256).alias("body_hash"))
+    """Plain bodies, by column functions alone."""
+    return messages(documents).select("doc_id", F.sha2(mail.body_clean(_method(), F.col("t"), triggers=mail.SIGNATURES[1:]), 256).alias("body_hash"))
 
 
-@query(f"select doc_id, length({_cut('\\n-{3,} ?Original Message ?-{3,}')}) as n from {_M} where doc_id % 17 = 0")
+@query(f"select doc_id, length({_cut(_ORIG)}) as n from {_M}")
 def strip_original(documents):
     return documents.select("doc_id", F.length(mail.cut(marked(), mail.ORIGINAL)).cast("bigint").alias("n"))
 
 
-@query(f"""select doc_id, case when doc_id % 7 = 0 then 'Y' else 'N' end as money, case when regexp_matches(t, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|(January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{{1,2}}, [0-9]{{4}}') then 'Y' else 'N' end as dates
-from {_M} where not regexp_matches(t, '(?i)usd|dollar|cent') """)
+@query("select doc_id, case when doc_id % 5 = 0 then 'GMAIL_API' when doc_id % 3 = 0 then 'MSG_FILE' else 'EML_FILE' end as kind from documents")
+def source_kinds(documents):
+    thread = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(" t"), "doc_id"))
+    file = F.concat(F.lit("f"), "doc_id", F.when(F.col("doc_id") % 3 == 0, ".MSG").otherwise(".eml"))
+    return documents.select("doc_id", mail.source_kind(thread, file).alias("kind"))
+
+
+_DATED = f"({MARKED_SQL} || case doc_id % 19 when 0 then ' Sept 3rd, 2020' when 1 then ' on JAN 3rd 2020' when 2 then ' march 4, 1999' when 3 then ' ten Dollars' when 4 then ' recent' when 5 then ' 3/4/20' when 6 then ' usd' else '' end)"
+
+
+@query(rf"""select doc_id, case when regexp_full_match(t, '\s*') then '' when regexp_matches(t, '\$\s*[0-9,]+|(?i)\b(usd|dollars?|cents?)\b') then 'Y' else 'N' end as money,
+case when regexp_full_match(t, '\s*') then '' when regexp_matches(t, '\b[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}\b|\b[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\b') or regexp_matches(t, '(?i)\b({C.MONTHS})\s+[0-9]{{1,2}}(st|nd|rd|th)?,?\s+[0-9]{{4}}\b') then 'Y' else 'N' end as dates from (select doc_id, {_DATED} as t from documents)""")
 def money_dates(documents):
-    d = documents.select("doc_id", marked().alias("t"))
+    d = documents.select("doc_id", F.expr(_DATED.replace("chr(10)", "'\\n'")).alias("t"))
     return d.select("doc_id", C.money(F.col("t")).alias("money"), C.dates(F.col("t")).alias("dates"))
 
 
@@ -73,8 +109,7 @@ def keyword_hits(documents):
     return documents.select("doc_id", hits.alias("h")).filter(F.size("h") > 0).select("doc_id", F.array_join("h", ";").alias("keywords"))
 
 
-@query("""with t as (select doc_id, ' ' || regexp_replace(regexp_replace(lower(text), '\\s+', ' ', 'g'), '^ | $', '', 'g') || ' ' as t from documents), a as (select item_id, ' ' || regexp_replace(regexp_replace(lower(text), '\\s+', ' ', 'g'), '^ | $', '', 'g') || ' ' as a from benchmark)
-select doc_id, item_id from t join a on contains(t, a)""")
+@query("select doc_id, item_id from documents d join (select item_id, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') as a from benchmark) on a <> '' and contains(lower(d.text), a)")
 def entity_hits(documents, benchmark):
     return joins.containment_join(documents, "doc_id", "text", benchmark, "text", "item_id")
 
@@ -104,7 +139,7 @@ def keyword_context(documents):
     return d.select("doc_id", F.col("pos").cast("bigint").alias("pos"), windows.context(F.col("w"), F.col("pos")).alias("context"))
 
 
-@query("""select conv_id, turn, role, left(text, 400) as snippet from (select *, row_number() over (partition by conv_id order by turn) as rn from conversations where role in ('user', 'assistant') and length(text) > 20 and not contains(text, '<')) where rn <= 3""")
+@query("""select conv_id, turn, role, left(text, 400) as snippet from (select *, row_number() over (partition by conv_id order by turn) as rn from conversations where role in ('user', 'assistant') and length(text) > 20 and not regexp_matches(text, '<(local-command|command-name|ide_opened)')) where rn <= 26""")
 def session_messages(conversations):
     tagged = F.col("text").rlike("<(local-command|command-name|ide_opened)")
     c = conversations.filter(F.col("role").isin("user", "assistant") & (F.length("text") > 20) & ~tagged)
@@ -121,14 +156,6 @@ def url_parts(pages):
     return pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"), F.nullif(F.regexp_extract("url", "page=([0-9]+)", 1), F.lit("")).alias("page"), C.safe_file_name(F.col("url")).alias("file_name"))
 
 
-@query(f"""select doc_id, map_extract_value as claim, billed, units from (select doc_id, 'C-' || doc_id as map_extract_value, cast(doc_id as double) + 0.5 as billed, case when doc_id % 3 = 0 then doc_id end as units from documents)""")
-def claim_fields(documents):
-    text = F.concat(F.lit("Claim Number: C-"), F.col("doc_id"), F.lit("\nAmount billed: $"), F.col("doc_id"), F.lit(".50\n"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Units: "), F.col("doc_id"))).otherwise(""))
-    d = documents.select("doc_id", forms.extract(text).alias("v"))
-    typed = forms.typed(F.col("v"))
-    return d.select("doc_id", *typed).select("doc_id", F.col("claim_number").alias("claim"), "billed", "units")
-
-
 @query(None)
 def html_to_text(pages):
     return pages.select("page_id", H.html_to_text(F.col("html")).alias("text"))
@@ -157,9 +184,9 @@ def page_markdown(pages):
     return pages.select("page_id", H.to_markdown(F.col("html")).alias("text"))
 
 
-@query(None)
+@query("""select conv_id, turn, case when turn % 5 = 0 then '{broken' else '{"conv_id": ' || conv_id || ', "cwd": "' || case when turn % 5 = 1 then '/other' else '/new' end || '", "role": "' || role || '"}' end as line from conversations""")
 def jsonl_rewrite(conversations):
     from stratawork.sources.readers import rewrite_json_lines
 
-    line = F.when(F.col("turn") % 5 == 0, "{broken").otherwise(F.to_json(F.struct("conv_id", F.lit("/OLD").alias("cwd"), "role")))
+    line = F.when(F.col("turn") % 5 == 0, "{broken").otherwise(F.to_json(F.struct("conv_id", F.when(F.col("turn") % 5 == 1, "/other").otherwise("/OLD").alias("cwd"), "role")))
     return rewrite_json_lines(conversations.select("conv_id", "turn", line.alias("line")), "line", "cwd", ["/old"], "/new")

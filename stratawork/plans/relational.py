@@ -6,7 +6,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
-from stratawork.operators import dedup, joins, upsert as U
+from stratawork.operators import dedup, joins, windows
+from stratawork.operators import upsert as U
 from stratawork.plans.registry import registrar
 from stratawork.sources import sinks
 
@@ -105,9 +106,9 @@ def missing_files(orders, lineitem):
     return orders.join(lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
 
 
-@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')")
 def orphan_files(customer, orders):
-    return customer.join(orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    return customer.join(orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 @query("select p_partkey, p_name from part where p_partkey in (select l_partkey from lineitem where l_quantity > 45)")
@@ -149,8 +150,7 @@ def zero_filled_grid(spark, nation, customer):
 @query("select o_orderstatus, o_orderpriority, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 4) as pct from orders group by 1, 2")
 def status_breakdown(orders):
     g = orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
-    total = orders.agg(F.count("*").alias("t"))
-    return g.crossJoin(F.broadcast(total)).select("o_orderstatus", "o_orderpriority", "n", F.round(100.0 * F.col("n") / F.col("t"), 4).alias("pct"))
+    return g.select("o_orderstatus", "o_orderpriority", "n", F.round(100.0 * F.try_divide(F.col("n"), F.sum("n").over(W.partitionBy())), 4).alias("pct"))  # over a row a group
 
 
 @query("""select p_name, count(distinct p_brand) as n_brands, array_to_string(list_slice(list_sort(list(distinct p_brand)), 1, 5), '; ') as sample from part group by 1 having count(distinct p_brand) > 1""")
@@ -165,11 +165,25 @@ def duplicate_basenames(part):
     return part.join(many, "p_name").select("p_partkey", "p_name", "n")
 
 
-@query("""select metric, value from (select count(*) as orders, count(distinct o_custkey) as customers, sum(case when o_orderstatus = 'F' then 1 else 0 end) as finished, sum(case when o_totalprice > 300000 then 1 else 0 end) as large from orders)
-unpivot (value for metric in (orders, customers, finished, large))""")
-def metric_summary(orders):
-    one = orders.agg(F.count("*").alias("orders"), F.countDistinct("o_custkey").alias("customers"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"), F.count_if(F.col("o_totalprice") > 300000).alias("large"))
-    return one.unpivot([], ["orders", "customers", "finished", "large"], "metric", "value")
+@query("""select metric, value from (select (select count(*) from orders) as indexed_rows, (select count(distinct o_custkey) from orders) as indexed_keys, (select count(*) from customer) as disk_files, (select count(*) from supplier) as embedded_files, (select count(*) from lineitem) as records,
+(select count(*) from orders where o_custkey not in (select c_custkey from customer)) as missing, (select count(*) from customer where c_custkey not in (select o_custkey from orders)) as orphans, (select count(*) from supplier where s_suppkey in (select o_custkey from orders)) as embedded_matches,
+(select count(*) from (select o_orderkey, count(l_orderkey) as n from orders left join lineitem on o_orderkey = l_orderkey group by 1) where n <> o_orderkey % 7) as count_mismatches, (select count(*) from part where p_name in (select p_name from part group by 1 having count(*) > 1)) as duplicate_names,
+(select count(*) from (select p_name from part group by 1 having count(distinct p_brand) > 1)) as collisions) unpivot (value for metric in (indexed_rows, indexed_keys, disk_files, embedded_files, records, missing, orphans, embedded_matches, count_mismatches, duplicate_names, collisions))""")
+def metric_summary(orders, customer, supplier, lineitem, part):
+    """The eleven counts of an audit, each one aggregate of its own relation."""
+    keys = orders.select(F.col("o_custkey").alias("k")).distinct()
+    lines = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    declared = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").filter(F.coalesce("n", F.lit(0)) != F.col("o_orderkey") % 7)
+    names = part.groupBy("p_name").agg(F.count("*").alias("n"), F.countDistinct("p_brand").alias("brands"))
+    counts = {
+        "indexed_rows": orders, "indexed_keys": keys, "disk_files": customer, "embedded_files": supplier, "records": lineitem,
+        "missing": orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left_anti"), "orphans": customer.join(keys, customer["c_custkey"] == keys["k"], "left_anti"),
+        "embedded_matches": supplier.join(keys, supplier["s_suppkey"] == keys["k"], "left_semi"), "count_mismatches": declared,
+    }
+    out = [df.agg(F.count("*").alias("value")).select(F.lit(name).alias("metric"), "value") for name, df in counts.items()]
+    out.append(names.filter("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value")).select(F.lit("duplicate_names").alias("metric"), "value"))
+    out.append(names.agg(F.count_if(F.col("brands") > 1).alias("value")).select(F.lit("collisions").alias("metric"), "value"))
+    return sinks.union_all(out)
 
 
 @query("""select field, "1-URGENT" as urgent, "5-LOW" as low from (select field, o_orderpriority, v from (select o_orderpriority, cast(count(*) as double) as n, round(sum(o_totalprice), 2) as total from orders group by 1) unpivot (v for field in (n, total)))
@@ -196,12 +210,12 @@ def upsert_policy(orders):
     return U.upsert(t, s.union(n), "o_orderkey", {"o_orderstatus": U.KEEP_FILLED, "o_orderpriority": U.IF_FILLED, "o_totalprice": U.OVERWRITE})
 
 
-@query("select doc_id, n_chars from documents where doc_id % 3 = 0 and doc_id not in (select doc_id from labels)")
+@query("select doc_id, n_chars from documents where doc_id not in (select doc_id from labels)")
 def incremental_new_only(documents, labels):
     return U.incremental(labels.select("doc_id"), documents.select("doc_id", "n_chars"), "doc_id", "incremental")
 
 
-@query("select doc_id from labels union select doc_id from documents where doc_id % 3 = 0")
+@query("select doc_id from labels union select doc_id from documents")
 def incremental_accumulate(documents, labels):
     return U.incremental(labels.select("doc_id"), documents.select("doc_id"), "doc_id", "accumulate")
 
@@ -221,8 +235,8 @@ def insert_replace(customer):
 @query("select 'F' || lpad(cast(row_number() over (order by s_suppkey) + (select max(s_suppkey) from supplier) as varchar), 5, '0') as file_id, s_suppkey from supplier")
 def next_file_ids(supplier):
     top = supplier.agg(F.max("s_suppkey").alias("m"))
-    rn = F.row_number().over(W.orderBy("s_suppkey"))  # ids are consecutive over a dimension table
-    return supplier.withColumn("rn", rn).crossJoin(F.broadcast(top)).select(F.format_string("F%05d", F.col("rn") + F.col("m")).alias("file_id"), "s_suppkey")
+    n = windows.numbered(supplier.select("s_suppkey"), ["s_suppkey"])
+    return n.crossJoin(F.broadcast(top)).select(F.format_string("F%05d", F.col("rn") + F.col("m")).alias("file_id"), "s_suppkey")
 
 
 @query("""select n_name, count(*) as suppliers, round(avg(s_acctbal), 4) as avg_balance, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey where l_shipdate >= timestamp '1996-01-01' group by 1""")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from stratawork.functions.columns import file_name, map_headers, message_id_filter, strip
+from stratawork.functions.columns import extension, file_name, fold_case, map_headers, message_id_filter, strip
+from stratawork.session import own_folder, ship
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -48,12 +49,33 @@ def read_export(spark: SparkSession, path: str, label: str, root: str = "emails"
     return df.select(F.explode(root).alias("e")).select("e.*").withColumn("_input_source", F.lit(label))
 
 
+def lenient_records(document, roots=("emails", "messages", "records", "data")) -> list:
+    """The records of a parsed JSON document: a list as it is; of an object the value of the first known root that is there, else its first list, else itself; of anything else none."""
+    if isinstance(document, list):
+        return document
+    if not isinstance(document, dict):
+        return []
+    named = [document[r] for r in roots if r in document]
+    lists = [v for v in document.values() if isinstance(v, list)]
+    found = (named or lists or [[document]])[0]
+    return found if isinstance(found, list) else [found]
+
+
 def read_lenient(spark: SparkSession, path: str, roots=("emails", "messages", "records", "data")) -> DataFrame:
-    """Rows of a JSON document of any usual shape: a list, the first known list, else the first list, else the one object."""
-    df = spark.read.option("multiLine", True).json(path)
-    lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)]
-    root = next((r for r in roots if r in lists), lists[0] if lists else None)
-    return df if root is None else df.select(F.explode(root).alias("e")).select("e.*")
+    """Rows of JSON documents of any usual shape (``lenient_records``), each document in one task; the rows' schema is inferred over all."""
+    ship(spark)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = [json.dumps(r, ensure_ascii=False) for text in b.column(0).to_pylist() for r in lenient_records(json.loads(text), roots) if isinstance(r, dict)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["value"])
+
+    lines = spark.read.text(path, wholetext=True).select("value").mapInArrow(run, "value string")
+    target = own_folder(spark, "lenient")
+    lines.write.text(target)
+    return spark.read.json(target)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -64,7 +86,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def rewrite_json_lines(df: DataFrame, line: str, field: str, old: list[str], new: str) -> DataFrame:
-    """Lines whose top-level ``field`` is one of ``old``, case aside, get ``new``; malformed and other lines stay as they are."""
+    """Lines whose top-level ``field`` is one of ``old``, case aside, get ``new``; objects are written out again, malformed and other lines stay as they are."""
     known = [x.lower() for x in old]
 
     @F.pandas_udf(T.StringType())
@@ -74,10 +96,11 @@ def rewrite_json_lines(df: DataFrame, line: str, field: str, old: list[str], new
                 v = json.loads(x)
             except (TypeError, ValueError):
                 return x
-            if isinstance(v, dict) and isinstance(v.get(field), str) and v[field].lower() in known:
+            if not isinstance(v, dict):
+                return x
+            if isinstance(v.get(field), str) and v[field].lower() in known:
                 v[field] = new
-                return json.dumps(v, ensure_ascii=False)
-            return x
+            return json.dumps(v, ensure_ascii=False)
 
         return s.map(one)
 
@@ -85,9 +108,11 @@ def rewrite_json_lines(df: DataFrame, line: str, field: str, old: list[str], new
 
 
 def read_message_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct normalised ids of a list: comments, blanks and a header that names messages are passed over."""
-    t = spark.read.text(path).select(strip(F.split("value", ",")[0]).alias("v")).filter("v <> '' and not v rlike '^[#;]'")
-    return t.filter(~(F.lower("v").contains("message") & ~F.col("v").contains("@"))).select(message_id_filter(F.col("v")).alias("message_id")).distinct()
+    """(position, message_id): distinct normalised ids of a list in the order of their first places; comments, blanks and a first row that names messages are passed over."""
+    t = spark.read.text(path).select(F.monotonically_increasing_id().alias("position"), strip(F.split("value", ",")[0]).alias("v")).filter("v <> '' and not v rlike '^[#;]'")
+    head = t.agg(F.min(F.struct("position", "v")).alias("h")).select(F.when(F.lower("h.v").contains("message") & ~F.contains("h.v", F.lit("@")), F.col("h.position")).alias("skipped"))
+    ids = t.crossJoin(F.broadcast(head)).filter("skipped is null or position <> skipped")  # one row
+    return ids.groupBy(message_id_filter(F.col("v")).alias("message_id")).agg(F.min("position").alias("position")).select("position", "message_id")
 
 
 def read_folder(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
@@ -97,16 +122,76 @@ def read_folder(spark: SparkSession, path: str, content: bool = False) -> DataFr
     return df.select(*cols, *(["content"] if content else []))
 
 
+def by_name(files: DataFrame, insensitive: bool = True) -> DataFrame:
+    """(name, paths) of a folder: the sorted paths of each base name, case aside where names are told apart without it."""
+    return files.groupBy(fold_case(F.col("name"), insensitive).alias("name")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+
+
+def read_sample(spark: SparkSession, path: str, chars: int = 500) -> DataFrame:
+    """(path, sample, extracted) of text files: their first characters; a file that cannot be read as UTF-8 text is empty and not extracted."""
+    raw = read_folder(spark, path, content=True)
+    whole = F.try_validate_utf8("content")
+    ok = whole.isNotNull()
+    return raw.select("path", F.when(ok, F.left(whole, F.lit(chars))).otherwise("").alias("sample"), ok.alias("extracted"))
+
+
+def paged(fetch, size: int = 1000):
+    """Rows of a source that is read by (offset, limit), page after page until a short one."""
+    at = 0
+    while True:
+        page = fetch(at, size)
+        yield from page
+        if len(page) < size:
+            return
+        at += size
+
+
+def read_paged(spark: SparkSession, fetch, schema: str, size: int = 1000) -> DataFrame:
+    """A paged source as a frame: one task reads page after page and holds one at a time."""
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            for _ in range(len(b)):
+                held = []
+                for row in paged(fetch, size):
+                    held.append(row)
+                    if len(held) == size:
+                        yield pd.DataFrame(held)
+                        held = []
+                if held:
+                    yield pd.DataFrame(held)
+
+    return spark.range(1).mapInPandas(run, schema)
+
+
+def macro_names(source: Column) -> Column:
+    """The distinct names of procedures and properties in a module's source, in the order of their first places."""
+    return F.array_distinct(F.regexp_extract_all(F.coalesce(source, F.lit("")), F.lit(r"(?im)^\s*(?:Public |Private |Friend )?(?:Static )?(?:Sub|Function|Property (?:Get|Let|Set))\s+(\w+)"), 1))
+
+
+def seen_values(lines: DataFrame, file: str, line: str, field: str) -> DataFrame:
+    """The distinct values of a top-level field in the first file, by name, that has any."""
+    v = lines.select(F.col(file).alias("f"), F.get_json_object(line, f"$.{field}").alias(field)).filter(F.col(field).isNotNull())
+    first = v.agg(F.min("f").alias("f"))
+    return v.join(F.broadcast(first), "f", "left_semi").select(field).distinct()
+
+
 class _Unit(InputPartition):
     def __init__(self, root: str, shallow: bool):
         self.root, self.shallow = root, shallow
 
 
 class WalkSource(DataSource):
-    """``walk``: files below ``path``, a partition for each of its sub-directories and one for the files beside them.
-
-    Links are not followed, unreadable directories give a row with an error;
-    option depth bounds how deep it goes (none: all).
+    """``walk``: what is below ``path``, a partition for each of its sub-directories and one for what lies beside them.
+
+    A directory is a row with its own numbers of files and sub-directories
+    (kind dir, or error where it cannot be read), a file a row of kind file.
+    Option depth bounds how deep directories are opened (none: all). Links are
+    passed over, or, with option links, followed to directories that the same
+    partition has not visited, so cycles end; files met twice by that are told
+    apart by ``real``.
     """
 
     @classmethod
@@ -114,36 +199,58 @@ class WalkSource(DataSource):
         return "walk"
 
     def schema(self) -> str:
-        return "path string, directory string, name string, size_bytes bigint, modified double, depth int, error string"
+        return "kind string, path string, real string, directory string, name string, size_bytes bigint, modified double, depth int, files int, subdirs int, error string"
 
     def reader(self, schema):
-        return _WalkReader(self.options["path"], int(self.options.get("depth", "1000000")))
+        o = self.options
+        return _WalkReader(o["path"], int(o.get("depth", "1000000")), o.get("links", "false").lower() == "true")
 
 
 class _WalkReader(DataSourceReader):
-    def __init__(self, root: str, depth: int):
-        self.root, self.depth = root.rstrip("/"), depth
+    def __init__(self, root: str, depth: int, links: bool):
+        self.root, self.depth, self.links = root.rstrip("/"), depth, links
 
     def partitions(self):
-        subs = sorted(e.path for e in os.scandir(self.root) if e.is_dir(follow_symlinks=False)) if self.depth > 0 else []
+        subs = sorted(e.path for e in os.scandir(self.root) if e.is_dir(follow_symlinks=self.links)) if self.depth > 0 else []
         return [_Unit(self.root, True), *(_Unit(s, False) for s in subs)]
 
     def read(self, unit):
-        stack = [unit.root]
+        stack, seen = [unit.root], set()
+        if not unit.shallow and self.links and os.path.islink(unit.root) and os.path.realpath(unit.root).startswith(os.path.realpath(self.root) + os.sep):
+            return  # a link to what another partition reads
         while stack:
             d = stack.pop()
-            deep = d[len(self.root) :].count("/")
+            real, deep = os.path.realpath(d), d[len(self.root) :].count("/")
+            if real in seen:
+                continue
+            seen.add(real)
             try:
                 entries = sorted(os.scandir(d), key=lambda e: e.name)
             except OSError as e:
-                yield (None, d, None, None, None, deep, type(e).__name__)
+                yield ("error", d, real, os.path.dirname(d), os.path.basename(d), None, None, deep, None, None, type(e).__name__)
                 continue
-            for e in entries:
-                if e.is_symlink():
-                    continue
-                if e.is_dir(follow_symlinks=False):
-                    if not unit.shallow and deep < self.depth:
-                        stack.append(e.path)
-                else:
-                    s = e.stat(follow_symlinks=False)
-                    yield (e.path, d, e.name, s.st_size, s.st_mtime, deep, None)
+            plain = [e for e in entries if self.links or not e.is_symlink()]
+            dirs = [e for e in plain if e.is_dir(follow_symlinks=self.links)]
+            files = [e for e in plain if e.is_file(follow_symlinks=self.links)]
+            yield ("dir", d, real, os.path.dirname(d), os.path.basename(d), None, None, deep, len(files), len(dirs), None)
+            for e in files:
+                s = e.stat(follow_symlinks=self.links)
+                yield ("file", e.path, os.path.realpath(e.path), d, e.name, s.st_size, s.st_mtime, deep, None, None, None)
+            if not unit.shallow and deep < self.depth:
+                stack += [e.path for e in dirs]
+
+
+def shallow_stats(walk: DataFrame, left_out: list[str] = ()) -> DataFrame:
+    """(path, subdirs, files, size) of each directory of a walk, files with an extension of ``left_out`` not counted."""
+    own = walk.filter("kind = 'file'").filter(~extension(F.col("name")).isin(list(left_out)))
+    sums = own.groupBy(F.col("directory").alias("path")).agg(F.count("*").alias("files"), F.sum("size_bytes").alias("size"))
+    dirs = walk.filter("kind = 'dir'").select("path", "subdirs")
+    return dirs.join(sums, "path", "left").select("path", "subdirs", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("size", F.lit(0)).alias("size"))
+
+
+def whole_files(walk: DataFrame, extensions: list[str], folders: list[str]) -> DataFrame:
+    """The files of a walk but those of system extensions or below a system folder, each real file once."""
+    from stratawork.operators.rules import in_system_folder
+
+    f = walk.filter("kind = 'file'").filter(~extension(F.col("name")).isin(extensions) & ~in_system_folder(F.col("directory"), folders))
+    return f.groupBy("real").agg(F.min_by(F.struct("path", "directory", "name", "size_bytes", "modified", "depth"), "path").alias("x")).select("x.*")

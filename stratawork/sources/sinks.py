@@ -58,5 +58,81 @@ def write_markdown(df: DataFrame, path: str, by: str, text: str, order: str) ->
 
 
 def write_json_document(df: DataFrame, path: str, root: str = "emails") -> None:
-    """Rows as JSON lines, the form in which a distributed export stays readable in parallel."""
-    df.select(F.to_json(F.struct(F.struct(*df.columns).alias(root))).alias("value")).write.mode("overwrite").text(path)
+    """JSON documents ``{root: [...]}``, one a partition, which ``read_export`` reads back in parallel."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        opened = False
+        for b in batches:
+            rows = b.column(0).to_pylist()
+            lines = [f"{',' if opened or k else ''}{r}" for k, r in enumerate(rows)]
+            if rows and not opened:
+                lines[0] = f'{{"{root}": [\n{lines[0]}'
+                opened = True
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]}" if opened else f'{{"{root}": []}}'], pa.string())], names=["value"])
+
+    df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
+def write_audit(df: DataFrame, path: str) -> None:
+    """The one-row report beside a document."""
+    df.select(F.to_json(F.struct(*df.columns))).write.mode("overwrite").text(path)
+
+
+def insert_rows(df: DataFrame, connect, statement: str, batch: int = 50) -> None:
+    """Rows into a database by a parameterised statement, in batches, the remainder too; a partition is one transaction.
+
+    ``connect`` gives a DB-API connection on an executor. A failure rolls the
+    partition back and is raised, and Spark runs it again: a statement that
+    passes over keys that are there, or replaces them, is then idempotent.
+    """
+
+    def run(rows):
+        con = connect()
+        try:
+            held = []
+            for r in rows:
+                held.append(tuple(r))
+                if len(held) == batch:
+                    con.executemany(statement, held)
+                    held = []
+            if held:
+                con.executemany(statement, held)
+            con.commit()
+        except BaseException:
+            con.rollback()
+            raise
+        finally:
+            con.close()
+
+    df.foreachPartition(run)
+
+
+def reload(tables: list[tuple[str, DataFrame]], shared: set[str] = frozenset()) -> None:
+    """Replaces the tables, children first as listed; shared ones are left as they are."""
+    for name, df in tables:
+        if name not in shared:
+            df.write.mode("overwrite").saveAsTable(name)
+
+
+def json_rows(df: DataFrame, bodies: list[str], cap: int = 500) -> DataFrame:
+    """Each row as a JSON array of its cells, long bodies cut with a suffix, nulls empty."""
+    from stratawork.functions.columns import shorten, text
+
+    cells = [text(shorten(F.col(f"`{c}`").cast("string"), cap) if c in bodies else F.col(f"`{c}`").cast("string")) for c in df.columns]
+    return df.select(F.to_json(F.array(*cells)).alias("row"))
+
+
+def chapter_index(df: DataFrame, by: str) -> DataFrame:
+    """A line of markdown for each chapter with the number of its sections."""
+    return df.groupBy(by).agg(F.count("*").alias("n")).select(by, F.concat(F.lit("- ["), F.col(by), F.lit("]("), F.col(by), F.lit(".md) ("), F.col("n").cast("string"), F.lit(" sections)")).alias("line"))
+
+
+def directory_rows(tree: DataFrame, status: str = "not_scanned") -> DataFrame:
+    """An inventory of directories: names indented by depth, and a status for those without one."""
+    from stratawork.functions.columns import depth_name
+
+    old = F.col("status") if "status" in tree.columns else F.lit(None).cast("string")
+    return tree.select(depth_name(F.col("path")).alias("name"), *[c for c in tree.columns if c != "status"], F.coalesce(old, F.lit(status)).alias("status"))
