@@ -137,8 +137,8 @@ def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None
     pairs = None
     if open_.limit(1).count():
         prefix = prefixes(scratch, docs, open_.select("id").distinct())
-        held = busy(prefix, comp).filter(F.col("c") > HOT)
-        first = held.groupBy("t").agg(F.min(F.struct("id", "n", "component")).alias("x"))
+        held = busy(scratch, prefix, comp, "busy1").filter(F.col("c") > HOT)
+        first = scratch.table("firsts", held.groupBy("t").agg(F.min(F.struct("id", "n", "component")).alias("x")))
         led = held.join(first, "t").filter((F.col("x.component") != F.col("component")) & _sized(F.col("n"), F.col("x.n")))
         led = scratch.table("led", near(reps, led.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()))
         verified = verified.union(scratch.table("links1", verify(scratch, docs, led, "sets1")))
@@ -147,7 +147,7 @@ def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None
     rest = apart(candidates.select("a", "b"), comp)
     rest = scratch.table("rest", rest.union(pairs).distinct() if pairs is not None else rest)
     verified = verified.union(scratch.table("links2", verify(scratch, docs, rest, "sets2")))
-    scratch.drop("candidates", "best", "led", "rest", "open", "open-sets", "prefixes", "busy", *(f"{k}{e}" for k in ("sets", "sets1", "sets2") for e in ("", "-ends")))
+    scratch.drop("candidates", "best", "led", "rest", "open", "open-sets", "prefixes", "firsts", *(f"busy{k}{e}" for k in (1, 2) for e in ("", "-rows", "-held")), *(f"{k}{e}" for k in ("sets", "sets1", "sets2") for e in ("", "-ends")))
     return verified
 
 
@@ -197,11 +197,15 @@ def prefixes(scratch: Scratch, docs: DataFrame, open_: DataFrame) -> DataFrame:
     return scratch.table("prefixes", prefix.select(F.col("x.t").alias("t"), "id", "n").distinct())
 
 
-def busy(prefix: DataFrame, comp: DataFrame) -> DataFrame:
-    """``prefix`` with the component of each document, and the number c of documents, for shingles whose holders are not of one component already."""
-    rows = prefix.join(comp, "id", "left").select("t", "id", "n", F.coalesce("component", "id").alias("component"))
+def busy(scratch: Scratch, prefix: DataFrame, comp: DataFrame, name: str) -> DataFrame:
+    """``prefix`` with the component of each document, and the number c of documents, for shingles whose holders are not of one component already.
+
+    What is counted is a table of its own: the join of a shingle that very
+    many documents hold is then a plain one, whose hot partitions are split.
+    """
+    rows = scratch.table(f"{name}-rows", prefix.join(comp, "id", "left").select("t", "id", "n", F.coalesce("component", "id").alias("component")))
     held = rows.groupBy("t").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("t", "c")
-    return rows.join(held, "t")
+    return scratch.table(name, rows.join(scratch.table(f"{name}-held", held), "t"))
 
 
 def late(scratch: Scratch, reps: DataFrame, prefix: DataFrame, comp: DataFrame) -> DataFrame:
@@ -210,7 +214,7 @@ def late(scratch: Scratch, reps: DataFrame, prefix: DataFrame, comp: DataFrame)
     Holders of a shingle that few share are paired up, those of others are
     compared in cells.
     """
-    rows = scratch.table("busy", busy(prefix, comp))
+    rows = busy(scratch, prefix, comp, "busy2")
     groups = rows.filter(F.col("c") <= HOT).groupBy("t").agg(F.sort_array(F.collect_list(F.struct("id", "n", "component"))).alias("g"))  # HOT of them at most
     few = groups.select("g", F.posexplode("g").alias("i", "x")).select("x", F.explode(F.slice("g", F.col("i") + 2, F.size("g"))).alias("y"))
     few = few.filter((F.col("x.component") != F.col("y.component")) & (F.col("x.id") < F.col("y.id")) & _sized(F.col("x.n"), F.col("y.n"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
