@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratawork.llm import jaccard_join, packing, quality_classifier, quality_rules
@@ -27,15 +27,23 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by id) of each group that near-duplicate links join, and all without an id.
 
-    Rows that repeat an id are one document: the one of the smallest text hash stays.
+    Rows that repeat an id are one document: the one of the smallest hashes of
+    its text and its columns stays. They are found by an aggregate of hashes
+    and thinned with partial aggregates, so an id that many rows share is not
+    brought together first.
     """
     comp = jaccard_join.jaccard_components(docs)
     gone = Scratch(spark, "copies").table("gone", comp.filter("component_id <> doc_id").select("doc_id").distinct())
     out = docs.join(if_small(gone)[0], "doc_id", "left_anti")  # few enough ids go to the texts, not the texts to them
-    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-        out = out.withColumn("__first", first).filter("doc_id is null or __first = 1").drop("__first")
-    return out.select(docs.columns)
+    row = [F.xxhash64("text"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))]
+    best = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.struct(row[0].alias("h"), row[1].alias("g"))).alias("b")).filter("n > 1")
+    best = Scratch(spark, "repeats").table("best", best.select("doc_id", "b.h", "b.g"))
+    if not best.isEmpty():
+        b = if_small(best)[0].alias("b")
+        once = out.alias("d").join(b, F.col("d.doc_id") == F.col("b.doc_id"), "left_anti")
+        kept = out.alias("d").join(b, (F.col("d.doc_id") == F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.h")) & (F.xxhash64(*(F.col(f"d.`{c}`") for c in docs.columns)) == F.col("b.g")), "left_semi")
+        out = once.union(kept.dropDuplicates(["doc_id"]))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
