@@ -41,3 +41,33 @@ def test_run_is_registered(spark):
 
     assert "pipeline" in __spark_entry__.queries()
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_repeated_ids_are_one_document(spark):
+    """An id that most rows share, rows that differ in text or in other columns only, whole repeats, and ids that are null."""
+    from tests.llm.conftest import prose
+
+    texts = [prose(900 + i, 60) for i in range(6)]
+    rows = [(7, texts[0], "a")] * 30 + [(7, texts[1], "a"), (7, texts[0], "b"), (8, texts[2], "a"), (8, texts[2], "a"), (9, texts[3], "a"), (None, texts[4], "a"), (None, texts[4], "a"), (10, texts[5], "a"), (11, texts[5] + " tail", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `b.h` string").repartition(3)
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(str(r[0]) for r in got) == ["10", "7", "8", "9", "None", "None"]
+    assert set(got) <= set(rows)
+    again = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(2), SF).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_stages_take_megabytes(spark):
+    """A text of megabytes among small ones, whole through all stages."""
+    from tests.llm.conftest import prose
+
+    huge = prose(5, 300_000)
+    docs = spark.createDataFrame([(1, huge, "en", "s", 1), (2, prose(6, 200), "en", "s", 1), (3, huge + " more words at the end", "en", "s", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
+    from stratawork.llm import quality_rules
+
+    words = {r["doc_id"]: r["n_words"] for r in quality_rules.apply_rules(docs).collect()}
+    assert words == {1: 300_000, 2: 200, 3: 300_005}
+    packed = corpus_pipeline.pack(spark, kept, SF).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"] for r in packed} == {1, 2} and max(r["n"] for r in packed) > 300_000
