@@ -7,7 +7,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratawork.llm.support import Scratch, if_small, open_reader, slim, write_file
@@ -74,8 +74,8 @@ def records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
 def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One response record a row, as archives under ``root``; gives the records' headers.
 
-    (uri, nth, page_id, payload_bytes, payload_digest, url); a null html is an
-    empty payload. Archives are named by partition and number, so that a
+    (uri, part, made, nth, page_id, payload_bytes, payload_digest, url); a null
+    html is an empty payload. Archives are named by partition and number, so that a
     repeated task writes the same files.
     """
 
@@ -91,20 +91,32 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
                 digest = hashlib.sha256(payload).hexdigest()
                 uri, url = f"{root}/{part:07d}-{made:05d}.warc.gz", _clean(url)
                 headers = [("WARC-Record-ID", record_id(uri, len(buffer))), ("WARC-Date", CAPTURED), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Page-ID", "" if page is None else str(page)), ("Content-Type", "application/http; msgtype=response")]
-                out.append((uri, len(buffer), page, len(payload), digest, url))
+                out.append((uri, part, made, len(buffer), page, len(payload), digest, url))
                 buffer.append(member("response", headers, http_block(payload)))
                 size += len(buffer[-1])
                 if size >= ARCHIVE_BYTES:
                     write_file(uri, b"".join([opening(uri), *buffer]))
                     made, buffer, size = made + 1, [], 0
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["uri", "nth", "page_id", "payload_bytes", "payload_digest", "url"])
+            cols = list(zip(*out, strict=True)) or [()] * 8
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["uri", "part", "made", "nth", "page_id", "payload_bytes", "payload_digest", "url"])
         if buffer:
             write_file(uri, b"".join([opening(uri), *buffer]))
 
     rows = slim(pages, page_id=id_col, url=url_col, html=html_col).withColumn("page_id", F.col("page_id").cast("bigint"))
-    return rows.mapInArrow(run, "uri string, nth bigint, page_id bigint, payload_bytes bigint, payload_digest string, url string")
+    return rows.mapInArrow(run, "uri string, part int, made int, nth bigint, page_id bigint, payload_bytes bigint, payload_digest string, url string")
+
+
+def counted(scratch: Scratch, headers: DataFrame) -> tuple[DataFrame, int]:
+    """``headers`` with the number of their archive, from 0 without gaps, and how many archives there are.
+
+    Archives are counted by partition; running sums are of one number each.
+    """
+    parts = headers.groupBy("part").agg((F.max("made") + 1).alias("k"))
+    base = F.coalesce(F.sum("k").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = scratch.table("parts", parts.select("part", "k", base.alias("base")))
+    total = parts.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+    return headers.join(if_small(parts.select("part", "base"), SMALL)[0], "part").withColumn("archive", (F.col("base") + F.col("made")).cast("int")), total
 
 
 def resolve(scratch: Scratch, headers: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
@@ -123,7 +135,7 @@ def resolve(scratch: Scratch, headers: DataFrame, min_bytes: int = MIN_REVISIT)
     joined = headers.join(first, "payload_digest", "left")
     own = (F.col("first.uri") == F.col("uri")) & (F.col("first.nth") == F.col("nth"))
     revisit = (F.col("payload_bytes") >= min_bytes) & F.col("first").isNotNull() & ~own
-    return joined.select("uri", "nth", "page_id", "payload_bytes", "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"), F.when(revisit, F.col("first")).alias("to"))
+    return joined.select("archive", "uri", "nth", "page_id", "payload_bytes", "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first.page_id")).alias("refers_to"), F.when(revisit, F.col("first")).alias("to"))
 
 
 def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame:
@@ -136,7 +148,7 @@ def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame
     def run(key, table):
         import pyarrow as pa
 
-        source = key[0].as_py()
+        source = table.column("uri")[0].as_py()
         target = f"{root}/{source.rsplit('/', 1)[1]}"
         verdict = dict(zip(table.column("nth").to_pylist(), table.column("to").to_pylist(), strict=True))
         out = [opening(target)]
@@ -153,8 +165,9 @@ def rewrite_archives(resolved: DataFrame, root: str, archives: int) -> DataFrame
         write_file(target, b"".join(out))
         return pa.table({"uri": pa.array([target], pa.string()), "records": pa.array([len(out) - 1], pa.int64())})
 
-    # about an archive a partition, by ranges: its headers are few bytes, but each stands for a whole archive's work
-    return resolved.select("uri", "nth", "to").repartitionByRange(max(1, archives), "uri").groupBy("uri").applyInArrow(run, "uri string, records bigint")
+    # an archive a partition, by its number: its headers are few bytes, but each stands for a whole archive's work
+    dealt = resolved.select("archive", "uri", "nth", "to").repartitionById(max(1, archives), F.col("archive"))
+    return dealt.groupBy("archive").applyInArrow(run, "uri string, records bigint")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
@@ -195,6 +208,7 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT, id_col: str = "pa
     """
     scratch = Scratch(pages.sparkSession, "warc")
     headers = scratch.table("headers", write_archives(pages, scratch.path("raw"), id_col, url_col, html_col))
-    manifest = scratch.table("manifest", rewrite_archives(resolve(scratch, headers, min_bytes), scratch.path("final"), headers.select("uri").distinct().count()))
-    scratch.drop("raw", "headers", "first")
+    numbered, archives = counted(scratch, headers)
+    manifest = scratch.table("manifest", rewrite_archives(resolve(scratch, numbered, min_bytes), scratch.path("final"), archives))
+    scratch.drop("raw", "headers", "first", "parts")
     return read_archives(manifest).withColumnRenamed("page_id", id_col)

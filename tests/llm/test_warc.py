@@ -35,7 +35,9 @@ def test_fresh_ids_and_references(spark, tmp_path):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
     s = Scratch(spark, "warc")
     headers = s.table("headers", warc.write_archives(pages, s.path("raw")))
-    manifest = s.table("manifest", warc.rewrite_archives(warc.resolve(s, headers), s.path("final"), 2))
+    numbered, archives = warc.counted(s, headers)
+    assert archives == 2 and sorted({r["archive"] for r in numbered.collect()}) == [0, 1]
+    manifest = s.table("manifest", warc.rewrite_archives(warc.resolve(s, numbered), s.path("final"), archives))
     assert sum(r["records"] for r in manifest.collect()) == 5
     read = lambda k: [h for f in glob.glob(s.path(k).removeprefix("file:") + "/*.gz") for h, _ in warc.records(f)]
     raw, final = read("raw"), read("final")
