@@ -156,34 +156,70 @@ def url_parts(pages):
     return pages.select("page_id", F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"), F.nullif(F.regexp_extract("url", "page=([0-9]+)", 1), F.lit("")).alias("page"), C.safe_file_name(F.col("url")).alias("file_name"))
 
 
-@query(None)
+def _decoded(x: str) -> str:
+    return f"""replace(replace(replace(replace(regexp_replace({x}, '&amp;?', chr(1), 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), chr(1), '&')"""
+
+
+_SPACED = "regexp_replace(regexp_replace({}, '\\s+', ' ', 'g'), '^ | $', '', 'g')"
+_NODES = "list_filter(string_split_regex(regexp_replace(regexp_replace(regexp_replace({}, '(?s)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', chr(2), 'g'), '<br[^>]*>', chr(2) || chr(10) || chr(2), 'g'), '<[^>]*>?', chr(2), 'g'), chr(2) || '+'), lambda x: x <> '')"
+_LINES = r"regexp_replace(regexp_replace(regexp_replace({}, '[^\S\n]+(\n|$)', '\1', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
+_TEXT = _LINES.format(_decoded(f"array_to_string({_NODES.format('html')}, chr(10))"))
+
+
+@query(f"select page_id, {_TEXT} as text from pages")
 def html_to_text(pages):
     return pages.select("page_id", H.html_to_text(F.col("html")).alias("text"))
 
 
-@query(None)
+@query(f"""select page_id, {_SPACED.format(_decoded("x"))} as text from (select page_id, replace(regexp_replace(replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '"</p>"', chr(2)), '<[^>]*>?', '', 'g'), chr(2), '"</p>"') as x from pages)""")
 def strip_html(pages):
     return pages.select("page_id", H.strip_html(F.col("html")).alias("text"))
 
 
-@query(None)
+@query(f"select page_id, {_TEXT} as text from pages")
 def strip_gmail(pages):
-    quoted = F.concat(F.lit("<div>"), F.col("html"), F.lit('<br><div class="gmail_quote">old</div></div>'))
-    return pages.select("page_id", H.strip_gmail(quoted).alias("text"))
+    """A reply whose quote comes after blank space and a break: the quote, what follows it and the space before it go."""
+    quoted = F.concat(F.lit("<div><div>"), F.col("html"), F.lit('</div> <br> <div class="x Gmail_Quote">old</div>after</div>'))
+    closed = F.when(F.col("html").endswith("</html>"), quoted).otherwise(F.col("html"))  # a page that breaks off would take in what follows
+    return pages.select("page_id", H.strip_gmail(closed).alias("text"))
 
 
-@query(None)
+@query(f"""select page_id, {_SPACED.format(_decoded(f"array_to_string(list_filter(list_transform({_NODES.format('html')}, lambda y: regexp_replace(y, '^\\s+|\\s+$', '', 'g')), lambda y: y <> ''), ' ')"))} as own_text, case when page_id % 2 = 0 then 'A B' else 'unknown' end as author, 'said so' as quoted from pages""")
 def post_parts(pages):
-    post = F.concat(F.lit("<cite>Quote from: A on today</cite><blockquote>said <b>so</b></blockquote>"), F.col("html"))
+    post = F.concat(F.lit('<blockquote class="bbc_standard_quote">'), F.when(F.col("page_id") % 2 == 0, "<cite><a>Quote from: A B on today</a></cite>").otherwise(""), F.lit("said <b>so</b></blockquote>"), F.col("html"))
     p = pages.select("page_id", H.split_post(post).alias("p"))
     return p.select("page_id", "p.own_text", F.explode_outer("p.quotes").alias("q")).select("page_id", "own_text", F.col("q.author").alias("author"), F.col("q.text").alias("quoted"))
 
 
-@query(None)
+def _markdown(x: str) -> str:
+    steps = [(H.HEADING, "chr(10) || '## \\1' || chr(10)"), (H.BOLD, "'**\\1**'"), (H.INDENTED, "chr(10) || ' '"), (H.PARAGRAPH, "chr(10)"), ("<[^>]+>", "''"), (r"[ \t]+", "' '"), (r"\n{3,}", "chr(10) || chr(10)"), (r"^\s+|\s+$", "''")]
+    for pattern, to in steps:
+        x = f"regexp_replace({x}, '{pattern}', {to}, 'g')"
+    return x
+
+
+@query(f"select page_id, {_markdown('html')} as text from pages")
 def page_markdown(pages):
     return pages.select("page_id", H.to_markdown(F.col("html")).alias("text"))
 
 
+_CHAPTER_PAGE = """('<li><p></p><p class="h"><b>§ ' || page_id || '. Head</b></p><p style="margin-left: 38.5px">in <b>bold</b></p><p style="text-indent:18px">out</p></li><li><p></p> <p></p></li><li><p></p>' || html || '</li>')"""
+
+
+@query(f"""select page_id, len(s) as n_sections, array_to_string(s, chr(10)) as text from (select page_id, list_filter(list_transform(list_filter(regexp_extract_all({_CHAPTER_PAGE}, '{H.SECTION}', 1), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g') not in ('', '<p></p>')), lambda x: {_markdown("x")}), lambda x: x <> '') as s from pages)""")
+def statute_sections(pages):
+    s = H.sections(F.expr(_CHAPTER_PAGE))
+    return pages.select("page_id", F.size(s).cast("bigint").alias("n_sections"), F.array_join(s, "\n").alias("text"))
+
+
+@query("""select page_id, unnest(case when page_id % 3 = 0 then ['01', '1' || page_id % 7] else ['1' || page_id % 7] end) as number, unnest(case when page_id % 3 = 0 then ['General', 'Other ' || page_id] else ['Other ' || page_id] end) as name from pages""")
+def chapter_links(pages):
+    link = lambda k, name: F.concat(F.lit('<a href="/statutes/chapter/09A/'), k, F.lit('" class="x"> <b>Chapter '), k, F.lit(":</b> "), name, F.lit(" </a>"))
+    other = link(F.concat(F.lit("1"), F.col("page_id") % 7), F.concat(F.lit("Other "), "page_id"))
+    page = F.concat(F.when(F.col("page_id") % 3 == 0, link(F.lit("01"), F.lit("General"))).otherwise(""), other, F.col("html"), other)
+    return pages.select("page_id", F.explode(H.chapters(page)).alias("c")).select("page_id", "c.number", "c.name")
+
+
 @query("""select conv_id, turn, case when turn % 5 = 0 then '{broken' else '{"conv_id": ' || conv_id || ', "cwd": "' || case when turn % 5 = 1 then '/other' else '/new' end || '", "role": "' || role || '"}' end as line from conversations""")
 def jsonl_rewrite(conversations):
     from stratawork.sources.readers import rewrite_json_lines

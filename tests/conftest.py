@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import signal
 import sys
 from pathlib import Path
 
@@ -19,3 +20,16 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def limit():
+    """A test that takes ten minutes hangs: it fails then, and the others go on."""
+
+    def over(*_):
+        raise TimeoutError("the test took ten minutes")
+
+    signal.signal(signal.SIGALRM, over)
+    signal.alarm(600)
+    yield
+    signal.alarm(0)

@@ -54,8 +54,12 @@ def test_html():
     assert H.html_text("<p>a<br>b <b>c</b></p><script>x()</script>") == "a\n\n\nb\nc".replace("\n\n\n", "\n\n")
     assert H.without_quote('<div>new<br><div class="X gmail_quote">old</div>after</div>') == "new"
     assert H.without_quote("tail A&B") == "tail A&B"
-    own, quotes = H.post_parts("<cite>Quote from: Ann on Monday</cite><blockquote>hi <b>you</b></blockquote>mine")
-    assert (own, quotes) == ("mine", [("Ann", "hi you")])
+    quote = lambda body: f'<blockquote class="x bbc_standard_quote">{body}</blockquote>'
+    post = f'a {quote("<cite><a>Quote from: Ann B on Monday</a></cite>hi <b>you</b>")}mine<blockquote>kept</blockquote>{quote("no cite")}'
+    assert H.post_parts(post) == ("a mine kept", [("Ann B", "hi you"), ("unknown", "no cite")])
+    nested = quote("<cite>Quote from: A on x</cite>outer " + quote("<cite>Quote from: B on y</cite>inner"))
+    assert H.post_parts(nested) == ("", [("A", "outer Quote from: B on y inner"), ("B", "inner")])
+    assert H.plain_text("a<br>b <script>x</script>") == "ab x"
     assert H.plain_text(None) == "" and H.html_text(None) == ""
 
 
