@@ -72,7 +72,7 @@ def _cut(d: Column) -> Column:
 
 
 def currency(c: Column) -> Column:
-    return F.regexp_replace(c, "[$,]", "").try_cast("double")
+    return strip(F.regexp_replace(c, "[$,]", "")).try_cast("double")
 
 
 def extension(path: Column, dot: bool = True) -> Column:
@@ -212,8 +212,21 @@ def forum_date_text(c: Column) -> Column:
 
 
 def any_date(c: Column) -> Column:
-    """The first of the usual formats that fits."""
-    return F.coalesce(*(F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in ("M/d/yyyy", "M/d/yy", "yyyy-MM-dd", "MMMM d, yyyy")))
+    """The first of the usual formats that fits; two digits of a year from 69 on are of the last century."""
+    raw = strip(c)
+    day = lambda f: F.to_date(F.try_to_timestamp(raw, F.lit(f)))
+    short = day("M/d/yy")
+    return F.coalesce(day("M/d/yyyy"), F.when(F.year(short) >= 2069, F.add_months(short, -1200)).otherwise(short), day("yyyy-MM-dd"), day("MMMM d, yyyy"))
+
+
+def likes(c: Column) -> Column:
+    """N of 'N people like this' or '1 person likes this', else 0."""
+    return F.coalesce(F.regexp_extract(text(c), r"(?i)(\d+)\s+(?:people|person)\s+likes?\s+this", 1).try_cast("int"), F.lit(0))
+
+
+def plain_title(c: Column) -> Column:
+    """A title without the marks of replies before it."""
+    return F.regexp_replace(c, r"^(Re:\s*)+", "")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -12,15 +12,19 @@ from stratawork.plans.registry import registrar
 QUERIES, query = registrar()
 
 
-@query("""select * from (values ('doc', '.pdf', 'N'), ('doc', '.txt', 'N'), ('img', '.png', 'Y')) t(family, extension, should_skip)""")
-def family_config(spark):
-    d = spark.createDataFrame([(0, "doc", "PDF; .txt", None), (1, "img", ".png;.pdf;", " y ")], "ordinal int, family string, extensions string, should_skip string")
-    return config.families(d)
-
-
-@query("""select * from (values ('DocType', 'legal', 9), ('Money', 'Y', 0)) t(signal_type, signal_value, points)""")
-def weight_config(spark):
-    d = spark.createDataFrame([(0, "DocType", "legal", "5"), (1, "DocType", "legal", "9"), (2, "Money", "Y", "x"), (3, " ", "Y", "1"), (4, "Date", None, "1")], "ordinal int, signal_type string, signal_value string, score_points string")
+@query("""with e as (select p_brand as family, min(p_partkey) over (partition by p_brand) as o, '.' || replace(lower(p_type), ' ', '_') as extension from part) select arg_min(family, o) as family, extension, case when min(o) % 2 = 0 then 'Y' else 'N' end as should_skip from e group by 2""")
+def family_config(part):
+    """Families of extensions joined by ';', some with spaces, without dots or in capitals; the first family of an extension wins."""
+    ext = F.translate("p_type", " ", "_")
+    token = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" ."), F.lower(ext))).when(F.col("p_partkey") % 3 == 1, F.upper(ext)).otherwise(F.concat(F.lit("."), ext, F.lit(" ")))
+    conf = part.groupBy(F.col("p_brand").alias("family")).agg(F.concat_ws(";", F.collect_list(token), F.lit("")).alias("extensions"), F.min("p_partkey").alias("ordinal"))
+    return config.families(conf.withColumn("should_skip", F.when(F.col("ordinal") % 2 == 0, " y ")))
+
+
+@query("""select p_brand as signal_type, p_type as signal_value, arg_max(case when p_partkey % 5 = 0 then 0 else p_size end, p_partkey) as points from part where p_partkey % 7 <> 0 group by 1, 2""")
+def weight_config(part):
+    """Weights whose repeats the last wins, some blank or no numbers."""
+    d = part.select(F.col("p_partkey").alias("ordinal"), F.when(F.col("p_partkey") % 14 == 7, " ").otherwise(F.col("p_brand")).alias("signal_type"), F.when(F.col("p_partkey") % 14 != 0, F.col("p_type")).alias("signal_value"), F.when(F.col("p_partkey") % 5 == 0, "x").otherwise(F.col("p_size").cast("string")).alias("score_points"))
     return config.weights(d)
 
 
@@ -47,11 +51,11 @@ def last_page_offset(pages):
     return pages.groupBy(host.alias("host")).agg(F.max(F.regexp_extract("url", "page=([0-9]+)", 1).try_cast("int")).alias("last_page"))
 
 
-@query("""select raw, likes, title from (values ('Re: Re: hello', 0, 'hello'), ('3 people like this', 3, '3 people like this'), ('1 person likes this', 1, '1 person likes this')) t(raw, likes, title)""")
-def likes_and_titles(spark):
-    d = spark.createDataFrame([("Re: Re: hello",), ("3 people like this",), ("1 person likes this",)], "raw string")
-    likes = F.coalesce(F.regexp_extract("raw", r"(\d+) (?:people|person) likes? this", 1).try_cast("int"), F.lit(0))
-    return d.select("raw", likes.alias("likes"), F.regexp_replace("raw", r"^(Re:\s*)+", "").alias("title"))
+@query("""select page_id, case page_id % 3 when 1 then page_id when 2 then 1 else 0 end as likes, url as title from pages""")
+def likes_and_titles(pages):
+    said = F.when(F.col("page_id") % 3 == 1, F.concat("page_id", F.lit(" People  like this"))).when(F.col("page_id") % 3 == 2, "1 person likes this").otherwise("I like this")
+    title = F.concat(F.when(F.col("page_id") % 2 == 0, "Re: Re:").otherwise(""), "url")
+    return pages.select("page_id", C.likes(said).cast("bigint").alias("likes"), C.plain_title(title).alias("title"))
 
 
 @query("select user_id, bool_or(event_type = 'purchase') as any_purchase, bool_and(value > 1) as all_above from events group by 1")
@@ -104,22 +108,25 @@ def direct_stats(documents):
     return rollup.direct(documents, "source", "n_chars")
 
 
-@query("select raw, iso from (values ('5/9/24', '2024-05-09'), ('2024-01-02', '2024-01-02'), ('March 5, 2024', '2024-03-05'), ('soon', null)) t(raw, iso)")
-def any_dates(spark):
-    d = spark.createDataFrame([("5/9/24",), ("2024-01-02",), ("March 5, 2024",), ("soon",)], "raw string")
-    return d.select("raw", F.date_format(C.any_date(F.col("raw")), "yyyy-MM-dd").alias("iso"))
+@query("select o_orderkey, case when o_orderkey % 5 = 4 then null else strftime(o_orderdate, '%Y-%m-%d') end as iso from orders")
+def any_dates(orders):
+    raw = F.lit("soon")
+    for k, f in enumerate(("M/d/yy", "yyyy-MM-dd", "MMMM d, yyyy", " MM/dd/yyyy ")):
+        raw = F.when(F.col("o_orderkey") % 5 == k, F.date_format("o_orderdate", f)).otherwise(raw)
+    return orders.select("o_orderkey", F.date_format(C.any_date(raw), "yyyy-MM-dd").alias("iso"))
 
 
-@query("select raw, value from (values ('$1,234.50', 1234.5), ('n/a', null), ('7', 7.0)) t(raw, value)")
-def currencies(spark):
-    d = spark.createDataFrame([("$1,234.50",), ("n/a",), ("7",)], "raw string")
-    return d.select("raw", C.currency(F.col("raw")).alias("value"))
+@query("select o_orderkey, case when o_orderkey % 4 < 3 then round(o_totalprice, 2) end as value from orders")
+def currencies(orders):
+    n = F.format_number("o_totalprice", 2)
+    raw = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit(" $"), n)).when(F.col("o_orderkey") % 4 == 1, n).when(F.col("o_orderkey") % 4 == 2, F.format_string("%.2f", "o_totalprice")).otherwise("n/a")
+    return orders.select("o_orderkey", C.currency(raw).alias("value"))
 
 
-@query("select k, x from (values (1, 'a|b'), (2, 'c')) t(k, x)")
-def keyword_lists(spark):
-    d = spark.createDataFrame([(1, " 'a' , \"b\",,"), (2, "c")], "k int, s string")
-    return d.select("k", F.array_join(C.keyword_list(F.col("s")), "|").alias("x"))
+@query("select p_partkey, p_brand || '|' || p_type as x from part")
+def keyword_lists(part):
+    raw = F.concat(F.lit(" '"), "p_brand", F.lit("' , \""), "p_type", F.lit('",,'))
+    return part.select("p_partkey", F.array_join(C.keyword_list(raw), "|").alias("x"))
 
 
 @query("select '<k' || l.doc_id || '@x>' as message_id, case when n > 0 then 'Found' else 'Missing' end as found, coalesce(n, 0) as match_count from labels l left join (select doc_id, count(*) as n from documents where doc_id % 5 <> 0 group by 1) d on d.doc_id = l.doc_id")

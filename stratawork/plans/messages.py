@@ -88,19 +88,23 @@ def money_dates(documents):
     return d.select("doc_id", C.money(F.col("t")).alias("money"), C.dates(F.col("t")).alias("dates"))
 
 
-_IDS = "(values ('<Abc@X.com>'), ('  abc@x.com '), ('message-id: <Q@y.org>'), ('<open@z'), ('')) t(raw)"
+_ID = "(case doc_id % 6 when 0 then '<Abc' || doc_id || '@X.com>' when 1 then '  abc' || doc_id || '@x.com ' when 2 then 'message-id: <Q' || doc_id || '@y.org>' when 3 then '<open' || doc_id || '@z' when 4 then '' end)"
 
 
-@query(f"""select raw, regexp_replace(lower(trim(raw)), '^<|>$', '', 'g') as merged, case when raw = '' then '' else '<' || regexp_replace(case when trim(lower(raw)) like 'message-id:%' then trim(substr(trim(lower(raw)), 12)) else trim(lower(raw)) end, '^<(.*)>$', '\\1') || '>' end as filtered from {_IDS}""")
-def message_ids(spark):
-    d = spark.createDataFrame([("<Abc@X.com>",), ("  abc@x.com ",), ("message-id: <Q@y.org>",), ("<open@z",), ("",)], "raw string")
-    return d.select("raw", C.message_id(F.col("raw")).alias("merged"), C.message_id_filter(F.col("raw")).alias("filtered"))
+@query(f"""select doc_id, regexp_replace(lower(trim(raw)), '^<|>$', '', 'g') as merged, case when coalesce(raw, '') = '' then '' else '<' || regexp_replace(case when trim(lower(raw)) like 'message-id:%' then trim(substr(trim(lower(raw)), 12)) else trim(lower(raw)) end, '^<(.*)>$', '\\1') || '>' end as filtered from (select doc_id, {_ID} as raw from documents)""")
+def message_ids(documents):
+    d = documents.select("doc_id", F.expr(_ID).alias("raw"))
+    return d.select("doc_id", C.message_id(F.col("raw")).alias("merged"), C.message_id_filter(F.col("raw")).alias("filtered"))
 
 
-@query("""select raw, parsed from (values ('March 5, 2024, 3:07:09 PM', timestamp '2024-03-05 15:07:09'), ('Today at 1:00:00 AM', timestamp '2024-06-10 01:00:00'), ('Yesterday at 11:59:59 PM', timestamp '2024-06-09 23:59:59'), ('mar 5', null)) t(raw, parsed)""")
-def smf_dates(spark):
-    d = spark.createDataFrame([("March 5, 2024, 3:07:09 PM",), ("Today at 1:00:00 AM",), ("Yesterday at 11:59:59 PM",), ("mar 5",)], "raw string")
-    return d.select("raw", C.forum_date(F.col("raw"), F.lit("2024-06-10").cast("date")).cast("timestamp_ntz").alias("parsed"))
+_CLOCK = "((1 + page_id % 12) || ':' || lpad(cast(page_id % 60 as varchar(9)), 2, '0') || ':07 ' || case when page_id % 2 = 0 then 'PM' else 'AM' end)"
+_WHEN = f"(case page_id % 7 when 0 then 'March ' || (1 + page_id % 28) || ', 2024, ' || {_CLOCK} when 1 then 'Today at ' || {_CLOCK} when 2 then 'yesterday at ' || {_CLOCK} when 3 then 'Mar 5, 2024, ' || {_CLOCK} when 4 then 'Today' when 5 then 'Yesterday' else 'soon' end)"
+
+
+@query(f"""select page_id, raw, case page_id % 7 when 0 then strptime(raw, '%B %d, %Y, %I:%M:%S %p') when 1 then strptime('2024-06-10 ' || {_CLOCK}, '%Y-%m-%d %I:%M:%S %p') when 2 then strptime('2024-06-09 ' || {_CLOCK}, '%Y-%m-%d %I:%M:%S %p') when 4 then timestamp '2024-06-10 12:30:00' when 5 then timestamp '2024-06-09 12:30:00' end as parsed from (select page_id, {_WHEN} as raw from pages)""")
+def smf_dates(pages):
+    raw = F.expr(_WHEN)
+    return pages.select("page_id", raw.alias("raw"), C.forum_date(raw, F.lit("2024-06-10 12:30:00").cast("timestamp")).cast("timestamp_ntz").alias("parsed"))
 
 
 @query("""select doc_id, string_agg(k, ';' order by o) as keywords from documents join (values (0, 'license'), (1, 'copyright'), (2, 'on the'), (3, 'und')) w(o, k) on contains(lower(text), k) group by 1""")

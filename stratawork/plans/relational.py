@@ -57,14 +57,12 @@ def coerce_columns(events):
     return events.select("event_id", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"), C.to_long(raw).alias("v_long"))
 
 
-_HEADERS = ["Date & Time Sent", "body_clean.1", "From (name)", "original=saved", "Is Real Reply?", "From", "To", "Email Size", "email-size", "???"]
+_HEADER = """(p_brand || ' (' || p_size || ') ' || p_type || case p_partkey % 4 when 0 then '?!' when 1 then ' =x_' when 2 then ' - "y" & z.' else '' end)"""
 
 
-@query("""select * from (values (0, 'Date & Time Sent', 'date_time_sent'), (1, 'body_clean.1', 'body_clean_1'), (2, 'From (name)', 'from_name'), (3, 'original=saved', 'original_saved'), (4, 'Is Real Reply?', 'is_real_reply'),
-(5, 'From', 'from_addr'), (6, 'To', 'to_addr'), (7, 'Email Size', 'email_size'), (8, 'email-size', 'email_size_2'), (9, '???', 'unnamed')) t(position, original_name, snake_case_name)""")
-def snake_case_names(spark):
-    rows = [(i, h, n) for i, (h, n) in enumerate(zip(_HEADERS, C.map_headers(_HEADERS), strict=True))]
-    return spark.createDataFrame(rows, "position int, original_name string, snake_case_name string")
+@query(rf"""select p_partkey, regexp_replace(regexp_replace(regexp_replace(lower({_HEADER}), '[?!@#+''"&]', '', 'g'), '[\s.\-()=_]+', '_', 'g'), '^_|_$', '', 'g') as name from part""")
+def snake_case_names(part):
+    return part.select("p_partkey", C.snake_case(F.expr(_HEADER)).alias("name"))
 
 
 @query("""select p_partkey, k, v from (select p_partkey, unnest(['p_brand', 'p_type']) as k, unnest([case when p_size % 2 = 0 then p_brand end, p_type]) as v from part) where v is not null""")

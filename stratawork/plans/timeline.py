@@ -103,10 +103,10 @@ def first_of_run(events):
     return events.select("event_id", "event_type", F.when(F.col("event_type") != F.coalesce(F.lag("event_type").over(w), F.lit("")), "DIR").otherwise("").alias("marker"))
 
 
-@query("select raw, seconds from (values ('01:05', 65), ('1:00:01', 3601), ('x', null), ('90', null)) t(raw, seconds)")
-def clock_seconds(spark):
-    d = spark.createDataFrame([("01:05",), ("1:00:01",), ("x",), ("90",)], "raw string")
-    return d.select("raw", C.clock_seconds(F.col("raw")).alias("seconds"))
+@query("""select event_id, case event_id % 4 when 0 then event_id % 60 * 60 + 5 when 1 then event_id % 24 * 3600 + 61 end as seconds from events""")
+def clock_seconds(events):
+    raw = F.when(F.col("event_id") % 4 == 0, F.format_string("%02d:05", F.col("event_id") % 60)).when(F.col("event_id") % 4 == 1, F.format_string("%d:01:01", F.col("event_id") % 24)).when(F.col("event_id") % 4 == 2, "1:2:3:4").otherwise("x")
+    return events.select("event_id", C.clock_seconds(raw).cast("bigint").alias("seconds"))
 
 
 @query("select event_id, event_type, value from events")
