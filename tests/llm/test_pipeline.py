@@ -71,3 +71,62 @@ def test_stages_take_megabytes(spark):
     assert words == {1: 300_000, 2: 200, 3: 300_005}
     packed = corpus_pipeline.pack(spark, kept, SF).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     assert {r["doc_id"] for r in packed} == {1, 2} and max(r["n"] for r in packed) > 300_000
+
+
+def _statistics(text):
+    """The classifier's statistics of a text, by plain Python."""
+    import regex
+
+    from stratawork.llm.quality_rules import STOP_WORDS, SYMBOLS
+    from tests.llm.test_quality import WORD, _counts
+
+    t = text or ""
+    n, chars, symbols, dup, repeat = _counts(t)
+    words, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+    letters, upper = len(regex.findall(r"\p{L}", t)), len(regex.findall(r"\p{Lu}", t))
+    ratio = lambda a, b: a / b if b else 0.0
+    assert symbols == sum(c in SYMBOLS for c in t)
+    return [n, ratio(chars, n), ratio(symbols, n), ratio(sum(w in STOP_WORDS for w in words), n), ratio(letters, chars), ratio(upper, letters), ratio(dup, len(lines)), ratio(repeat, n)], n, repeat
+
+
+def test_pipeline_equals_brute_force(spark, vocab):
+    """Each stage again over the smallest tables by plain Python: the rows that stay, and every piece of the last stage."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from stratawork.llm import quality_classifier
+    from stratawork.llm.language_id import held_out
+    from stratawork.llm.quality_rules import THRESHOLDS
+    from tests.llm.test_links import _brute
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    got = {i: _statistics(t) for i, t in rows}
+    names = ["n_words", *(t.measure for t in THRESHOLDS)]
+    at = dict(zip(quality_classifier.STATISTICS, range(8), strict=True))
+    assert set(names) <= set(at)
+
+    def good(i):
+        s, n, repeat = got[i]
+        inside = all((t.low is None or s[at[t.measure]] >= t.low) and (t.high is None or s[at[t.measure]] <= t.high) for t in THRESHOLDS)
+        return n >= 50 and 100 * repeat <= 50 * n and inside
+
+    model = quality_classifier.train(docs, spark.read.parquet(f"{SF}/labels.parquet"), ~held_out(F.col("doc_id"), 3, 1))
+    kept = [(i, t) for i, t in rows if good(i)]
+    margins = model.margins(np.array([got[i][0] for i, _ in kept], float))
+    kept = [r for r, m in zip(kept, margins, strict=True) if 1 / (1 + np.exp(-m)) >= 0.5]
+    first = {i: c for i, (_, c) in _brute(kept).items()}
+    kept = [(i, t) for i, t in kept if first[i] == i]
+    library, want = Tokenizer.from_file(vocab("word_bpe_49k.json")), []
+    for i, t in kept:
+        x = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        want += [(i, k, a, len(x[a : a + 2048]), zlib.crc32(x[a : a + 2048].tobytes())) for k, a in enumerate(range(0, len(x), 2048))]
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == sorted(want)
+    fill = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fill.get(r["sequence_id"], 0)
+        fill[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(fill.values()) <= 2048 and len(fill) <= -(-sum(fill.values()) // 2048) + 1
