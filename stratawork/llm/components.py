@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def local_forests(links: DataFrame) -> DataFrame:
     return links.select("a", "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def components(scratch: Scratch, links: DataFrame, name: str = "cc", rounds: int = 60) -> DataFrame:
+def components(scratch: Scratch, links: DataFrame, name: str = "cc") -> DataFrame:
     """(id, component) of every id that ``links`` (a, b: bigint) joins to a smaller one; component is the smallest.
 
     Each half round is one aggregate, whose partial sums take in hot ends, and
@@ -52,7 +54,7 @@ def components(scratch: Scratch, links: DataFrame, name: str = "cc", rounds: int
     last = digest(edges)
     if not last[0]:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    for k in range(1, rounds + 1):
+    for k in itertools.count(1):  # ends: each round lowers ends, and links are finite
         both = edges.union(edges.select("b", "a"))
         least = scratch.table(f"{name}{k}l", both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).select(F.col("a").alias("u"), "m"))
         large = scratch.table(f"{name}{k}s", both.join(least, both["a"] == least["u"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
@@ -64,6 +66,4 @@ def components(scratch: Scratch, links: DataFrame, name: str = "cc", rounds: int
         if now == last:
             break
         last = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
