@@ -136,18 +136,20 @@ def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None
     comp = components(scratch, verified, "near")
     pairs = None
     if open_.limit(1).count():
-        prefix = prefixes(scratch, docs, open_.select("id").distinct())
+        ids = scratch.table("open-ids", open_.select("id").distinct())
+        bits = scratch.table("open-reps", reps.join(if_small(ids)[0], "id", "left_semi"))
+        prefix = prefixes(scratch, docs, ids)
         held = busy(scratch, prefix, comp, "busy1").filter(F.col("c") > HOT)
         first = scratch.table("firsts", held.groupBy("t").agg(F.min(F.struct("id", "n", "component")).alias("x")))
         led = held.join(first, "t").filter((F.col("x.component") != F.col("component")) & _sized(F.col("n"), F.col("x.n")))
-        led = scratch.table("led", near(reps, led.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()))
+        led = scratch.table("led", near(bits, led.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()))
         verified = verified.union(scratch.table("links1", verify(scratch, docs, led, "sets1")))
         comp = components(scratch, verified, "nearer")
-        pairs = near(reps, late(scratch, reps, prefix, comp))
+        pairs = near(bits, late(scratch, bits, prefix, comp))
     rest = apart(candidates.select("a", "b"), comp)
     rest = scratch.table("rest", rest.union(pairs).distinct() if pairs is not None else rest)
     verified = verified.union(scratch.table("links2", verify(scratch, docs, rest, "sets2")))
-    scratch.drop("candidates", "best", "led", "rest", "open", "open-sets", "prefixes", "firsts", *(f"busy{k}{e}" for k in (1, 2) for e in ("", "-rows", "-held")), *(f"{k}{e}" for k in ("sets", "sets1", "sets2") for e in ("", "-ends")))
+    scratch.drop("candidates", "best", "led", "rest", "open", "open-ids", "open-reps", "open-sets", "prefixes", "firsts", *(f"busy{k}{e}" for k in (1, 2) for e in ("", "-rows", "-held")), *(f"{k}{e}" for k in ("sets", "sets1", "sets2") for e in ("", "-ends")))
     return verified
 
 
@@ -165,7 +167,8 @@ def near(reps: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     bits = reps.select("id", "n", F.explode("bands").alias("x")).select("id", "n", F.col("x.band").alias("band"), F.col("x.bits").alias("bits"))
     of = lambda end: bits.select(F.col("id").alias(end), F.col("n").alias(f"n{end}"), "band", F.col("bits").alias(f"bits{end}"))
-    both = pairs.join(of("a"), "a").join(of("b"), ["b", "band"])
+    # shuffled on purpose: pairs of numbers look small to the planner as they are compressed, and a table of them in memory is not
+    both = pairs.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), ["b", "band"])
     distance = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     kept = both.filter(_sized(F.col("na"), F.col("nb")) & (distance <= _apart(F.col("na"), F.col("nb"))))
     rest = pairs.columns[2:]
@@ -231,7 +234,7 @@ def in_cells(rows: DataFrame, reps: DataFrame) -> DataFrame:
     bits = reps.select("id", "n", F.explode("bands").alias("x")).select("id", "n", F.col("x.band").alias("band"), F.col("x.bits").alias("bits"))
     cells = F.ceil(F.col("c") / CELL).cast("int")
     rows = rows.withColumn("cell", F.pmod(F.xxhash64("id"), cells).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
-    rows = rows.select("t", "id", "n", "component", "cell", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi")).join(bits, ["id", "n"])
+    rows = rows.select("t", "id", "n", "component", "cell", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi")).join(bits.hint("merge"), ["id", "n"])
 
     def run(key, table):
         import pyarrow as pa
