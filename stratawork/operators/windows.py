@@ -59,6 +59,11 @@ def numbered(df: DataFrame, order: list[str], name: str = "rn") -> DataFrame:
     return rollover(df, order, 1 << 40).withColumnRenamed("row_in_tab", name).drop("tab")
 
 
+def thinned(df: DataFrame, order: list[str], every: int) -> DataFrame:
+    """Each ``every``-th row of a whole ordered table, with its number."""
+    return numbered(df, order, "n").filter(F.col("n") % every == 0)
+
+
 def context(words: Column, hit: Column, around: int = 3) -> Column:
     """Words around place ``hit`` (from 0) of a list."""
     first = F.greatest(hit - around, F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
-from stratawork.operators import config, dedup, forms, joins, rules, search, transcript, upsert, windows
+from stratawork.operators import config, dedup, forms, joins, rollup, rules, search, transcript, upsert, windows
 from stratawork.plans.registry import registrar
 from stratawork.session import own_folder, read_table
 from stratawork.sources import readers, sinks, workbooks
@@ -345,3 +345,21 @@ def dedup_sizes(events):
 def entity_hits_joined(documents, benchmark):
     """The join by inner words, which a table of aliases beyond the automaton's bound takes."""
     return joins.containment_join(documents, "doc_id", "text", benchmark, "text", "item_id", few=10)
+
+
+@query("""with p as (select distinct 'r/' || lang || '/' || source as path from documents where lang is not null and source is not null union select distinct 'r/' || lang from documents where lang is not null union select 'r'),
+o as (select path, case when path = 'r/en' or starts_with(path, 'r/en/') then 0 else 1 end as k, case when path = 'r/en' or starts_with(path, 'r/en/') then 'r/en' else 'r' end as root from p)
+select printf('D%03d', row_number() over (order by k, path)) as dir_id, path, root, case when path = root then '.' else substr(path, length(root) + 2) end as relative_path, case when path = root then 0 else len(string_split(substr(path, length(root) + 2), '/')) end as depth, 'Local' as store from o""")
+def directory_records(documents):
+    p = documents.filter("lang is not null and source is not null").select(F.explode(C.ancestors(F.concat_ws("/", F.lit("r"), "lang", "source"))).alias("path"))
+    return rollup.records(p, "path", ["r/en/", "r"])
+
+
+@query("select event_id, n from (select event_id, row_number() over (order by ts, event_id) as n from events) where n % 100 = 0")
+def progress_rows(events):
+    return windows.thinned(events.select("ts", "event_id", "event_type"), ["ts", "event_id"], 100).select("event_id", "n")
+
+
+@query("select 'RUN_1' as run_id, count(*) as rows, 1.23 as elapsed_seconds, '{\"depth\": 2}' as config from pages")
+def run_log(pages):
+    return sinks.run_log(pages, "RUN_1", {"depth": 2}, 1.2345)

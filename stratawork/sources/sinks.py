@@ -40,7 +40,7 @@ def write_report(tables: dict[str, DataFrame], root: str) -> None:
     for name, df in tables.items():
         if df.isEmpty():
             df = df.sparkSession.createDataFrame([("No issues found.",)], "message string")
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
+        df.write.mode("overwrite").option("header", True).csv(f"{root}/{name}")
 
 
 def write_rollover(df: DataFrame, path: str, cap: int) -> None:
@@ -136,3 +136,21 @@ def directory_rows(tree: DataFrame, status: str = "not_scanned") -> DataFrame:
 
     old = F.col("status") if "status" in tree.columns else F.lit(None).cast("string")
     return tree.select(depth_name(F.col("path")).alias("name"), *[c for c in tree.columns if c != "status"], F.coalesce(old, F.lit(status)).alias("status"))
+
+
+def checked_header(found: list[str], wanted: list[str], title: str) -> None:
+    """Raises if a tab that is to be appended to has other columns."""
+    if list(found) != list(wanted):
+        raise ValueError(f"{title} has the columns {found}, not {wanted}")
+
+
+def top_level(tree: DataFrame, depth: str = "depth") -> DataFrame:
+    """The directories that a run began at."""
+    return tree.filter(F.col(depth) == 0)
+
+
+def run_log(df: DataFrame, run: str, settings: dict, seconds: float) -> DataFrame:
+    """One row of a run's history: its rows, seconds to two places and settings as JSON."""
+    import json
+
+    return df.agg(F.count("*").alias("rows")).select(F.lit(run).alias("run_id"), "rows", F.round(F.lit(float(seconds)), 2).alias("elapsed_seconds"), F.lit(json.dumps(settings, sort_keys=True)).alias("config"))

@@ -84,3 +84,17 @@ def counted(df: DataFrame, name: str = "live") -> tuple[DataFrame, Observation]:
 def resumed(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What an interrupted crawl still has to do: the keys of the first phase that the second has not finished."""
     return todo.select(key).distinct().join(done.select(key), key, "left_anti")
+
+
+def until_idle(q, seconds: float = 60.0, poll: float = 0.2) -> int:
+    """Stops a running query once it has had no new rows for so long; gives the rows that it had."""
+    seen, rows, quiet = -1, 0, time.monotonic()
+    while q.isActive and time.monotonic() - quiet < seconds:
+        for p in q.recentProgress:
+            if p["batchId"] > seen and p["numInputRows"]:
+                seen, rows, quiet = p["batchId"], rows + p["numInputRows"], time.monotonic()
+        time.sleep(poll)
+    q.stop()
+    if q.exception() is not None:
+        raise q.exception()
+    return rows

@@ -405,3 +405,40 @@ def test_rollover_numbers_wide_rows_once(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sorted((r["k"], r["tab"], r["row_in_tab"], r["size"]) for r in got) == [(k, (k + 137) // 700 + 1, (k + 137) % 700 + 1, 2048) for k in range(n)]
+
+
+def test_tables_are_reloaded_and_seeded(spark, tmp_path):
+    from stratawork.operators import config
+
+    spark.sql(f"create schema if not exists reloaded location '{tmp_path}/db'")
+    a, b = spark.range(3).toDF("i"), spark.range(5).toDF("i")
+    sinks.reload([("reloaded.child", a), ("reloaded.parent", b)])
+    sinks.reload([("reloaded.child", b), ("reloaded.parent", a)], shared={"reloaded.parent"})
+    assert spark.table("reloaded.child").count() == 5 and spark.table("reloaded.parent").count() == 5
+    assert config.seed(spark, "reloaded.bands", [("High", 60)], "band string, min_score int")
+    assert not config.seed(spark, "reloaded.bands", [], "band string, min_score int") and spark.table("reloaded.bands").count() == 1
+    assert config.migrate(a, {"i": "j"}, str(tmp_path / "m")) == 3 and spark.read.parquet(str(tmp_path / "m")).columns == ["j"]
+    with pytest.raises(ValueError):
+        sinks.checked_header(["a"], ["a", "b"], "tab")
+    sinks.checked_header(["a"], ["a"], "tab")
+    spark.sql("drop schema reloaded cascade")
+
+
+def test_an_idle_stream_ends(spark, tmp_path):
+    from stratawork.streaming.ingest import until_idle
+
+    spark.range(25).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in"))
+    q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).start()
+    assert until_idle(q, 4) == 25 and not q.isActive
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 25
+
+
+def test_first_seen_drops_repeats(spark, tmp_path):
+    from stratawork.streaming.ingest import first_seen, run_to_end
+
+    for k, rows in enumerate(([("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 01:00:00")], [("a", "2024-01-01 02:00:00"), ("c", "2024-01-01 03:00:00")])):
+        spark.createDataFrame(rows, "k string, t string").selectExpr("k", "timestamp(t) as t").coalesce(1).write.parquet(str(tmp_path / "in" / f"f{k}"))
+        stream = spark.readStream.schema("k string, t timestamp").parquet(str(tmp_path / "in" / "*"))
+        run_to_end(first_seen(stream, "k", "t"), str(tmp_path / "out"), str(tmp_path / "c"))
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
