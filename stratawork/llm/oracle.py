@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratawork.llm.quality_rules import STOP_WORDS, SYMBOLS, THRESHOLDS
+from stratawork.llm.quality_rules import STOP_FORMS, SYMBOLS, THRESHOLDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,7 +31,7 @@ def _verdict() -> str:
     return " and ".join(parts)
 
 
-_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+_STOPS = ", ".join(f"'{w}'" for w in STOP_FORMS)
 OP10 = rf"""with t as (select doc_id, coalesce(text, '') as t from documents),
 w as (select doc_id, t, regexp_extract_all(t, '{_WORD}') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as ls from t),
 g as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 3)),

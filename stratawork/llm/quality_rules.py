@@ -19,6 +19,9 @@ STOP_WORDS = (
     "el los y del por con las que se al"
 ).split()
 
+#: As they are counted: in lower case, and with a capital as at the start of a sentence.
+STOP_FORMS = [*dict.fromkeys(STOP_WORDS), *dict.fromkeys(w.capitalize() for w in STOP_WORDS)]
+
 
 class Threshold(NamedTuple):
     """Documents pass if low <= measure <= high (a missing side always holds)."""
@@ -84,7 +87,7 @@ def measures(df: DataFrame, kept: list[str], text_col: str = "text") -> DataFram
     counts = (
         n.alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        F.size(F.filter("w", lambda x: x.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("w", lambda x: x.isin(*STOP_FORMS))).cast("long").alias("n_stop_words"),
     )
     t = t.select("*", *counts, F.sort_array(keys).alias("k"))
     # neighbours with the same hash: the pairs of a sorted array and itself one place on

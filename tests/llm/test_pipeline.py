@@ -77,7 +77,7 @@ def _statistics(text):
     """The classifier's statistics of a text, by plain Python."""
     import regex
 
-    from stratawork.llm.quality_rules import STOP_WORDS, SYMBOLS
+    from stratawork.llm.quality_rules import STOP_FORMS, SYMBOLS
     from tests.llm.test_quality import WORD, _counts
 
     t = text or ""
@@ -86,7 +86,7 @@ def _statistics(text):
     letters, upper = len(regex.findall(r"\p{L}", t)), len(regex.findall(r"\p{Lu}", t))
     ratio = lambda a, b: a / b if b else 0.0
     assert symbols == sum(c in SYMBOLS for c in t)
-    return [n, ratio(chars, n), ratio(symbols, n), ratio(sum(w in STOP_WORDS for w in words), n), ratio(letters, chars), ratio(upper, letters), ratio(dup, len(lines)), ratio(repeat, n)], n, repeat
+    return [n, ratio(chars, n), ratio(symbols, n), ratio(sum(w in STOP_FORMS for w in words), n), ratio(letters, chars), ratio(upper, letters), ratio(dup, len(lines)), ratio(repeat, n)], n, repeat
 
 
 def test_pipeline_equals_brute_force(spark, vocab):

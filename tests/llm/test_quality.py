@@ -45,6 +45,11 @@ def test_rows_keep_their_columns(docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in docs.collect() if verdict[r["doc_id"]])
 
 
+def test_stop_words_count_at_the_start_of_a_sentence(spark):
+    d = spark.createDataFrame([(1, "The end. Of it the AND x And")], "doc_id int, text string")
+    assert R.apply_rules(d).first()["stop_word_ratio"] == 4 / 8
+
+
 def test_a_table_of_thresholds(docs):
     strict = (R.Threshold("n_words", 100, 1e6),)
     assert all(r["n_words"] >= 100 for r in R.apply_rules(docs, strict).filter("kept").collect())
