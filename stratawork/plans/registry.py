@@ -61,5 +61,4 @@ MAIL_SQL = (
 
 def messages(documents: DataFrame) -> DataFrame:
     columns = MAIL_SQL.removeprefix("select ").removesuffix(" from documents").replace("chr(10)", "'\\n'")
-    documents.createOrReplaceTempView("__documents")
-    return documents.sparkSession.sql(f"select {columns} from __documents")
+    return documents.sparkSession.sql(f"select {columns} from {{documents}}", documents=documents)
