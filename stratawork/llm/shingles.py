@@ -10,7 +10,7 @@ WORDS = 5
 _ONE = np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are hashed at once; a longer word extends it.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

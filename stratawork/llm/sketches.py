@@ -81,5 +81,6 @@ def parities(s: np.ndarray, band: int) -> np.ndarray:
     distance of two sketches is at most the size of that difference.
     """
     bits = max(64, 4 << band)
-    odd = np.bincount((mix(s ^ _PARITY) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    odd = np.zeros(bits, np.uint8)
+    np.bitwise_xor.at(odd, (mix(s ^ _PARITY) & np.uint64(bits - 1)).astype(np.int64), 1)
+    return np.packbits(odd).view(np.int64)
