@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,11 @@ def _trim(c: Column) -> Column:
     return F.regexp_replace(c, ENDS, "")
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` uses it and in whatever branches."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip_method(subject: Column, text: Column, html: Column, in_reply_to: Column) -> Column:
     """How a body quotes, by ordered rules over the sender's text, the markup, the subject and whether it answers anything."""
     t, h, s = _text(text), _text(html), _text(subject)
@@ -116,16 +123,19 @@ def walk_back(text: Column, most: int) -> Column:
 
 def strip_signature(text: Column, sender: Column | None = None, triggers=SIGNATURES) -> Column:
     """Cut at the first trigger, in their order, that is found and whose domain the sender has; then name lines above it go."""
-    plain = F.regexp_replace(_text(text), r"\r\n?", "\n")
     who = _text(sender) if sender is not None else F.lit("")
-    found = []
-    for pattern, domain, lines in triggers:
-        hit = plain.rlike(pattern)
-        if domain is not None:
-            hit = hit & F.lower(who).contains(domain)
-        before = F.get(F.split(plain, pattern, 2), F.lit(0))
-        found.append(F.when(hit, _trim(walk_back(before, lines) if lines else before)))
-    return F.coalesce(*found, _trim(plain))
+
+    def signed(plain: Column) -> Column:
+        found = []
+        for pattern, domain, lines in triggers:
+            hit = plain.rlike(pattern)
+            if domain is not None:
+                hit = F.lower(who).contains(domain) & hit
+            before = F.get(F.split(plain, pattern, 2), F.lit(0))
+            found.append(F.when(hit, _trim(walk_back(before, lines) if lines else before)))
+        return F.coalesce(*found, _trim(plain))
+
+    return let(F.regexp_replace(_text(text), r"\r\n?", "\n"), signed)
 
 
 def body_clean(method: Column, text: Column, html: Column | None = None, sender: Column | None = None, triggers=SIGNATURES) -> Column:
@@ -141,13 +151,19 @@ def body_clean(method: Column, text: Column, html: Column | None = None, sender:
         marked = _text(html) != ""
         body = F.when(marked, html_to_text(_text(html))).otherwise(plain)
         gmail = F.when(marked, strip_gmail(_text(html))).otherwise(plain)
-    by_method = {
-        "Gmail": gmail,
-        "Outlook": strip_outlook(body),
-        "Forward": strip_forward(body),
-        "GT_Prefix": strip_gt(body),
-        "Outlook_Plain": strip_outlook_plain(body),
-        "iOS": strip_ios(body, plain if html is not None else None),
-        "OnWrote": first_cut(body, ON_WROTE),
-    }
-    return strip_signature(F.coalesce(*(F.when(method == m, c) for m, c in by_method.items()), plain), sender, triggers)
+
+    def cleaned(r: Column) -> Column:
+        b = r["body"]
+        by_method = {
+            "Gmail": r["gmail"],
+            "Outlook": strip_outlook(b),
+            "Forward": strip_forward(b),
+            "GT_Prefix": strip_gt(b),
+            "Outlook_Plain": strip_outlook_plain(b),
+            "iOS": strip_ios(b, r["plain"] if html is not None else None),
+            "OnWrote": first_cut(b, ON_WROTE),
+        }
+        return F.coalesce(*(F.when(r["method"] == m, c) for m, c in by_method.items()), r["plain"])
+
+    each = F.struct(method.alias("method"), plain.alias("plain"), body.alias("body"), gmail.alias("gmail"))
+    return strip_signature(let(each, cleaned), sender, triggers)
