@@ -14,7 +14,7 @@ from stratawork.llm.support import prepare, slim
 #: Characters of a chunk, and of the first overlap of two chunks, of a huge document.
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 8
 #: Words, and parts of words, whose ids a worker keeps, and characters of one at most: together they bound its memory.
-KEPT_WORDS, KEPT_CHARS = 400_000, 48
+KEPT_WORDS, KEPT_PIECES, KEPT_CHARS = 350_000, 150_000, 48
 
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: The same split for characters below U+0250, where Python's classes differ only in these numerals.
@@ -85,7 +85,7 @@ class Encoder:
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.table = _byte_table()
-        self.pieces = Memo(self._piece, KEPT_WORDS)
+        self.pieces = Memo(self._piece, KEPT_PIECES)
         self.words = Memo(self._word, KEPT_WORDS)
 
     def _piece(self, piece: str) -> bytes:
