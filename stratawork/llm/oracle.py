@@ -44,5 +44,30 @@ case when word_chars > 0 then n_letters / word_chars else 0.0 end as letter_rati
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {_verdict()} as kept, mean_word_length, symbols_per_word, stop_word_ratio, letter_ratio, upper_ratio, dup_line_ratio from q"""
 
 
+def _tree(table: str, key: str, levels: int) -> str:
+    """Common table expressions ``{table}1`` and so on: the nodes of each level over ``{table}0`` (key, i, h, m) with their preimage; what is alone stays as it is."""
+    return ",\n".join(
+        f"{table}{n + 1} as materialized (select {key}, i // 16 as i, case when any_value(m) > 1 then sha256(string_agg(h, '' order by i)) else any_value(h) end as h, any_value(m) > 1 as grown, string_agg(h, '' order by i) as pre, (any_value(m) + 15) // 16 as m from {table}{n} group by {key}, i // 16)"
+        for n in range(levels)
+    )
+
+
+def _merkle(levels: int = 6, upper: int = 4) -> str:
+    part = lambda c: f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+    head = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = "xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"
+    steps = [f"p{n} as (select p.* exclude (proof, folded), p.proof || case when u.grown then substr(u.pre, 1, 64 * slot) || substr(u.pre, 64 * slot + 65) else '' end as proof, case when u.grown then sha256(substr(u.pre, 1, 64 * slot) || folded || substr(u.pre, 64 * slot + 65)) else folded end as folded from (select *, {slot} as slot, {at} as up from p{n - 1}) p join {t} u on {on})".replace("p.* exclude (proof, folded)", "p.* exclude (proof, folded, slot, up)") for n, (t, slot, at, on) in enumerate(
+        [(f"n{k + 1}", f"(i // {16**k}) % 16", f"i // {16 ** (k + 1)}", "u.s = p.s and u.i = p.up") for k in range(levels)] + [(f"r{k + 1}", f"(s // {16**k}) % 16", f"s // {16 ** (k + 1)}", "u.z = 0 and u.i = p.up") for k in range(upper)], 1)]
+    return f"""with d as (select *, {crc} % 5 = 0 as fifth, dense_rank() over (order by source nulls first) - 1 as s from documents),
+l as materialized (select doc_id, s, sha256({head} || {part("text")}) as h, case when fifth then sha256({head} || {part("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) end as changed from d),
+n0 as materialized (select *, row_number() over (partition by s order by doc_id nulls first, h) - 1 as i, count(*) over (partition by s) as m from l),
+{_tree("n", "s", levels)},
+r0 as materialized (select 0 as z, s as i, h, count(*) over () as m from n{levels}),
+{_tree("r", "z", upper)},
+p0 as (select doc_id, s, i, h, '' as proof, coalesce(changed, h) as folded from n0),
+{(","+chr(10)).join(steps)}
+select p.doc_id, p.h as leaf, b.h as subroot, t.h as root, sha256(p.proof) as proof_sha256, p.folded as folded_root, p.folded = t.h as verified from p{levels + upper} p join r0 b on b.i = p.s cross join r{upper} t"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10}
+    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10, "op12_merkle_paths": _merkle()}
