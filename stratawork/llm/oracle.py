@@ -44,6 +44,18 @@ case when word_chars > 0 then n_letters / word_chars else 0.0 end as letter_rati
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {_verdict()} as kept, mean_word_length, symbols_per_word, stop_word_ratio, letter_ratio, upper_ratio, dup_line_ratio from q"""
 
 
+OP13 = """with d as (select doc_id, encode(coalesce(text, '')) as b, hex(encode(coalesce(text, ''))) as x from documents),
+w as (select doc_id, p, array_slice(b, p + 1, p + 100) as s from (select doc_id, b, unnest(range(0, octet_length(b) - 99)) as p from d where octet_length(b) >= 100)),
+r as (select doc_id, p from (select doc_id, p, row_number() over (partition by s order by doc_id, p) as nth from w) where nth > 1),
+g as (select doc_id, p, lag(p) over (partition by doc_id order by p) as before, lead(p) over (partition by doc_id order by p) as after from r),
+e as (select doc_id, p, before is null or p > before + 100 as opens, after is null or after > p + 100 as closes from g),
+o as (select doc_id, p as s, row_number() over (partition by doc_id order by p) as k from e where opens),
+c as (select doc_id, p + 100 as e, row_number() over (partition by doc_id order by p) as k from e where closes),
+t as (select doc_id, s, e, k, coalesce(lag(e) over (partition by doc_id order by k), 0) as kept_from from o join c using (doc_id, k)),
+a as (select doc_id, sum(e - s) as n_removed, count(*) as n_spans, max(e) as last, string_agg(substr(x, 2 * kept_from + 1, 2 * (s - kept_from)), '' order by k) as x from t join d using (doc_id) group by doc_id)
+select d.doc_id, octet_length(b) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(a.x, '') || substr(d.x, 2 * coalesce(last, 0) + 1))) as kept_sha256 from d left join a using (doc_id)"""
+
+
 def _tree(table: str, key: str, levels: int) -> str:
     """Common table expressions ``{table}1`` and so on: the nodes of each level over ``{table}0`` (key, i, h, m) with their preimage; what is alone stays as it is."""
     return ",\n".join(
@@ -70,4 +82,4 @@ select p.doc_id, p.h as leaf, b.h as subroot, t.h as root, sha256(p.proof) as pr
 
 
 def statements() -> dict[str, str]:
-    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10, "op12_merkle_paths": _merkle()}
+    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10, "op12_merkle_paths": _merkle(), "op13_suffix_repeats": OP13}

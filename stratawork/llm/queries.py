@@ -92,8 +92,14 @@ def op12_merkle_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(read_table(spark, sf_dir, "documents"), every_fifth(F.col("doc_id")))
 
 
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.suffix_repeats import keep_first
+
+    return keep_first(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op6_piece_viterbi, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules, op12_merkle_paths)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op6_piece_viterbi, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules, op12_merkle_paths, op13_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
