@@ -44,6 +44,19 @@ case when word_chars > 0 then n_letters / word_chars else 0.0 end as letter_rati
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {_verdict()} as kept, mean_word_length, symbols_per_word, stop_word_ratio, letter_ratio, upper_ratio, dup_line_ratio from q"""
 
 
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    near = lambda c: f"select v.id, v.nth, v.q, arg_min(c.c, [list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.c]) as c from v cross join {c} c group by v.id, v.nth, v.q"
+    parts = [f"""a{n} as materialized ({near(f"c{n}")}),
+s{n} as (select c, list(s order by i) as q from (select c, i, cast(floor(sum(x) // count(*)) - case when sum(x) % count(*) < 0 then 1 else 0 end as bigint) as s from (select c, unnest(q) as x, generate_subscripts(q, 1) as i from a{n}) group by c, i) group by c),
+c{n + 1} as materialized (select c, coalesce(s.q, b.q) as q from c{n} b left join s{n} s using (c))""" for n in range(rounds)]
+    return f"""with v as materialized (select vec_id as id, row_number() over () as nth, list_transform(cast(embedding as double[]), lambda x: cast(floor(256 * x) as bigint)) as q from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as materialized (select row_number() over (order by sha256('2:' || cast(id as varchar)), q) - 1 as c, q from v where id is not null qualify c < {k}),
+{(","+chr(10)).join(parts)},
+f as ({near(f"c{rounds}")}),
+d as materialized (select f.id, f.c, list_sum(list_transform(list_zip(f.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as distance, sha256(array_to_string(c.q, ',')) as s from f join c{rounds} c using (c))
+select id as vec_id, cast(c as int) as cluster, cast(distance as bigint) as distance, cast(sum(distance) over (partition by c) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia, s as centroid_sha256 from d"""
+
+
 OP13 = """with d as (select doc_id, encode(coalesce(text, '')) as b, hex(encode(coalesce(text, ''))) as x from documents),
 w as (select doc_id, p, array_slice(b, p + 1, p + 100) as s from (select doc_id, b, unnest(range(0, octet_length(b) - 99)) as p from d where octet_length(b) >= 100)),
 r as (select doc_id, p from (select doc_id, p, row_number() over (partition by s order by doc_id, p) as nth from w) where nth > 1),
@@ -82,4 +95,4 @@ select p.doc_id, p.h as leaf, b.h as subroot, t.h as root, sha256(p.proof) as pr
 
 
 def statements() -> dict[str, str]:
-    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10, "op12_merkle_paths": _merkle(), "op13_suffix_repeats": OP13}
+    return {"op1_warc_revisits": OP1, "op5_pq_near_vectors": OP5, "op8_jaccard_join": OP8, "op10_quality_rules": OP10, "op11_elkan_clusters": _clusters(), "op12_merkle_paths": _merkle(), "op13_suffix_repeats": OP13}

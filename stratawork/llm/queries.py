@@ -86,6 +86,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op11_elkan_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratawork.llm.elkan import cluster
+
+    return cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratawork.llm.merkle import every_fifth, manifest
 
@@ -99,7 +105,7 @@ def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op6_piece_viterbi, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules, op12_merkle_paths, op13_suffix_repeats)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_token_counts, op3_ppm_language, op4_token_files, op5_pq_near_vectors, op6_piece_viterbi, op7_best_fit_packing, op8_jaccard_join, op9_rule_ensemble, op10_quality_rules, op11_elkan_clusters, op12_merkle_paths, op13_suffix_repeats)}
 
 
 def oracle_sql() -> dict[str, str]:
