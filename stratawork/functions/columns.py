@@ -226,7 +226,7 @@ def likes(c: Column) -> Column:
 
 def plain_title(c: Column) -> Column:
     """A title without the marks of replies before it."""
-    return F.regexp_replace(c, r"^(Re:\s*)+", "")
+    return F.regexp_replace(c, r"^(?:Re:\s*+)++", "")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -271,11 +271,11 @@ def without_fence(c: Column) -> Column:
 
 
 def message_text(c: Column) -> Column:
-    """Message content that is a JSON string or a list of parts: the string, or its text parts joined by spaces; anything else as it is."""
+    """Message content that is a JSON string or a list of parts: the string, or its text parts joined by spaces; anything else, whatever it starts with, as it is."""
     parts = F.from_json(c, "array<struct<type:string,text:string>>")
     said = F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: text(p["text"]))
     whole = F.get_json_object(F.concat(F.lit('{"x":'), c, F.lit("}")), "$.x")
-    return F.when(F.trim(c).startswith("["), F.array_join(said, " ")).when(F.trim(c).startswith('"'), whole).otherwise(c)
+    return F.coalesce(F.when(F.trim(c).startswith("["), F.array_join(said, " ")).when(F.trim(c).startswith('"'), whole), c)
 
 
 def one_or_many(c: Column) -> Column:

@@ -100,7 +100,7 @@ def strip_gt(text: Column) -> Column:
     """Without quoted lines and the lines that announce them; runs of blank lines become one."""
     plain = F.regexp_replace(_text(text), r"\r\n?", "\n")
     lines = F.filter(F.split(plain, "\n"), lambda x: ~x.startswith(">") & ~x.rlike(ANNOUNCES))
-    return _trim(F.regexp_replace(F.array_join(lines, "\n"), r"\n(?:[^\S\n]*\n)+", "\n\n"))
+    return _trim(F.regexp_replace(F.array_join(lines, "\n"), r"\n(?:[^\S\n]*+\n)++", "\n\n"))
 
 
 def strip_outlook_plain(text: Column) -> Column:
@@ -117,7 +117,7 @@ def strip_ios(text: Column, plain: Column | None = None) -> Column:
 def walk_back(text: Column, most: int) -> Column:
     """Without the block of name and title lines at the end: up to the blank line before it, ``most`` lines at most."""
     lines = F.split(F.regexp_replace(text, r"\s+$", ""), "\n")
-    last_blank = F.array_max(F.transform(lines, lambda x, i: F.when(F.trim(x) == "", i + 1).otherwise(0)))
+    last_blank = F.array_max(F.transform(lines, lambda x, i: F.when(~x.rlike(r"\S"), i + 1).otherwise(0)))
     return F.array_join(F.slice(lines, F.lit(1), F.greatest(last_blank, F.size(lines) - most, F.lit(0))), "\n")
 
 

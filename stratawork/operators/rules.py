@@ -153,31 +153,36 @@ def page_density(df: DataFrame, key: str, length: str, least: int = 50) -> DataF
     return df.groupBy(key).agg(F.when(F.every(dense), "N").when(F.some(dense), "PARTIAL").otherwise("Y").alias("needs_ocr"))
 
 
+#: Words that leave out what follows them, words and marks that end it, and letters that a word has to have to name a path; fixed values.
+LEAVING_OUT, ENDS, NAMING = {"except", "exclude", "excluding", "ignore", "skip"}, {",", "and"}, 4
+
+
 def scan_request(text: str, known_paths: list[str] = ()) -> dict:
     """What a request in words asks for: depth, kind of scan, exclusions, and which known paths it names.
 
-    'N levels deep' is the depth; 'file' anywhere makes it a scan of files;
-    what follows except, excluding, ignore or skip up to a comma, 'and' or the
-    end is left out; a known path is meant if it holds a word of more than
-    three letters.
+    A number before "levels deep" is the depth; "file" in any word makes it a
+    scan of files; what follows the first word that leaves out is left out, to
+    the next end; a known path is meant if it holds a word of NAMING letters or more.
     """
     low = text.lower()
-    depth = re.search(r"(\d+)\s+levels?\s+deep", low)
-    left_out = re.search(r"(?:except|excluding?|ignore|skip)\s+(.+?)(?:\s*,|\s+and\s|\s*$)", low)
-    words = [w for w in re.findall(r"\w+", low) if len(w) > 3]
-    return {
-        "depth": int(depth[1]) if depth else None,
-        "scan_type": "files" if "file" in low else "dirs",
-        "exclude": [left_out[1].strip()] if left_out and left_out[1].strip() else [],
-        "paths": [p for p in known_paths if any(w in p.lower() for w in words)],
-    }
+    tokens = [(m[0], *m.span()) for m in re.finditer(r"\w+|,", low)]
+    said = [t for t, _, _ in tokens]
+    deep = [int(n) for n, what, how in zip(said, said[1:], said[2:]) if n.isdigit() and what in ("level", "levels") and how == "deep"]
+    out: dict = {"depth": deep[0] if deep else None, "scan_type": "files" if any("file" in t for t in said) else "dirs", "exclude": []}
+    opens = next((k for k, t in enumerate(said) if t in LEAVING_OUT), None)
+    if opens is not None:
+        stop = next((tokens[k][1] for k in range(opens + 1, len(said)) if said[k] in ENDS), len(low))
+        out["exclude"] = [x for x in [low[tokens[opens][2] : stop].strip()] if x]
+    names = [t for t in said if len(t) >= NAMING]
+    return out | {"paths": [p for p in known_paths if any(w in p.lower() for w in names)]}
 
 
 def requested(df: DataFrame, path: str, request: dict) -> DataFrame:
-    """The rows of an inventory that a request asks for: below one of its paths, not deeper than it says, without what it excludes."""
+    """The rows of an inventory that a request asks for: below one of its paths, not deeper than it says, without what it excludes; without paths, the depth is that of the whole path."""
     from stratawork.functions.columns import norm_path, path_depth
 
-    p, hit = norm_path(F.col(path)), F.lit(not request["paths"])
+    p = norm_path(F.col(path))
+    hit = F.lit(not request["paths"]) & (F.lit(True) if request["depth"] is None else path_depth(F.col(path)) <= request["depth"])
     for base in request["paths"]:
         root = norm_path(F.lit(base))
         near = F.lit(True) if request["depth"] is None else path_depth(p) - path_depth(root) <= request["depth"]

@@ -54,11 +54,9 @@ def active_keywords(customer):
 
 @query("""select page_id, path from (select page_id, lower(regexp_replace(url, '^[a-z]+://', '')) as path from pages) where len(string_split(path, '/')) - 1 <= 2 and not contains(path, 'page')""")
 def scan_request(pages):
+    """What a request in words leaves of an inventory: its depth counts from the first part of a path, as it names no folder."""
     p = pages.select("page_id", F.lower(F.regexp_replace("url", "^[a-z]+://", "")).alias("path"))
-    asked = rules.scan_request("dirs 2 levels deep excluding page")
-    hosts = p.select(F.split("path", "/")[0].alias("h"))
-    # every host is a root of the inventory: depth counts from it
-    return p.join(hosts.distinct(), F.split("path", "/")[0] == F.col("h")).filter(C.path_depth(F.col("path")) <= asked["depth"]).filter(~F.contains("path", F.lit(asked["exclude"][0]))).select("page_id", "path")
+    return rules.requested(p, "path", rules.scan_request("dirs 2 levels deep excluding page")).select("page_id", "path")
 
 
 _STATEMENT = (
@@ -213,8 +211,9 @@ def message_contents(conversations):
     part = lambda kind, c: F.struct(F.lit(kind).alias("type"), c.alias("text"))
     parts = F.to_json(F.array(part("text", F.col("text")), part("image", F.lit("no")), part("text", F.lit("more"))))
     quoted = F.substring_index(F.to_json(F.struct(F.col("text").alias("x"))), '{"x":', -1)
-    raw = F.when(F.col("turn") % 4 == 1, parts).when(F.col("turn") % 4 == 2, F.left(quoted, F.length(quoted) - 1)).otherwise(F.col("text"))
-    return conversations.filter("not text rlike '^ *[\\\\[\"]'").select("conv_id", "turn", C.message_text(raw).alias("content"))
+    listed = F.trim("text").rlike("^[\\[\"]")  # such a text is given as a string, as it may be JSON itself
+    raw = F.when(F.col("turn") % 4 == 1, parts).when((F.col("turn") % 4 == 2) | listed, F.left(quoted, F.length(quoted) - 1)).otherwise(F.col("text"))
+    return conversations.select("conv_id", "turn", C.message_text(raw).alias("content"))
 
 
 @query("select p_partkey, case p_partkey % 4 when 0 then 'x|y' when 1 then p_brand when 2 then '' else '' end as names, case when p_partkey % 2 = 0 then p_name else p_type end as id, p_size as charge from part")
