@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratawork.functions.columns import ancestors
+from stratawork.session import written
 
 
 def orphan_status(df: DataFrame, keys: DataFrame, key: str, otherwise: Column) -> DataFrame:
@@ -40,30 +41,47 @@ def contained(df: DataFrame, text: str, words: list[str]) -> Column:
     return F.filter(F.array(*map(F.lit, words)), lambda k: low.contains(F.lower(k)))
 
 
-def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str, few: int = 20_000) -> DataFrame:
+def containment_join(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str, few: int = 20_000, size: int = 8 << 20, gram: int = 4) -> DataFrame:
     """(key, entity) for every alias that a text holds as a substring, case aside.
 
-    A table of aliases that is counted to be small goes into one automaton,
-    which passes over each text once. A larger one is joined: an occurrence
-    has the words inside the alias as whole words of the text, so the alias is
-    looked up by the longest of these with (key, word) rows, and only texts of
-    a match are fetched and checked in full; aliases of fewer than three
-    words, which have no inner word, stay with the automaton.
+    A table of aliases that is counted to be small, in rows and in characters,
+    goes into one automaton, which passes over each text once. A larger one is
+    joined, whatever its aliases look like: each stands under that of its
+    ``gram`` characters in a row (all of it, if it is shorter) that the fewest
+    texts hold, which every text that holds the alias has among its own, and
+    what meets so is checked in full. Aliases with grams that no text holds
+    are gone before that. Nothing but counts comes to the driver.
     """
-    cut = lambda c: F.filter(F.split(c, r"\s+"), lambda x: x != "")
     a = aliases.select(F.col(entity).alias("__e"), F.regexp_replace(F.lower(F.col(alias)), r"^\s+|\s+$", "").alias("__a")).filter("__a <> ''").distinct()
     t = texts.select(F.col(key), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
-    if a.limit(few + 1).count() <= few:
+    n, long = a.limit(few + 1).agg(F.count("*"), F.sum(F.length("__a"))).first()
+    if n <= few and (long or 0) <= size:
         return _by_automaton(t, key, a, entity)
-    a = a.withColumn("__w", cut(F.col("__a")))
-    short = a.filter(F.size("__w") < 3).select("__e", "__a")
-    inner = F.slice("__w", F.lit(2), F.greatest(F.size("__w") - 2, F.lit(1)))
-    longest = F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("k"))))["k"]
-    long = a.filter(F.size("__w") > 2).select("__e", "__a", longest.alias("__k"))
-    words = t.select(key, F.explode(F.array_distinct(cut(F.col("__t")))).alias("__k"))
-    near = words.join(long, "__k").select(key, "__e", "__a")
-    found = near.join(t, key).filter(F.contains("__t", "__a")).select(key, F.col("__e").alias(entity))
-    return found.union(_by_automaton(t, key, short, entity)).distinct()
+    a = written(a.sparkSession, a, "aliases")
+    sizes = sorted(r[0] for r in a.select(F.least(F.length("__a"), F.lit(gram))).distinct().collect())  # at most ``gram`` numbers
+    held = written(t.sparkSession, _grams(t, key, "__t", sizes, None), "grams")
+    common = held.groupBy("__g").agg(F.count("*").alias("__n"))
+    own = _grams(a.select("__a").distinct(), "__a", "__a", sizes, gram).join(common, "__g", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    rare = own.groupBy("__a").agg(F.min(F.struct("__n", "__g")).alias("__r")).filter("__r.__n > 0").select("__a", F.col("__r.__g").alias("__g"))
+    near = held.join(written(t.sparkSession, rare, "rare"), "__g").select(key, "__a")
+    hits = near.join(t, key).filter(F.contains("__t", "__a")).select(key, "__a")
+    return hits.join(a, "__a").select(key, F.col("__e").alias(entity)).distinct()
+
+
+def _grams(df: DataFrame, key: str, text: str, sizes: list[int], own: int | None) -> DataFrame:
+    """(key, __g): the different runs of so many characters of each text; with ``own``, only the runs of its own size, which is ``own`` or all of a shorter one."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for k, body in enumerate(b.column(1).to_pylist()):
+                wanted = sizes if own is None else [min(own, len(body))]
+                found = sorted({body[i : i + n] for n in wanted for i in range(len(body) - n + 1)})
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([k] * len(found), pa.int64())), pa.array(found, pa.string())], names=[key, "__g"])
+
+    return df.select(F.col(key), F.col(text).alias("__body")).mapInArrow(run, f"`{key}` {kind}, __g string")
 
 
 def _by_automaton(t: DataFrame, key: str, a: DataFrame, entity: str) -> DataFrame:
@@ -96,20 +114,42 @@ def _by_automaton(t: DataFrame, key: str, a: DataFrame, entity: str) -> DataFram
     return t.mapInArrow(run, f"`{key}` {kinds[key]}, `{entity}` {kinds['__e']}")
 
 
+def dyadic(first: Column, last: Column) -> Column:
+    """array<struct<level, node>>: the cells ``first`` to ``last`` as runs of 2**level cells that start at node * 2**level; two a level at most, none overlap."""
+
+    def at(k: Column) -> Column:
+        up = F.lit(1).cast("bigint") * F.pow(F.lit(2), k).cast("bigint")
+        lo, hi = F.floor((first + up - 1) / up).cast("bigint"), F.floor((last + 1) / up).cast("bigint")
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        node = lambda ok, x: F.when((lo < hi) & ok, F.struct(k.alias("level"), x.alias("node")))
+        return F.array(node(odd(lo), lo), node(odd(hi), hi - 1))
+
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(last - first + 1, F.lit(1)))).cast("int") + 1), at)), lambda x: x.isNotNull())
+
+
 def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width: float, within: list[str] = ()) -> DataFrame:
-    """Pairs (key, key2) of intervals that overlap and differ in ``other``.
+    """Pairs (key, key2) of intervals that overlap and differ in ``other``; ends are open.
 
-    Intervals are dealt to time buckets of ``width`` and joined by bucket; a
-    pair counts in the bucket where the later of the two starts, so none is
-    found twice.
+    Of two that overlap, the one that starts later starts inside the other.
+    Time is cut into cells of ``width``; an interval becomes the few dyadic
+    runs of cells that it is made of, as many as the logarithm of its length,
+    and a start the runs that hold its cell, one a level in use. These are
+    joined, and as the runs of an interval do not overlap, a pair is found once.
     """
-    b = df.withColumn("__b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
-    x, y = b.alias("x"), b.alias("y")
-    on = (F.col("x.__b") == F.col("y.__b")) & (F.col(f"x.{key}") < F.col(f"y.{key}")) & (F.col(f"x.{start}") < F.col(f"y.{end}")) & (F.col(f"y.{start}") < F.col(f"x.{end}")) & (F.col(f"x.{other}") != F.col(f"y.{other}"))
-    for c in within:
-        on = on & (F.col(f"x.{c}") == F.col(f"y.{c}"))
-    later = F.floor(F.greatest(F.col(f"x.{start}"), F.col(f"y.{start}")) / width)
-    return x.join(y, on).filter(F.col("x.__b") == later).select(F.col(f"x.{key}").alias(key), F.col(f"y.{key}").alias(f"{key}2"))
+    cell = lambda c: F.floor(F.col(c) / width).cast("bigint")
+    rows = df.filter(F.col(start) < F.col(end)).select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), F.col(other).alias("o"), cell(start).alias("c"), cell(end).alias("z"), *(F.col(c).alias(f"w{i}") for i, c in enumerate(within)))
+    x = rows.withColumn("x", F.explode(dyadic(F.col("c"), F.col("z")))).select(*rows.columns, "x.*")
+    levels = [r[0] for r in x.select("level").distinct().collect()]  # 64 at most
+    if not levels:
+        return df.select(F.col(key), F.col(key).alias(f"{key}2")).limit(0)
+    y = rows.withColumn("level", F.explode(F.array(*map(F.lit, sorted(levels))))).withColumn("node", F.floor(F.col("c") / F.pow(F.lit(2), F.col("level")).cast("bigint")).cast("bigint"))
+    x, y = x.alias("x"), y.alias("y")
+    on = (F.col("x.level") == F.col("y.level")) & (F.col("x.node") == F.col("y.node")) & (F.col("x.o") != F.col("y.o"))
+    for i in range(len(within)):
+        on = on & (F.col(f"x.w{i}") == F.col(f"y.w{i}"))
+    later = (F.col("y.s") > F.col("x.s")) | ((F.col("y.s") == F.col("x.s")) & (F.col("y.k") > F.col("x.k")))
+    pairs = x.join(y, on & later & (F.col("y.s") < F.col("x.e"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).filter("a <> b")
+    return pairs.select(F.least("a", "b").alias(key), F.greatest("a", "b").alias(f"{key}2"))
 
 
 def last_contained(outer: DataFrame, inner: DataFrame, group: str, width: float) -> DataFrame:
