@@ -342,7 +342,7 @@ def dedup_sizes(events):
 
 @query("select doc_id, item_id from documents d join (select item_id, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') as a from benchmark) on a <> '' and contains(lower(d.text), a)")
 def entity_hits_joined(documents, benchmark):
-    """The join by inner words, which a table of aliases beyond the automaton's bound takes."""
+    """The join by the rarest characters, which a table of aliases beyond the automaton's bound takes."""
     return joins.containment_join(documents, "doc_id", "text", benchmark, "text", "item_id", few=10)
 
 
