@@ -12,9 +12,9 @@ from stratawork.llm.shingles import column_bytes
 from stratawork.llm.support import prepare, slim
 
 ORDER = 4
-#: Bound of the sample that the trees are grown from: documents a language (about: a hash picks them), characters of each and bytes of all at most.
+#: Bound of the sample that the trees are grown from: documents a language, characters of each and bytes of all at most; arguments of ``train``, None lifts them.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES, SAMPLE_BYTES = 700, 1 << 16, 1 << 22
-#: Context nodes at most, and bytes of the table of code lengths at most.
+#: Context nodes at most, and bytes of the table of code lengths at most; None lifts them.
 NODES, TABLE_BYTES = 1 << 14, 40 << 20
 STRETCH = 1 << 18
 
@@ -36,7 +36,7 @@ class Trees:
     is worked out once into ``cost``.
     """
 
-    def __init__(self, texts: dict[str, list[bytes]], counts: dict[str, int], order: int = ORDER, nodes: int = NODES):
+    def __init__(self, texts: dict[str, list[bytes]], counts: dict[str, int], order: int = ORDER, nodes: int | None = NODES, table: int | None = TABLE_BYTES):
         self.langs, self.order = sorted(texts), order
         streams = [np.frombuffer(b"".join(b"\n" * order + t for t in texts[k]), np.uint8) for k in self.langs]
         seen = np.unique(np.concatenate([*streams, np.frombuffer(b"\n", np.uint8)]))
@@ -46,7 +46,7 @@ class Trees:
         total = sum(counts.values())
         self.prior = np.array([-np.log2(counts[k] / total) for k in self.langs])
         coded = [self.symbol[s].astype(np.int64) for s in streams]
-        limit = max(a + 1, min(nodes, TABLE_BYTES // (4 * a * len(self.langs))))
+        limit = max(a + 1, min(nodes or 1 << 40, (table or 1 << 60) // (4 * a * len(self.langs))))
         # contexts by their number of occurrences, each after its suffix; codes read backwards from the symbol
         parent, last, depth = [0], [0], [0]
         known = [{0: 0}]
@@ -138,31 +138,38 @@ def held_out(id_col: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Trees | None:
+def train(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int | None = SAMPLE_DOCS, chars: int | None = SAMPLE_DOC_BYTES, size: int | None = SAMPLE_BYTES, nodes: int | None = NODES, table: int | None = TABLE_BYTES
+) -> Trees | None:
     """Trees from a bounded sample of the rows with a text and a language; None if there are none.
 
-    Languages are counted over all rows, which makes the prior; a hash of the
-    id picks about SAMPLE_DOCS documents of each, and the first SAMPLE_BYTES of
-    them by that hash are used. A longer text teaches with its first
-    SAMPLE_DOC_BYTES characters, so a language of long texts alone is known.
+    Languages are counted over all rows, which makes the prior. Of each the
+    ``docs`` rows of the smallest hashes of (id, text) are learned, rows that
+    repeat both once, as far as their first ``size`` bytes go; so neither null
+    nor repeated ids crowd out others, and a language of few rows is learned
+    from all of them. A longer text teaches with its first ``chars``
+    characters, so a language of long texts alone is known. ``nodes`` and
+    ``table`` bound the trees; None lifts a bound, and without any the trees
+    hold every context of every row.
     """
     rows = slim(df, id=id_col, text=text_col, lang=lang_col).filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("text") != ""))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
-    if not counts:
+    rows = rows.withColumn("h", F.xxhash64("id", "text"))
+    known = {r["lang"]: (r["n"], r["d"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h", 0.02).alias("d")).collect()}  # a row a language
+    if not known:
         return None
-    share = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, SAMPLE_DOCS / n) * (1 << 30)))))
-    h = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    picked = rows.filter(h < share[F.col("lang")]).select(h.alias("h"), "id", "lang", F.left("text", F.lit(SAMPLE_DOC_BYTES)).alias("text")).toArrow().sort_by([("h", "ascending"), ("id", "ascending")])
+    picked = rows
+    if docs is not None:  # a tenth more than wanted, as the count is not exact; what is too much goes below
+        share = F.create_map(*(F.lit(x) for k, (_, d) in sorted(known.items()) for x in (k, 1 << 30 if d <= 2 * docs else int((1.1 * docs + 30) / d * (1 << 30)))))
+        picked = rows.filter(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")])
+    picked = picked.select("lang", "h", F.pmod("h", F.lit(1 << 30)).alias("p"), F.left("text", F.lit(chars)).alias("text") if chars else "text").dropDuplicates(["lang", "h"]).toArrow().sort_by([("p", "ascending"), ("h", "ascending")])
     texts: dict[str, list[bytes]] = {}
-    size: dict[str, int] = {}
+    held: dict[str, int] = {}
     for lang, text in zip(picked.column("lang").to_pylist(), picked.column("text").to_pylist(), strict=True):
-        data = text.encode()
-        if size.get(lang, 0) + len(data) <= SAMPLE_BYTES:
-            texts.setdefault(lang, []).append(data)
-            size[lang] = size.get(lang, 0) + len(data)
-    if not texts:
-        return None
-    return Trees(texts, {k: counts[k] for k in texts})
+        data, have = text.encode(), texts.setdefault(lang, [])
+        if (docs is None or len(have) < docs) and (not have or size is None or held[lang] + len(data) <= size):
+            have.append(data)
+            held[lang] = held.get(lang, 0) + len(data)
+    return Trees(texts, {k: known[k][0] for k in texts}, nodes=nodes, table=table)
 
 
 def predict(df: DataFrame, trees: Trees | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

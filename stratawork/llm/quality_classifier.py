@@ -130,18 +130,22 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, pe
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> RuleModel:
-    """A model from about ``sample`` labelled rows for which ``learn`` (over id_col of labels) holds, picked by a hash of the id.
+    """A model from about ``sample`` labelled ids for which ``learn`` (over id_col of labels) holds, picked by a hash of the id.
 
-    Labels other than 0 and 1 do not count. Of a repeated id every label does.
-    Only the statistics of the sample come to the driver.
+    Labels other than 0 and 1, and those without an id, do not count. An id
+    with both labels counts with each, a label that is repeated once; of
+    documents that repeat an id the one of the smallest text hash teaches, so
+    no id brings more than two rows. Null and very long texts teach like
+    others. Only the statistics of the sample come to the driver.
     """
     prepare(docs.sparkSession)
-    known = labels.filter(learn & F.col(f"`{label_col}`").isin(0, 1)).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y"))
+    known = labels.filter(learn & F.col(f"`{label_col}`").isin(0, 1)).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("y")).filter("id is not null").distinct()
     n = known.count()
     if not n:
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
     picked = known.filter(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "id")
+    rows = rows.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = measures(rows, ["id", "y"], "text").select(F.col("c0").alias("id"), F.col("c1").alias("y"), *STATISTICS).toArrow().sort_by([("id", "ascending"), ("y", "ascending"), *((s, "ascending") for s in STATISTICS)])
     x = np.column_stack([np.array(got.column(s).to_pylist(), float) for s in STATISTICS]) if got.num_rows else np.zeros((0, len(STATISTICS)))
     return fit(x, np.array(got.column("y").to_pylist(), float))

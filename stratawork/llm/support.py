@@ -77,16 +77,26 @@ def local_path(uri: str) -> str:
     return "/" + re.sub(r"^file:/*", "", uri)
 
 
+#: Schemes that Spark and the file client call by other names.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _remote(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    if "://" not in uri:
+        raise ValueError(f"{uri} has no scheme: it may be of any file system")
+    scheme, rest = uri.split(":", 1)
+    try:
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    except Exception as e:
+        raise OSError(f"files in {uri} cannot be reached from a task: set spark.checkpoint.dir to a folder that is mounted, or of a store that the file client knows") from e
 
 
 def write_file(uri: str, data: bytes) -> None:
     """Writes whole and then renames, so that a repeated or lost task leaves no half file."""
     tmp = f"{uri}.{uuid.uuid4().hex}"
-    if uri.startswith("file:") or "://" not in uri:
+    if uri.startswith("file:"):
         final, tmp = local_path(uri), local_path(tmp)
         os.makedirs(os.path.dirname(final), exist_ok=True)
         with open(tmp, "wb") as f:
@@ -102,7 +112,7 @@ def write_file(uri: str, data: bytes) -> None:
 
 
 def read_file(uri: str) -> bytes:
-    if uri.startswith("file:") or "://" not in uri:
+    if uri.startswith("file:"):
         with open(local_path(uri), "rb") as f:
             return f.read()
     system, path = _remote(uri)
@@ -112,7 +122,7 @@ def read_file(uri: str) -> bytes:
 
 def open_reader(uri: str) -> io.BufferedIOBase:
     """A seekable reader."""
-    if uri.startswith("file:") or "://" not in uri:
+    if uri.startswith("file:"):
         return open(local_path(uri), "rb")
     system, path = _remote(uri)
     return system.open_input_file(path)

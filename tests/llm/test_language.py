@@ -106,3 +106,35 @@ def test_registered_query_predicts_held_out_rows(spark):
     held = [r for r in got if r["held_out"] and r["lang"] is not None and r["lang_pred"] != "und"]
     assert len(held) > 100 and np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.99
     assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_null_and_repeated_ids_are_learned(spark):
+    """Ids that are all null, one id for all, rows that repeat, and a language of ten rows: a bounded sample of each language."""
+    from stratawork.llm import language_id
+
+    sizes = {}
+
+    def learned(rows, **limits):
+        kept = {}
+
+        class Spy(Trees):
+            def __init__(self, texts, counts, **args):
+                kept.update({k: len(v) for k, v in texts.items()})
+                super().__init__(texts, counts, **args)
+
+        language_id.Trees, before = Spy, language_id.Trees
+        try:
+            trees = train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, h string").repartition(3), **limits)
+        finally:
+            language_id.Trees = before
+        sizes.update(kept)
+        return trees, kept
+
+    en, de = [f"the sun and moon {k}" for k in range(3000)], [f"die sonne und mond {k}" for k in range(10)]
+    for ids in (lambda k: None, lambda k: 7):
+        trees, kept = learned([(ids(k), t, "en", "x") for k, t in enumerate(en)] + [(ids(k), t, "de", "x") for k, t in enumerate(de)])
+        assert kept == {"en": language_id.SAMPLE_DOCS, "de": 10} and trees.langs == ["de", "en"]
+    trees, kept = learned([(1, "the same text", "en", "x")] * 2000 + [(2, "ein text", "de", "x")])
+    assert kept == {"en": 1, "de": 1} and trees.prior[1] < trees.prior[0]
+    assert learned([(k, t, "en", "x") for k, t in enumerate(en)], docs=None, chars=None, size=None, nodes=None, table=None)[1] == {"en": 3000}
+    assert learned([(k, t, "en", "x") for k, t in enumerate(en)], docs=5, size=40)[1] == {"en": 2}

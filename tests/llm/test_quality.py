@@ -123,3 +123,32 @@ def test_registered_query_scores_held_out_rows(spark):
     held = [r for r in got if r["held_out"]]
     assert len(held) > 50 and np.mean([r["quality"] == r["predicted"] for r in held]) > 0.97
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
+
+
+def test_repeated_ids_and_long_texts_teach_once(spark, monkeypatch):
+    """An id with thousands of labels and documents brings one row a label; nulls bring none."""
+    from stratawork.llm import quality_classifier as Q
+
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append((len(x), sorted(y.tolist()))) or Q.RuleModel(0.0, ()))
+    docs = spark.createDataFrame([(1, f"text {k}", "x") for k in range(500)] + [(2, "word " * 200_000, "x"), (None, "t", "x"), (3, None, "x")], "doc_id bigint, text string, y string")
+    labels = spark.createDataFrame([(1, 1)] * 300 + [(1, 0), (2, 1), (3, 0), (None, 1), (4, 1), (2, 5), (3, None)], "doc_id bigint, quality int")
+    Q.train(docs, labels, F.lit(True))
+    assert seen == [(4, [0.0, 0.0, 1.0, 1.0])]
+    assert Q.train(docs, labels.limit(0), F.lit(True)).rules == ()
+
+
+def test_lasso_conditions():
+    """At the optimum the gradient of the loss is within the penalty, and equal to it where a weight is not zero."""
+    import numpy as np
+
+    from stratawork.llm.quality_classifier import lasso_logistic
+
+    rng = np.random.default_rng(1)
+    r = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(2 * r[:, 0] - 1.5 * r[:, 1] - 0.3)))).astype(float)
+    b, w = lasso_logistic(r, y, 0.02, steps=4000)
+    g = (1 / (1 + np.exp(-(r @ w + b))) - y) / len(y)
+    grad = r.T @ g
+    assert abs(g.sum()) < 1e-6 and (np.abs(grad) <= 0.02 + 1e-6).all()
+    assert (w != 0).sum() in range(2, 12) and np.allclose(grad[w != 0], -0.02 * np.sign(w[w != 0]), atol=1e-6)

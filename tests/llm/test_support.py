@@ -43,3 +43,11 @@ def _size(b):
     import pyarrow as pa
 
     return pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32()), pa.array([b.nbytes], pa.int64())], names=["n", "size"])
+
+
+def test_stores_by_scheme():
+    """A store that the file client does not know, or a path without a scheme, is refused."""
+    with pytest.raises(OSError, match="cannot be reached"):
+        support.write_file("nowhere://host/x/y.bin", b"1")
+    with pytest.raises(ValueError, match="no scheme"):
+        support.write_file("/tmp/no-scheme.bin", b"1")
