@@ -53,10 +53,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master, whose executors are the driver's own process, may do
     without: it gets a folder below the temporary one. On a cluster without
     the setting this raises, as executors would write where others cannot read.
+    A folder without a scheme is of the default file system, as for Spark's own
+    writers, and comes back with that scheme.
     """
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if given:
-        return given.rstrip("/")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(given)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(f"file://{tempfile.gettempdir()}/checkpoints/stratawork")
