@@ -1,17 +1,14 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from stratawork.session import shared_folder
 
 
-def test_a_folder_without_a_scheme_gets_one(spark, tmp_path):
+@pytest.mark.parametrize("given", ["{}/shared", "{}/shared/", "file:{}/shared", "file://{}/shared/"])
+def test_a_folder_without_a_scheme_gets_one(spark, tmp_path, given):
     """It is of the default file system, like the tables that Spark writes beside the files."""
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-        assert shared_folder(spark) == f"file:{tmp_path}/shared"
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared/")
-        assert shared_folder(spark).replace("///", "/") == f"file:{tmp_path}/shared"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: given.format(tmp_path)), sparkContext=spark.sparkContext)
+    assert shared_folder(session).replace("///", "/") == f"file:{tmp_path}/shared"
