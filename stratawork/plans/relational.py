@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from stratawork.functions import columns as C
 from stratawork.operators import dedup, joins, windows
+from stratawork.operators import keyed_table as T
 from stratawork.operators import upsert as U
 from stratawork.plans.registry import registrar
+from stratawork.session import own_folder
 from stratawork.sources import sinks
 
 QUERIES, query = registrar()
@@ -208,6 +210,23 @@ def upsert_policy(orders):
     return U.upsert(t, s.union(n), "o_orderkey", {"o_orderstatus": U.KEEP_FILLED, "o_orderpriority": U.IF_FILLED, "o_totalprice": U.OVERWRITE})
 
 
+@query("""with t as (select 'F' || lpad(cast(page_id as varchar), 5, '0') as file_id, 'D:/' || page_id || '/A' as path, strlen(url) as size, case when page_id % 5 = 0 then '' else 'seen' end as review, 'old' as note, page_id from pages where page_id % 3 <> 0),
+s as (select page_id, 'd:\' || page_id || '\a' as path, strlen(url) + 1 as size, 'new' as review, case when page_id % 4 = 0 then '' else 'src' end as note from pages where page_id % 2 = 0),
+n as (select s.*, row_number() over (order by page_id) as k, (select max(page_id) from t) as top from s where page_id % 3 = 0)
+select t.file_id, t.path, coalesce(s.size, t.size) as size, case when t.review = '' and s.page_id is not null then s.review else t.review end as review, case when s.note <> '' then s.note else t.note end as note from t left join s using (page_id)
+union all select 'F' || lpad(cast(k + top as varchar), greatest(5, length(cast(k + top as varchar))), '0'), path, size, review, note from n""")
+def upsert_bucketed(spark, pages):
+    """An inventory in hash buckets after an upsert by normalised paths: repeats settled by order, new ids, filled columns kept."""
+    target = own_folder(spark, "inventory")
+    path = lambda slash, head, tail: F.concat(F.lit(head + slash), F.col("page_id").cast("string"), F.lit(slash + tail))
+    t = pages.filter("page_id % 3 <> 0").select(F.format_string("F%05d", F.col("page_id")).alias("file_id"), path("/", "D:", "A").alias("path"), F.octet_length("url").cast("bigint").alias("size"), F.when(F.col("page_id") % 5 == 0, "").otherwise("seen").alias("review"), F.lit("old").alias("note"))
+    T.create(t, target, "path", 64)
+    s = pages.filter("page_id % 2 = 0").select(path("\\", "d:", "a").alias("path"), (F.octet_length("url") + 1).cast("bigint").alias("size"), F.lit("new").alias("review"), F.when(F.col("page_id") % 4 == 0, "").otherwise("src").alias("note"), F.col("page_id").alias("at"))
+    stale = s.select(F.upper("path").alias("path"), F.lit(0).cast("bigint").alias("size"), F.lit("stale").alias("review"), F.lit("stale").alias("note"), (F.col("at") - 1000000).alias("at"))
+    T.upsert_into(spark, target, s.union(stale), "path", {"size": U.OVERWRITE, "review": U.KEEP_FILLED, "note": U.IF_FILLED}, "at", id_col="file_id", buckets=64)
+    return T.read(spark, target)
+
+
 @query("select doc_id, n_chars from documents where doc_id not in (select doc_id from labels)")
 def incremental_new_only(documents, labels):
     return U.incremental(labels.select("doc_id"), documents.select("doc_id", "n_chars"), "doc_id", "incremental")
