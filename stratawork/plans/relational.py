@@ -211,10 +211,10 @@ def upsert_policy(orders):
 
 
 @query("""with t as (select 'F' || lpad(cast(page_id as varchar), 5, '0') as file_id, 'D:/' || page_id || '/A' as path, strlen(url) as size, case when page_id % 5 = 0 then '' else 'seen' end as review, 'old' as note, page_id from pages where page_id % 3 <> 0),
-s as (select page_id, 'd:\' || page_id || '\a' as path, strlen(url) + 1 as size, 'new' as review, case when page_id % 4 = 0 then '' else 'src' end as note from pages where page_id % 2 = 0),
+s as (select page_id, 'd:' || chr(92) || page_id || chr(92) || 'a' as path, strlen(url) + 1 as size, 'new' as review, case when page_id % 4 = 0 then '' else 'src' end as note from pages where page_id % 2 = 0),
 n as (select s.*, row_number() over (order by page_id) as k, (select max(page_id) from t) as top from s where page_id % 3 = 0)
 select t.file_id, t.path, coalesce(s.size, t.size) as size, case when t.review = '' and s.page_id is not null then s.review else t.review end as review, case when s.note <> '' then s.note else t.note end as note from t left join s using (page_id)
-union all select 'F' || lpad(cast(k + top as varchar), greatest(5, length(cast(k + top as varchar))), '0'), path, size, review, note from n""")
+union all select 'F' || lpad(cast(k + top as varchar), cast(greatest(5, length(cast(k + top as varchar))) as int), '0'), path, size, review, note from n""")
 def upsert_bucketed(spark, pages):
     """An inventory in hash buckets after an upsert by normalised paths: repeats settled by order, new ids, filled columns kept."""
     target = own_folder(spark, "inventory")
