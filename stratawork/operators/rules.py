@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratawork.functions.columns import extension, file_name
+from stratawork.operators.mail import let
 
 #: Synthetic defaults: family, extensions, skipped.
 FAMILIES = [
@@ -79,16 +80,20 @@ def doc_type(text: Column, hits: Column | None = None, rules=DOC_TYPES) -> Colum
     """struct<doc_type, subtype, confidence> of the first rule that a text and its keyword hits meet; empty if none."""
     low = F.concat_ws(" ", F.lower(F.coalesce(text, F.lit(""))), F.lower(F.coalesce(hits, F.lit(""))) if hits is not None else F.lit(""))
     named = lambda kind, sub, confidence: F.struct(F.lit(kind).alias("doc_type"), F.lit(sub).alias("subtype"), F.lit(confidence).alias("confidence"))
-    found = []
-    for kind, sub, confidence, groups in rules:
-        hit = F.lit(True)
-        for words in groups:
-            some = F.lit(False)
-            for w in words:
-                some = some | low.contains(w)
-            hit = hit & some
-        found.append(F.when(hit, named(kind, sub, confidence)))
-    return F.coalesce(*found, named("", "", ""))
+
+    def first(said: Column) -> Column:
+        found = []
+        for kind, sub, confidence, groups in rules:
+            hit = F.lit(True)
+            for words in groups:
+                some = F.lit(False)
+                for w in words:
+                    some = some | said.contains(w)
+                hit = hit & some
+            found.append(F.when(hit, named(kind, sub, confidence)))
+        return F.coalesce(*found, named("", "", ""))
+
+    return let(low, first)  # lower case once, not in each test
 
 
 def likely_text(family_: Column, sample: Column, extracted: Column) -> Column:
