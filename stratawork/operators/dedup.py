@@ -24,6 +24,16 @@ def groups(df: DataFrame, keys: list[str], winner: Column, labels: list[str]) ->
     return df.groupBy(*keys).agg(F.count("*").alias("n"), winner.alias("winner"), *(F.array_join(F.array_sort(F.collect_set(c)), ";").alias(f"{c}s") for c in labels)).filter("n > 1")
 
 
+def losers(df: DataFrame, keys: list[str], winner: Column, id_col: str) -> DataFrame:
+    """(keys, winner, loser): a row for each row that another of its keys beat, so no group is ever a list; null keys form no group.
+
+    Winners are one aggregate with partial sums; the join back is of keys
+    whose large partitions Spark splits.
+    """
+    best = df.groupBy(*keys).agg(winner.alias("winner"), F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    return df.join(best, keys).filter(F.col(id_col) != F.col("winner")).select(*keys, "winner", F.col(id_col).alias("loser"))
+
+
 def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
     return winners(df.withColumn("__key", key), ["__key"], [F.asc(ordinal)]).drop("__key")
 

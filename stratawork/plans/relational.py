@@ -43,6 +43,13 @@ def dedup_report(documents):
     return dedup.groups(d, ["content_key"], F.min("doc_id"), ["source"])
 
 
+@query("select content_key, winner, doc_id as loser from (select sha256(text) as content_key, doc_id, min(doc_id) over (partition by text) as winner from documents where text is not null) where doc_id <> winner")
+def dedup_losers(documents):
+    """Each document that a copy with a smaller id beat, and which."""
+    d = documents.select(F.sha2("text", 256).alias("content_key"), "doc_id")
+    return dedup.losers(d, ["content_key"], F.min("doc_id"), "doc_id")
+
+
 @query("select lower(p_name) as name_key, min(p_partkey) as p_partkey from part group by 1")
 def first_wins_distinct(part):
     return dedup.first_wins(part.select("p_name", "p_partkey"), F.lower("p_name"), "p_partkey").select(F.lower("p_name").alias("name_key"), "p_partkey")

@@ -442,3 +442,12 @@ def test_first_seen_drops_repeats(spark, tmp_path):
         stream = spark.readStream.schema("k string, t timestamp").parquet(str(tmp_path / "in" / "*"))
         run_to_end(first_seen(stream, "k", "t"), str(tmp_path / "out"), str(tmp_path / "c"))
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_losers_are_rows(spark):
+    """Every row but the winner of a key of two or more, repeats and a null key too."""
+    from stratawork.operators import dedup
+
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 2), ("b", 4), (None, 5), (None, 6), ("c", 8), ("c", 7)], "k string, id int")
+    assert sorted(map(tuple, dedup.losers(df, ["k"], F.min("id"), "id").collect())) == [("a", 1, 2), ("a", 1, 3), ("c", 7, 8)]
+    assert dedup.losers(df.limit(0), ["k"], F.min("id"), "id").count() == 0
