@@ -112,7 +112,7 @@ def write_file(uri: str, data: bytes) -> None:
 
 
 def read_file(uri: str) -> bytes:
-    if uri.startswith("file:"):
+    if uri.startswith("file:") or "://" not in uri:  # a plain path is this machine's own
         with open(local_path(uri), "rb") as f:
             return f.read()
     system, path = _remote(uri)
@@ -122,7 +122,7 @@ def read_file(uri: str) -> bytes:
 
 def open_reader(uri: str) -> io.BufferedIOBase:
     """A seekable reader."""
-    if uri.startswith("file:"):
+    if uri.startswith("file:") or "://" not in uri:  # a plain path is this machine's own
         return open(local_path(uri), "rb")
     system, path = _remote(uri)
     return system.open_input_file(path)
