@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratawork.plans import extras, inventory, messages, records, relational, timeline
+from stratawork.plans import extras, forum, inventory, messages, records, relational, timeline
 
-_MODULES = (relational, messages, inventory, timeline, extras, records)
+_MODULES = (relational, messages, inventory, timeline, extras, records, forum)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
