@@ -8,7 +8,7 @@ from stratawork.functions import columns as C
 from stratawork.operators import config, dedup, forms, joins, rollup, rules, search, transcript, upsert, windows
 from stratawork.plans.registry import registrar
 from stratawork.session import own_folder, read_table
-from stratawork.sources import readers, sinks, workbooks
+from stratawork.sources import paged, readers, sinks, workbooks
 
 QUERIES, query = registrar()
 
@@ -281,11 +281,26 @@ def copy_counts(spark, customer):
     return spark.createDataFrame([(n["copied"], n["skipped"], out.count())], "copied bigint, skipped bigint, total bigint")
 
 
-@query("select s_suppkey, s_name from supplier where s_suppkey % 2 = 1")
-def paged_rows(spark, supplier):
-    """A source that gives 1000 rows a request."""
-    rows = [tuple(r) for r in supplier.filter("s_suppkey % 2 = 1").select("s_suppkey", "s_name").orderBy("s_suppkey").collect()]  # a dimension table stands in for the remote source
-    return readers.read_paged(spark, lambda at, n: [{"s_suppkey": k, "s_name": v} for k, v in rows[at : at + n]], "s_suppkey bigint, s_name string", 100)
+@query("select o_orderkey, o_custkey, o_orderstatus from orders")
+def paged_rows(spark, orders):
+    """A whole table that is given 500 rows a request, read by a task for each ten requests."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    return paged.read_paged(spark, paged.served(spark, o, ["o_orderkey"]), o.schema.simpleString()[7:-1].replace(":", " "), 500, 10)
+
+
+@query("select c_custkey, c_name, case when 2 * c_custkey < (select max(c_custkey) from customer) then 1 else 2 end as crawl from customer")
+def paged_resumed(spark, customer):
+    """A paged source as a stream that stops half way, when the source had no more, and goes on from its checkpoint."""
+    root = own_folder(spark, "crawl")
+    top = customer.agg(F.max("c_custkey").alias("top"))
+    halves = customer.select("c_custkey", "c_name").join(F.broadcast(top), F.lit(True))  # one row
+    first = paged.served(spark, halves.filter("2 * c_custkey < top").drop("top"), ["c_custkey"])
+    second = paged.served(spark, halves.drop("top"), ["c_custkey"])
+    for crawl, fetch in ((1, first), (2, second)):
+        name = paged.paged_source(spark, "crawled", fetch, "c_custkey bigint, c_name string", 100, 5)
+        new = spark.readStream.format(name).load().withColumn("crawl", F.lit(crawl))
+        new.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
 
 
 @query("select distinct lower(p_brand) as name, list_aggregate(list_sort(list(p_partkey)), 'string_agg', ';') as paths from part group by 1")

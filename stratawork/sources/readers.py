@@ -135,37 +135,6 @@ def read_sample(spark: SparkSession, path: str, chars: int = 500) -> DataFrame:
     return raw.select("path", F.when(ok, F.left(whole, F.lit(chars))).otherwise("").alias("sample"), ok.alias("extracted"))
 
 
-def paged(fetch, size: int = 1000):
-    """Rows of a source that is read by (offset, limit), page after page until a short one."""
-    at = 0
-    while True:
-        page = fetch(at, size)
-        yield from page
-        if len(page) < size:
-            return
-        at += size
-
-
-def read_paged(spark: SparkSession, fetch, schema: str, size: int = 1000) -> DataFrame:
-    """A paged source as a frame: one task reads page after page and holds one at a time."""
-
-    def run(batches):
-        import pandas as pd
-
-        for b in batches:
-            for _ in range(len(b)):
-                held = []
-                for row in paged(fetch, size):
-                    held.append(row)
-                    if len(held) == size:
-                        yield pd.DataFrame(held)
-                        held = []
-                if held:
-                    yield pd.DataFrame(held)
-
-    return spark.range(1).mapInPandas(run, schema)
-
-
 def macro_names(source: Column) -> Column:
     """The distinct names of procedures and properties in a module's source, in the order of their first places."""
     return F.array_distinct(F.regexp_extract_all(F.coalesce(source, F.lit("")), F.lit(r"(?im)^\s*(?:Public |Private |Friend )?(?:Static )?(?:Sub|Function|Property (?:Get|Let|Set))\s+(\w+)"), 1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratawork.functions import columns as C
 from stratawork.functions import html as H
 from stratawork.operators import dedup, forms, joins, mail, rollup, rules, search, upsert, windows
-from stratawork.sources import readers, sinks
+from stratawork.sources import paged, readers, sinks
 
 
 def one(spark, c, value, kind="string"):
@@ -231,7 +231,7 @@ def test_paging_ends_at_a_short_page():
         asked.append(at)
         return list(range(at, min(at + n, 25)))
 
-    assert list(readers.paged(fetch, 10)) == list(range(25)) and asked == [0, 10, 20]
+    assert list(paged.paged(fetch, 10)) == list(range(25)) and asked == [0, 10, 20]
 
 
 def test_scan_requests(spark):
