@@ -96,9 +96,12 @@ def triage_band(documents):
     return d.select("doc_id", "score", "band", rules.next_step(F.col("band"), F.col("ocr")).alias("next_step"), "reasons")
 
 
-@query("""select doc_id, min(doc_id) over () as first_blank from documents where doc_id < (select coalesce(min(doc_id), 9223372036854775807) from documents where doc_id % 97 = 96) and doc_id % 3 <> 0""")
+@query("""select doc_id, min(doc_id) over () as first_blank from documents where doc_id < (select coalesce(min(doc_id), 9223372036854775807) from documents where doc_id % 97 = 96 and 2 * doc_id > (select max(doc_id) from documents)) and doc_id % 3 <> 0""")
 def stage_gate(documents):
-    stop = documents.agg(F.coalesce(F.min(F.when(F.col("doc_id") % 97 == 96, F.col("doc_id"))), F.lit(2**63 - 1)).alias("stop"))
+    """A blank cell in the second half of the table ends the stage."""
+    top = F.broadcast(documents.agg(F.max("doc_id").alias("top")))  # one row, as below
+    blank = documents.select("doc_id").crossJoin(top).filter("doc_id % 97 = 96 and 2 * doc_id > top")
+    stop = blank.agg(F.coalesce(F.min("doc_id"), F.lit(2**63 - 1)).alias("stop"))
     d = documents.select("doc_id").crossJoin(F.broadcast(stop)).filter("doc_id < stop and doc_id % 3 <> 0").select("doc_id")
     return d.crossJoin(F.broadcast(d.agg(F.min("doc_id").alias("first_blank"))))
 
@@ -131,7 +134,7 @@ _CODE = f"""(select doc_id, m, concat(case when c1 = '' then 'E' when c1 = m the
 @query(f"select doc_id, m as majority, code, case when not contains(code, 'N') and not contains(code, 'E') then 'ALL_MATCH' when not contains(code, 'N') then 'MATCH (some empty)' when length(replace(replace(code, 'N', ''), 'E', '')) <= 1 then 'NONE_MATCH' else 'PARTIAL' end as flag from {_CODE}")
 def majority_vote(documents):
     c = ["c1", "c2", "c3", "c4"]
-    d = _compared(documents).select("doc_id", profile.majority(c).alias("majority"), profile.code(c).alias("code"))
+    d = _compared(documents).select("doc_id", profile.voted(c).alias("v")).select("doc_id", "v.majority", "v.code")
     return d.withColumn("flag", profile.flag(F.col("code")))
 
 

@@ -105,29 +105,29 @@ def page_lines(conversations):
 
 
 _WORDS = """(select event_id, user_id, event_type, coalesce(name, 'Unknown') as speaker, event_id * 1000 as s, event_id * 1000 + 400 as e, case when value <= 20 then '[inaudible]' when value <= 50 then '[phonetic: ' || event_type || ']' else event_type end as w, value, event_id % 11 = 0 as over
-from events left join (select n_nationkey, min(n_name) as name from nation where n_nationkey % 2 = 0 group by 1) on n_nationkey = user_id % 10)"""
+from events left join (select n_nationkey, min(n_name) as name from nation where n_nationkey % 2 = 0 group by 1) on n_nationkey = event_id % 10)"""
 
 
 def _words(events, nation):
     labels = nation.filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("label"), F.col("n_name").alias("speaker"))
-    e = events.select("event_id", "user_id", "event_type", (F.col("user_id") % 10).alias("label"), (F.col("event_id") * 1000).alias("s"), (F.col("event_id") * 1000 + 400).alias("e"), (F.col("value") / 100).alias("confidence"), (F.col("event_id") % 11 == 0).alias("over"))
+    e = events.select("event_id", "user_id", "event_type", (F.col("event_id") % 10).alias("label"), (F.col("event_id") * 1000).alias("s"), (F.col("event_id") * 1000 + 400).alias("e"), (F.col("value") / 100).alias("confidence"), (F.col("event_id") % 11 == 0).alias("over"))
     return transcript.named(e, "label", labels).withColumn("w", transcript.marked_word(F.col("event_type"), F.col("confidence")))
 
 
-@query(f"""with w as (select *, user_id % 7 as rec from {_WORDS}), p as (select *, lag(speaker) over (partition by rec order by event_id) as ps, lag(e) over (partition by rec order by event_id) as pe from w),
+@query(f"""with w as (select *, user_id as rec from {_WORDS}), p as (select *, lag(speaker) over (partition by rec order by event_id) as ps, lag(e) over (partition by rec order by event_id) as pe from w),
 r as (select *, case when ps is null then 'start' when ps <> speaker then 'speaker' when s - pe >= 9000 then 'pause' end as reason from p), b as (select *, sum(case when reason is not null then 1 else 0 end) over (partition by rec order by event_id) as block from r),
 t as (select rec, block, arg_min(speaker, event_id) as speaker, min(s) as started, arg_min(coalesce(reason, ''), event_id) as reason, string_agg(w, ' ' order by event_id) as said, bool_or(over) as over from b group by 1, 2)
 select rec, block, speaker, started, reason, case when over then '[crosstalk] ' else '' end || said || case when lead(reason) over (partition by rec order by block) = 'pause' and lead(speaker) over (partition by rec order by block) = speaker then ' [pause]' else '' end as text from t""")
 def transcript_blocks(events, nation):
     """Turns of a recording with its pauses: words looked up to speakers, marked, cut at changes and gaps."""
-    w = _words(events, nation).withColumn("rec", F.col("user_id") % 7)
+    w = _words(events, nation).withColumnRenamed("user_id", "rec")
     return transcript.blocks(w, "rec", "event_id", "speaker", "s", "e", "w", "over", 9000)
 
 
-@query(f"""select user_id % 7 as rec, array_to_string(list_sort(list(distinct speaker) filter (where speaker <> 'Unknown')), ';') as identified, count(distinct user_id % 10) filter (where speaker = 'Unknown') as unknown, count(*) as n_words, round((max(event_id) * 1000 + 400) / 1000.0, 3) as duration from {_WORDS} group by 1""")
+@query(f"""select user_id as rec, array_to_string(list_sort(list(distinct speaker) filter (where speaker <> 'Unknown')), ';') as identified, count(distinct event_id % 10) filter (where speaker = 'Unknown') as unknown, count(*) as n_words, round((max(event_id) * 1000 + 400) / 1000.0, 3) as duration from {_WORDS} group by 1""")
 def transcript_documents(events, nation):
     """The JSON document of each recording, read back."""
-    w = _words(events, nation).withColumn("rec", F.col("user_id") % 7)
+    w = _words(events, nation).withColumnRenamed("user_id", "rec")
     d = transcript.documents(w, "rec", "event_id", "label", "speaker", "s", "e", "w", "confidence", "over")
     v = F.from_json("document", "duration_seconds double, speakers_identified array<string>, speakers_unknown bigint, words array<struct<word:string,start:double>>")
     return d.select("rec", v.alias("v")).select("rec", F.array_join("v.speakers_identified", ";").alias("identified"), F.col("v.speakers_unknown").alias("unknown"), F.size("v.words").alias("n_words"), F.col("v.duration_seconds").alias("duration"))
