@@ -4,22 +4,29 @@ from __future__ import annotations
 
 import io
 import itertools
+import json
 import re
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape, quoteattr
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from stratawork.functions.columns import map_headers, safe_text, typed_schema
 from stratawork.session import ship
+from stratawork.sources.sinks import checked_header
 
 #: Rows of a sheet and characters of a cell at most; limits of the format and of the sheets written here.
 SHEET_ROWS, CELL_CHARS = 1_048_576, 32_000
+#: Rows of a report in one book at most, and of each of many books.
+REPORT_ROWS, BOOK_ROWS = 4 * SHEET_ROWS, SHEET_ROWS - 1
 #: Headers that name a column of file types; fixed values.
 TYPE_HEADERS = ("extension", "ext", "file_type", "filetype", "type")
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -177,30 +184,46 @@ def _cell(ref: str, value) -> str:
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
 
 
-def write_workbook(tables: dict[str, DataFrame], path: str, cap: int = CELL_CHARS, none: str = "No issues found.", sheet_rows: int = SHEET_ROWS) -> dict[str, int]:
+def write_workbook(tables: dict[str, DataFrame], path: str, cap: int = CELL_CHARS, none: str = "No issues found.", sheet_rows: int = SHEET_ROWS, most: int = REPORT_ROWS) -> dict[str, int]:
     """Frames as the sheets of one workbook at any path that Spark writes; gives the rows of each sheet.
 
-    It is built in a file of the driver and moved when whole. Rows stream from one partition at a time. Text is capped, clean of control
+    A book is one file, built in a file of the driver and moved when whole, so
+    this is for reports: more than ``most`` rows raise, before any is moved,
+    and go by ``write_books``. Rows stream from one partition at a time. Text is capped, clean of control
     characters and stored as text, so it is never a formula; an empty frame
     says so in one cell; one with more rows than a sheet holds goes on in
     sheets named _2, _3. Widths are those of the first 200 rows.
     """
-    made: dict[str, int] = {}
     spark = next(iter(tables.values())).sparkSession
+    left = most
+
+    def rows_of(df):
+        nonlocal left
+        for r in df.select(*_safe(df, cap)).toLocalIterator():
+            if not left:
+                raise ValueError(f"more than {most} rows for one workbook: write_books writes many")
+            left -= 1
+            yield r
+
     with tempfile.TemporaryDirectory() as staging:
         local = f"{staging}/book.xlsx"
-        _build(local, tables, made, cap, none, sheet_rows)
+        with open(local, "wb") as f:
+            made = _fill(f, {name: (df.columns, rows_of(df)) for name, df in tables.items()}, none, sheet_rows)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         target = hadoop(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(False, True, hadoop(f"file://{local}"), target)
     return made
 
 
-def _build(local: str, tables: dict[str, DataFrame], made: dict[str, int], cap: int, none: str, sheet_rows: int) -> None:
-    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, df in tables.items():
-            cols = [safe_text(F.col(f"`{n}`"), cap).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
-            rows = df.select(*cols).toLocalIterator()
+def _safe(df: DataFrame, cap: int) -> list[Column]:
+    return [safe_text(F.col(f"`{n}`"), cap).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in df.dtypes]
+
+
+def _fill(f, tables: dict[str, tuple[list[str], Iterator]], none: str, sheet_rows: int) -> dict[str, int]:
+    """A workbook into an open file, which need not seek; each table is its columns and its rows. Gives the rows of each sheet."""
+    made: dict[str, int] = {}
+    with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, (columns, rows) in tables.items():
             first = next(rows, None)
             if first is None:
                 made[name] = 0
@@ -213,9 +236,9 @@ def _build(local: str, tables: dict[str, DataFrame], made: dict[str, int], cap:
                 title = name if part == 1 else f"{name}_{part}"
                 body = source.take(sheet_rows - 1)
                 head = list(itertools.islice(body, 200))
-                widths = [min(60, max(8, len(h), *(len(str(r[k] or "")) for r in head)) + 2) for k, h in enumerate(df.columns)]
+                widths = [min(60, max(8, len(h), *(len(str(r[k] or "")) for r in head)) + 2) for k, h in enumerate(columns)]
                 made[title] = 0
-                _sheet(z, len(made), itertools.chain([list(df.columns)], head, body), widths)
+                _sheet(z, len(made), itertools.chain([list(columns)], head, body), widths)
                 made[title] = source.taken
         titles = list(made)
         types = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(titles) + 1))
@@ -226,6 +249,7 @@ def _build(local: str, tables: dict[str, DataFrame], made: dict[str, int], cap:
         z.writestr("xl/_rels/workbook.xml.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{links}</Relationships>')
         names = "".join(f'<sheet name={quoteattr(_title(t))} sheetId="{i}" r:id="rId{i}"/>' for i, t in enumerate(titles, 1))
         z.writestr("xl/workbook.xml", f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>')
+    return made
 
 
 def _title(name: str) -> str:
@@ -257,3 +281,106 @@ def _sheet(z: zipfile.ZipFile, number: int, rows, widths: list[int] = ()) -> Non
         for n, row in enumerate(rows, 1):
             f.write(f'<row r="{n}">{"".join(_cell(f"{_column(k)}{n}", v) for k, v in enumerate(row))}</row>'.encode())
         f.write(b"</sheetData></worksheet>")
+
+
+MANIFEST = "_books.json"
+
+
+def _files(uri: str):
+    """The file system of a folder as pyarrow's client knows it, and the folder in it."""
+    from pyarrow import fs
+
+    scheme, rest = uri.split(":", 1)
+    return fs.FileSystem.from_uri("file:///" + rest.lstrip("/") if scheme == "file" else f"{scheme.replace('s3a', 's3')}:{rest}")
+
+
+@dataclass
+class _Books(WriterCommitMessage):
+    """What a task wrote: (number, hidden name, rows) of its books."""
+
+    books: list
+
+
+class _BookWriter(DataSourceWriter):
+    """Tasks write whole books under hidden names of their attempts; the commit names those that won and lists them with their rows, the abort removes all."""
+
+    def __init__(self, uri: str, columns: list[str], title: str, sheet_rows: int):
+        self.uri, self.columns, self.title, self.sheet_rows, self.run = uri, columns, title, sheet_rows, uuid.uuid4().hex
+
+    def write(self, iterator):
+        files, root = _files(self.uri)
+        files.create_dir(root)
+        books, attempt = [], uuid.uuid4().hex
+        for number, rows in itertools.groupby(iterator, lambda r: r[0]):
+            name = f".{self.run}-{number}-{attempt}"
+            with files.open_output_stream(f"{root}/{name}") as f:
+                made = _fill(f, {self.title: (self.columns, (r[2:] for r in rows))}, "", self.sheet_rows)
+            books.append((number, name, sum(made.values())))
+        return _Books(books)
+
+    def commit(self, messages):
+        files, root = _files(self.uri)
+        files.create_dir(root)
+        listed = _listed(files, root)
+        for number, name, rows in sorted(b for m in messages if m is not None for b in m.books):
+            final = f"book-{number:06d}.xlsx"
+            files.move(f"{root}/{name}", f"{root}/{final}")
+            listed.append([final, rows])
+        with files.open_output_stream(f"{root}/.{self.run}") as f:
+            f.write(json.dumps({"header": self.columns, "books": listed}).encode())
+        files.move(f"{root}/.{self.run}", f"{root}/{MANIFEST}")
+        self.abort(messages)  # attempts that lost
+
+    def abort(self, messages):
+        from pyarrow import fs
+
+        files, root = _files(self.uri)
+        for f in files.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if f.base_name.startswith(f".{self.run}"):
+                files.delete_file(f.path)
+
+
+def _manifest(files, root: str) -> dict:
+    try:
+        with files.open_input_stream(f"{root}/{MANIFEST}") as f:
+            return json.loads(f.read())
+    except FileNotFoundError:
+        return {"header": None, "books": []}
+
+
+def _listed(files, root: str) -> list:
+    return _manifest(files, root)["books"]
+
+
+def write_books(df: DataFrame, path: str, order: list[str], rows: int = BOOK_ROWS, title: str = "rows", cap: int = CELL_CHARS, sheet_rows: int = SHEET_ROWS) -> list[tuple[str, int]]:
+    """``df`` in order as workbooks of ``rows`` rows in a folder, each written by a task straight into it; gives the folder's books and their rows.
+
+    A folder that has books gets more, after those that are there; one of
+    other columns raises before any is written. Only listed books count: a
+    load that fails lists none and leaves none. Without rows no book is
+    written. Text is as in ``write_workbook``.
+    """
+    from stratawork.operators.windows import rollover
+
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    there = _manifest(*_files(uri))
+    if there["header"] is not None:
+        checked_header(there["header"], df.columns, path)
+    writer, before = _BookWriter(uri, df.columns, title, sheet_rows), len(there["books"])
+
+    class Sink(DataSource):
+        @classmethod
+        def name(cls):
+            return "workbooks"
+
+        def writer(self, schema, overwrite):
+            return writer
+
+    ship(spark)
+    spark.dataSource.register(Sink)
+    placed = rollover(df.select(*_safe(df, cap)), order, rows)
+    books = placed.select((F.col("tab") + before).alias("__book"), F.col("row_in_tab").alias("__row"), *(F.col(f"`{c}`") for c in df.columns))
+    books.repartition("__book").sortWithinPartitions("__book", "__row").write.format("workbooks").mode("append").save()
+    return [tuple(b) for b in _listed(*_files(uri))]
