@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,6 +210,80 @@ class _WalkReader(DataSourceReader):
                 stack += [e.path for e in dirs]
 
 
+def _entries(d: str, links: bool, deep: int, bound: int):
+    """The rows of a directory as ``walk`` has them, and rows of kind open for what is to be walked below it."""
+    real, files, subdirs = os.path.realpath(d), 0, 0
+    head = (d, real, os.path.dirname(d), os.path.basename(d), None, None, deep)
+    try:
+        with os.scandir(d) as found:
+            for e in found:
+                if e.is_symlink() and not links:
+                    continue
+                if e.is_dir(follow_symlinks=links):
+                    subdirs += 1
+                    if deep < bound:
+                        yield ("open", e.path, os.path.realpath(e.path), d, e.name, None, None, deep + 1, None, None, None)
+                elif e.is_file(follow_symlinks=links):
+                    files += 1
+                    s = e.stat(follow_symlinks=links)
+                    yield ("file", e.path, os.path.realpath(e.path), d, e.name, s.st_size, s.st_mtime, deep, None, None, None)
+    except OSError as e:
+        yield ("error", *head, None, None, type(e).__name__)
+        return
+    yield ("dir", *head, files, subdirs, None)
+
+
+def walk_levels(spark: SparkSession, roots: list[str], depth: int = 1_000_000, links: bool = False, tasks: int | None = None) -> DataFrame:
+    """The rows of ``walk`` below several roots, level by level: the directories of a level are dealt to all tasks anew, so a deep or lopsided root is read by many.
+
+    A level's directories that were walked before, by any root or link, are
+    taken out by a join with those of the levels above, so roots within one
+    another are walked once and cycles of links end; of several paths to a new
+    directory the smallest is walked. The driver sees levels alone. Roots that
+    are missing are rows of kind error; no roots give no rows.
+    """
+    import pyarrow as pa
+
+    kinds = [pa.string()] * 5 + [pa.int64(), pa.float64()] + [pa.int32()] * 3 + [pa.string()]
+    columns = WalkSource(options={}).schema()
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def opened(batches):
+        for b in batches:
+            held = []
+            for d, deep in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for row in _entries(d, links, deep, depth):
+                    held.append(row)
+                    if len(held) == 10_000:
+                        yield batch(held)
+                        held = []
+            if held:
+                yield batch(held)
+
+    ship(spark)
+    target, level = own_folder(spark, "walk"), 0
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @F.pandas_udf("string")
+    def real_path(paths: pd.Series) -> pd.Series:
+        return paths.map(os.path.realpath)
+
+    start = spark.createDataFrame([(os.path.normpath(r),) for r in roots], "path string")
+    frontier = start.groupBy(real_path("path").alias("real")).agg(F.min("path").alias("path")).select("path", F.lit(0).alias("depth"))
+    while True:
+        frontier.repartition(n, "path").mapInArrow(opened, columns).write.parquet(f"{target}/level={level:06d}")
+        rows = spark.read.schema(columns).parquet(target)
+        new = spark.read.schema(columns).parquet(f"{target}/level={level:06d}").filter("kind = 'open'").groupBy("real").agg(F.min_by(F.struct("path", "depth"), "path").alias("x"))
+        seen = rows.filter("kind in ('dir', 'error')").select("real").distinct()
+        frontier = new.join(seen, "real", "left_anti").select("x.path", "x.depth")
+        level += 1
+        if frontier.isEmpty():
+            return rows.filter("kind <> 'open'")
+
+
 def shallow_stats(walk: DataFrame, left_out: list[str] = ()) -> DataFrame:
     """(path, subdirs, files, size) of each directory of a walk, files with an extension of ``left_out`` not counted."""
     own = walk.filter("kind = 'file'").filter(~extension(F.col("name")).isin(list(left_out)))
