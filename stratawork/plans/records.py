@@ -282,11 +282,11 @@ def copy_counts(spark, customer):
     return spark.createDataFrame([(n["copied"], n["skipped"], out.count())], "copied bigint, skipped bigint, total bigint")
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus from orders")
-def paged_rows(spark, orders):
-    """A whole table that is given 500 rows a request, read by a task for each ten requests."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    return paged.read_paged(spark, paged.served(spark, o, ["o_orderkey"]), o.schema.simpleString()[7:-1].replace(":", " "), 500, 10)
+@query("select doc_id, source, md5(text) as digest from documents")
+def paged_rows(spark, documents):
+    """Whole documents that are given 100 a request, read by a task for each ten requests."""
+    served = paged.served(spark, documents.select("doc_id", "source", "text"), ["doc_id"], 1000)
+    return paged.read_paged(spark, served, "doc_id bigint, source string, text string", 100, 10).select("doc_id", "source", F.md5("text").alias("digest"))
 
 
 @query("select c_custkey, c_name, case when 2 * c_custkey < (select max(c_custkey) from customer) then 1 else 2 end as crawl from customer")
