@@ -127,9 +127,12 @@ def dyadic(first: Column, last: Column) -> Column:
     return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(last - first + 1, F.lit(1)))).cast("int") + 1), at)), lambda x: x.isNotNull())
 
 
-def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width: float, within: list[str] = ()) -> DataFrame:
+def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width: float, within: list[str] = (), empty: bool = False) -> DataFrame:
     """Pairs (key, key2) of intervals that overlap and differ in ``other``; ends are open.
 
+    An interval that does not end after it starts has no pairs; with ``empty`` it
+    has those that start before its end and end after its start, and so hold it.
+
     Of two that overlap, the one that starts later starts inside the other.
     Time is cut into cells of ``width``; an interval becomes the few dyadic
     runs of cells that it is made of, as many as the logarithm of its length,
@@ -137,8 +140,8 @@ def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width
     joined, and as the runs of an interval do not overlap, a pair is found once.
     """
     cell = lambda c: F.floor(F.col(c) / width).cast("bigint")
-    rows = df.filter(F.col(start) < F.col(end)).select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), F.col(other).alias("o"), cell(start).alias("c"), cell(end).alias("z"), *(F.col(c).alias(f"w{i}") for i, c in enumerate(within)))
-    x = rows.withColumn("x", F.explode(dyadic(F.col("c"), F.col("z")))).select(*rows.columns, "x.*")
+    rows = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull() if empty else F.col(start) < F.col(end)).select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), F.col(other).alias("o"), cell(start).alias("c"), cell(end).alias("z"), *(F.col(c).alias(f"w{i}") for i, c in enumerate(within)))
+    x = rows.filter("s < e").withColumn("x", F.explode(dyadic(F.col("c"), F.col("z")))).select(*rows.columns, "x.*")
     levels = [r[0] for r in x.select("level").distinct().collect()]  # 64 at most
     if not levels:
         return df.select(F.col(key), F.col(key).alias(f"{key}2")).limit(0)
@@ -148,7 +151,7 @@ def overlapping(df: DataFrame, key: str, start: str, end: str, other: str, width
     for i in range(len(within)):
         on = on & (F.col(f"x.w{i}") == F.col(f"y.w{i}"))
     later = (F.col("y.s") > F.col("x.s")) | ((F.col("y.s") == F.col("x.s")) & (F.col("y.k") > F.col("x.k")))
-    pairs = x.join(y, on & later & (F.col("y.s") < F.col("x.e"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).filter("a <> b")
+    pairs = x.join(y, on & later & (F.col("y.s") < F.col("x.e")) & (F.col("x.s") < F.col("y.e"))).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).filter("a <> b")
     return pairs.select(F.least("a", "b").alias(key), F.greatest("a", "b").alias(f"{key}2"))
 
 

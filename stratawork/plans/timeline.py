@@ -44,7 +44,7 @@ def _intervals(events):
 
 @query(f"select a.event_id, b.event_id as event_id2 from {_IV} a join {_IV} b on a.event_id < b.event_id and a.s < b.e and b.s < a.e and a.event_type <> b.event_type and a.user_id = b.user_id")
 def interval_overlap(events):
-    return joins.overlapping(_intervals(events), "event_id", "s", "e", "event_type", 3600.0, ["user_id"])
+    return joins.overlapping(_intervals(events), "event_id", "s", "e", "event_type", 3600.0, ["user_id"], empty=True)
 
 
 @query(f"""select o.event_id as oid, arg_max(i.event_id, i.s * 100000 + i.event_id / 100000.0) as last_id from (select event_id, user_id, s, s + 7200 as e from {_IV} where event_type = 'purchase') o join {_IV} i on i.user_id = o.user_id and i.s >= o.s and i.e <= o.e group by 1""")

@@ -89,6 +89,17 @@ def test_aliases_of_any_length(spark, few):
     assert joins.containment_join(t, "doc_id", "text", a, "alias", "e", few=few, size=0).count() == len(want)
 
 
+def test_intervals_without_length(spark):
+    """Points and intervals that end before they start, as the comparisons alone take them: brute force."""
+    r = random.Random(5)
+    rows = [(k, s := float(r.randrange(-60, 60)), s + r.choice([0.0, -4.0, 2.0, 9.0, 70.0]), r.randrange(3), r.randrange(2)) for k in range(200)] + [(300, None, 3.0, 0, 0), (301, 3.0, None, 0, 0)]
+    df = spark.createDataFrame(rows, "id bigint, s double, e double, o int, w int")
+    whole = [x for x in rows if None not in x]
+    want = sorted((a[0], b[0]) for a in whole for b in whole if a[0] < b[0] and a[1] < b[2] and b[1] < a[2] and a[3] != b[3] and a[4] == b[4])
+    assert any(rows[a][1] >= rows[a][2] or rows[b][1] >= rows[b][2] for a, b in want)
+    assert sorted(map(tuple, joins.overlapping(df, "id", "s", "e", "o", 1.0, ["w"], empty=True).collect())) == want
+
+
 def test_intervals_of_any_length(spark):
     """A year beside seconds, ends that touch, equal starts, negative times: brute force, with few rows an interval."""
     r = random.Random(4)

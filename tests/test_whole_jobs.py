@@ -85,3 +85,9 @@ def test_compared_bodies_are_whole(run):
     quoted = 40 + len("\n-----Original Message-----\nold")
     average = round((40 + 50 + quoted) / 3, 4)
     assert run("shortest_longest", documents=documents) == [("c1", 3, 1, 40.0), ("c2", 1, 3, average), ("c3", 2, 2, round(130 / 3, 4)), ("c4", 1, 3, average)]
+
+
+def test_interval_overlap(run):
+    """An event of value 0 has no length: it counts where another holds it, as in the SQL."""
+    events = "select * from (values (1, 5, 'view', timestamp '2024-01-01 00:00:00', 10.0::double), (2, 5, 'click', timestamp '2024-01-01 00:01:00', 0.0::double), (3, 5, 'buy', timestamp '2024-01-01 00:01:00', 0.0::double), (4, 5, 'buy', timestamp '2024-01-01 00:03:20', 0.0::double)) t(event_id, user_id, event_type, ts, value)"
+    assert run("interval_overlap", events=events) == [(1, 2), (1, 3)]
