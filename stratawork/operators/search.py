@@ -65,9 +65,10 @@ def prefix(idx: DataFrame, key: str, start: str) -> DataFrame:
     return idx.filter(F.col("token").startswith(folded(start))).groupBy(key).agg(F.count("*").alias("hits"))
 
 
-def index(df: DataFrame, key: str, *texts: str) -> DataFrame:
-    """(token, key, col, pos) of every token, case and marks folded; no stemming."""
-    parts = [df.select(key, F.lit(c).alias("col"), F.posexplode(tokens(F.translate(F.lower(F.col(c)), FOLD_FROM, FOLD_TO))).alias("pos", "token")) for c in texts]
+def index(df: DataFrame, key: str, *texts: str, marks: bool = True) -> DataFrame:
+    """(token, key, col, pos) of every token, case and, with ``marks``, marks folded; no stemming."""
+    plain = lambda c: F.translate(F.lower(c), FOLD_FROM, FOLD_TO) if marks else F.lower(c)
+    parts = [df.select(key, F.lit(c).alias("col"), F.posexplode(tokens(plain(F.col(c)))).alias("pos", "token")) for c in texts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

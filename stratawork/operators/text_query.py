@@ -106,7 +106,7 @@ _LEXEME = re.compile(r'"[^"]*"?|<(?:->|\d+>)|[()|&!]|[^\s()|&!"<>]+|<|>')
 _WORDS = re.compile(r"[^\W_]+")
 
 
-def parse(text: str, stop_words=frozenset(STOP_WORDS)) -> Query:
+def parse(text: str, stop_words=frozenset(STOP_WORDS), marks: bool = True) -> Query:
     """The tree of a query.
 
     ``&`` or nothing between two terms is AND, ``|`` OR, ``!`` or a leading
@@ -115,7 +115,7 @@ def parse(text: str, stop_words=frozenset(STOP_WORDS)) -> Query:
     marks inside (``W-9``) are phrases, ``word*`` or ``word:*`` a prefix. Stop
     words go, and keep their places in a phrase. Unbalanced parentheses,
     operators without a term and ``<->`` beside anything but words raise
-    ValueError.
+    ValueError. Words are folded as in an index with the same ``marks``.
     """
     q, at = Query(), 0
     lexemes = _LEXEME.findall(text)
@@ -132,7 +132,7 @@ def parse(text: str, stop_words=frozenset(STOP_WORDS)) -> Query:
 
     def leaf(term: str):
         prefix = not term.startswith('"') and re.search(r":?\*$", term) is not None
-        words = [folded(w) for w in _WORDS.findall(term)]
+        words = [folded(w) if marks else w.lower() for w in _WORDS.findall(term)]
         kept = [(k, w, prefix and k == len(words) - 1) for k, w in enumerate(words)]
         kept = [x for x in kept if x[2] or x[1] not in stop_words]
         if not kept:
@@ -199,7 +199,7 @@ def parse(text: str, stop_words=frozenset(STOP_WORDS)) -> Query:
     return q
 
 
-def matching(idx: DataFrame, key: str, query: str | Query, keys: DataFrame | None = None, stems: bool = True) -> DataFrame:
+def matching(idx: DataFrame, key: str, query: str | Query, keys: DataFrame | None = None, stems: bool = True, marks: bool = True) -> DataFrame:
     """The keys that a query finds in an index (token, ``key``, col, pos; with ``stems`` also stem, see ``stemmed``).
 
     Entries of the query's words are turned into the places where a leaf could
@@ -207,8 +207,9 @@ def matching(idx: DataFrame, key: str, query: str | Query, keys: DataFrame | Non
     and the tree is decided on the set of a key's leaves. A query that holds
     for a text without any of its words (NOT alone) is decided for all
     ``keys``, which it then needs. A query of stop words alone finds nothing.
+    ``marks`` is that of the index.
     """
-    q = parse(query) if isinstance(query, str) else query
+    q = parse(query, marks=marks) if isinstance(query, str) else query
     if q.tree is None:
         return idx.select(key).limit(0)
     asked = F.array(*(F.struct(F.lit(n).alias("leaf"), F.lit(k).alias("k"), F.lit(stem(w) if stems and not p else w).alias("w"), F.lit(p).alias("prefix")) for n, leaf in enumerate(q.leaves) for k, w, p in leaf))

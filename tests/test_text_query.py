@@ -50,6 +50,14 @@ def test_matching(spark):
     assert sorted(r[0] for r in plain.collect()) == sorted(k for k, t in rows if "rents" in (t or "").split())
 
 
+def test_words_with_marks(spark):
+    """Folded or told apart, in the index and the query alike."""
+    df = spark.createDataFrame([(1, "Élan paid"), (2, "elan paid")], "doc_id bigint, text string")
+    found = lambda q, marks: sorted(r[0] for r in text_query.matching(text_query.stemmed(search.index(df, "doc_id", "text", marks=marks)), "doc_id", q, df, marks=marks).collect())
+    assert found("élan", True) == found("elan", True) == [1, 2]
+    assert found("élan", False) == [1] and found("ELAN", False) == [2] and found("!élan & paid", False) == [2]
+
+
 @pytest.mark.parametrize("bad", ["(a1", "b1)", "x1 &", "| x1", "!", "x1 <-> (y1 | z1)", "& x1", "<-> x1"])
 def test_errors(bad):
     with pytest.raises(ValueError):

@@ -91,3 +91,10 @@ def test_interval_overlap(run):
     """An event of value 0 has no length: it counts where another holds it, as in the SQL."""
     events = "select * from (values (1, 5, 'view', timestamp '2024-01-01 00:00:00', 10.0::double), (2, 5, 'click', timestamp '2024-01-01 00:01:00', 0.0::double), (3, 5, 'buy', timestamp '2024-01-01 00:01:00', 0.0::double), (4, 5, 'buy', timestamp '2024-01-01 00:03:20', 0.0::double)) t(event_id, user_id, event_type, ts, value)"
     assert run("interval_overlap", events=events) == [(1, 2), (1, 3)]
+
+
+def test_fts_language(run):
+    """A word with marks is not the word without: only the first has a stem that is asked for."""
+    documents = "select * from (values (1, 'Tioned things under'), (2, 'tioné things under'), (3, 'tion thíngs under'), (4, 'THINGS')) t(doc_id, text)"
+    assert run("fts_language", documents=documents) == [(1,)]
+    assert run("fts_not", documents=documents.replace("'tion thíngs under'", "'cópyright thíngs'")) == [(3,)]
