@@ -16,8 +16,8 @@ from stratawork.llm.tokens import encoder
 
 #: Tokens of a sequence, and pieces that one task packs. A shard leaves at most about one poorly filled sequence.
 CAPACITY, SHARD_PIECES = 2048, 20_000
-#: Emptiest bins that two-for-one exchanges are sought with, and pieces of a bin in one.
-DONORS, WIDEST = 8, 64
+#: Limits of two-for-one exchanges: emptiest bins that they are sought with, and pieces of a bin in one; None is no limit.
+DONORS, WIDEST = None, None
 
 
 def pieces(df: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,16 +83,16 @@ def swap_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds
     """Moves, one-for-one and two-for-one exchanges between underfull bins until none helps.
 
     ``donors`` limits the two-for-one exchanges to so many of the emptiest
-    bins, ``widest`` to bins of so many pieces, ``rounds`` the passes; None is
-    no limit, and without limits the search ends where no exchange of these
-    kinds is left. The README has what the limits cost.
+    bins, ``widest`` to bins of so many pieces, ``rounds`` the passes; None,
+    the default, is no limit, and the search ends where no exchange of these
+    kinds is left.
 
     Takes the fullest underfull bin as receiver and the emptier ones as donors:
     a change that puts d more tokens into the receiver and takes d from a
     donor not fuller than it raises the sum of squared fills by
     2d(receiver - donor + d) > 0, so the search ends; emptied bins go. Donors'
-    pieces are found by length, so a round costs the pieces of the underfull
-    bins, not pairs of bins.
+    pieces are found by length and their pairs by sum, so a round costs the
+    pieces and pairs of the underfull bins, not pairs of bins.
     """
     full, work = [], []
     for items in bins:
@@ -102,24 +102,32 @@ def swap_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds
     for _ in itertools.count() if rounds is None else range(rounds):
         work = sorted((b for b in work if b.items), key=lambda b: (-b.fill, b.number))
         rank = {b.number: r for r, b in enumerate(work)}
-        where: dict[int, set[tuple[int, int]]] = defaultdict(set)  # length -> (rank of bin, piece)
-        for b in work:
+        least = max(0, len(work) - donors) if donors else 0
+        ones, twos = _Index(), _Index()  # the pieces and the pairs of the donors; those behind a receiver are never fuller, as donors only lose
+
+        def enter(b: _Bin, r: int, into: bool) -> None:
             for k in b.items:
-                where[lengths[k]].add((rank[b.number], k))
+                ones.change(lengths[k], (r, k), into)
+            if r >= least and not (widest and len(b.items) > widest):
+                for total, pair in _sums(b.items, lengths).items():
+                    twos.change(total, (r, *pair), into)
+
+        for r, b in enumerate(work):
+            enter(b, r, True)
         gained = False
         for r, b in enumerate(work):
-            while b.items and b.fill < capacity and (change := _change(b, r, work, where, lengths, capacity, donors, widest)):
-                out, back, donor = change
+            enter(b, r, False)
+            while b.items and b.fill < capacity and (change := _change(b, ones, twos, lengths, capacity, least, widest)):
+                out, back, at = change
+                donor = work[at]
+                enter(donor, at, False)
                 for k in out:
                     b.items.remove(k)
-                    where[lengths[k]].discard((r, k))
                     donor.items.append(k)
-                    where[lengths[k]].add((rank[donor.number], k))
                 for k in back:
                     donor.items.remove(k)
-                    where[lengths[k]].discard((rank[donor.number], k))
                     b.items.append(k)
-                    where[lengths[k]].add((r, k))
+                enter(donor, at, True)
                 d = sum(lengths[k] for k in back) - sum(lengths[k] for k in out)
                 b.fill, donor.fill, gained = b.fill + d, donor.fill - d, True
         if not gained:
@@ -127,42 +135,61 @@ def swap_search(bins: list[list[int]], lengths: list[int], capacity: int, rounds
     return [b.items for b in full + work if b.items]
 
 
-def _donor(n: int, r: int, where: dict, work: list[_Bin], least: int) -> tuple[int, int] | None:
-    """The emptiest donor behind rank r with a piece of n tokens and no more than ``least`` in all."""
-    found = [x for x in where.get(n, ()) if x[0] > r and work[x[0]].fill <= least]
-    return max(found, default=None)
+class _Index:
+    """Entries (rank of bin, pieces) by number of tokens; bit n of ``known`` is whether n has any."""
 
+    def __init__(self):
+        self.at: dict[int, list[tuple[int, ...]]] = defaultdict(list)
+        self.known = 0
 
-def _change(b: _Bin, r: int, work: list[_Bin], where: dict, lengths: list[int], capacity: int, donors: int | None, widest: int | None):
-    """The change that fills b most: a move, one piece against one or two, or two against one."""
-    room, best, gain = capacity - b.fill, None, 0
+    def change(self, n: int, entry: tuple[int, ...], into: bool) -> None:
+        found = self.at[n]
+        if into:
+            insort(found, entry)
+            self.known |= 1 << n
+        else:
+            del found[bisect_left(found, entry)]
+            if not found:
+                self.known ^= 1 << n
+
+
+def _sums(items: list[int], lengths: list[int]) -> dict[int, tuple[int, int]]:
+    """A pair of pieces for each sum that two of them have. Two of a length stand for all: a bin has few different lengths, about the root of twice its tokens at most."""
+    by_length: dict[int, list[int]] = {}
+    for k in items:
+        if len(same := by_length.setdefault(lengths[k], [])) < 2:
+            same.append(k)
+    few = [k for same in by_length.values() for k in same]
+    sums: dict[int, tuple[int, int]] = {}
+    for x, y in itertools.combinations(few, 2):
+        sums.setdefault(lengths[x] + lengths[y], (x, y))
+    return sums
+
+
+def _change(b: _Bin, ones: _Index, twos: _Index, lengths: list[int], capacity: int, least: int, widest: int | None) -> tuple[list[int], list[int], int] | None:
+    """The change (out, in, rank of the donor) that fills b most: a move, one piece against one or two, or two against one; of equal ones the simplest, from the emptiest donor."""
+    fits = (1 << (capacity - b.fill + 1)) - 2  # bits of the gains that there is room for
     own = sorted({lengths[k]: k for k in b.items}.items())
-    for d in range(room, 0, -1):  # a piece of d moves in, or x goes out for x + d
-        if found := _donor(d, r, where, work, b.fill):
-            best, gain = ([], [found[1]], work[found[0]]), d
-            break
-        for n, k in own:
-            if found := _donor(n + d, r, where, work, b.fill):
-                best, gain = ([k], [found[1]], work[found[0]]), d
-                break
-        if best:
-            break
-    if gain == room or (widest and len(b.items) > widest):
-        return best
-    for donor in work[max(r + 1, len(work) - donors) if donors else r + 1 :]:
-        if donor.fill > b.fill or not donor.items or (widest and len(donor.items) > widest):
-            continue
-        theirs = sorted({lengths[k]: k for k in donor.items}.items())
-        for sign, ones, twos in ((1, own, donor.items), (-1, theirs, b.items)):
-            sums: dict[int, tuple[int, int]] = {}
-            for i, x in enumerate(twos):
-                for y in twos[i + 1 :]:
-                    sums.setdefault(lengths[x] + lengths[y], (x, y))
-            for total, pair in sums.items():
-                for n, k in ones:
-                    d = sign * (total - n)
-                    if gain < d <= room:
-                        best, gain = (([k], list(pair), donor) if sign > 0 else (list(pair), [k], donor)), d
+    best, gain = None, 0
+
+    def seek(index: _Index, n: int, out: list[int], from_rank: int = 0) -> None:
+        nonlocal best, gain
+        hits = (index.known >> n) & fits
+        while (d := hits.bit_length() - 1) > gain:
+            at, *back = index.at[n + d][-1]
+            if at >= from_rank:
+                best, gain = (out, back, at), d
+                return
+            hits ^= 1 << d
+
+    seek(ones, 0, [])
+    for n, k in own:
+        seek(ones, n, [k])
+    for n, k in own:
+        seek(twos, n, [k], least)
+    if not (widest and len(b.items) > widest):
+        for total, pair in _sums(b.items, lengths).items():
+            seek(ones, total, list(pair), least)
     return best
 
 
@@ -174,7 +201,7 @@ def pack(df: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIEC
     decreasing and ``swap_search`` in one task: memory follows the shard, and
     equal or repeated rows cannot make one hot. Ties are broken by id and
     piece; repeated rows are packed each on its own. An empty input gives no
-    rows. ``donors`` and ``widest`` limit the search for exchanges, None lifts.
+    rows. ``donors`` and ``widest`` may limit the search for exchanges.
     """
     spark = df.sparkSession
     n = df.count()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 from array import array
@@ -146,6 +147,25 @@ def test_packing_is_near_the_optimum(seed):
         assert all(sum(lengths[k] for k in b) <= 20 for b in out)
 
 
+def test_no_exchange_is_left():
+    """By default exchanges are sought with all bins and in bins of any number of pieces: brute force finds none that helps."""
+    r = random.Random(8)
+    lengths = [r.choice((r.randint(300, 560), r.randint(1, 9))) for _ in range(900)]
+    bins = packing.swap_search(packing.best_fit(lengths, 1024), lengths, 1024)
+    assert sorted(k for b in bins for k in b) == list(range(900))
+    kinds = [{(lengths[k],) for k in b} | {(lengths[x], lengths[y]) for x, y in itertools.combinations(b, 2)} | {()} for b in bins]
+    fill = [sum(lengths[k] for k in b) for b in bins]
+    for i, j in itertools.permutations(range(len(bins)), 2):
+        if fill[j] <= fill[i] < 1024:
+            gains = {sum(y) - sum(x) for x in kinds[i] for y in kinds[j] if 0 < len(x) + len(y) < 4 and not (x == () and len(y) == 2)}
+            assert not any(0 < d <= 1024 - fill[i] for d in gains)
+    # 47 + 46 of the ninth emptiest bin fill the first up in place of 92
+    lengths = [92, 4, 47, 46] + [90] * 8
+    bins = [[0, 1], [2, 3], *([k] for k in range(4, 12))]
+    assert 97 not in {sum(lengths[k] for k in b) for b in packing.swap_search(bins, lengths, 97, donors=8, widest=64)}
+    assert 97 in {sum(lengths[k] for k in b) for b in packing.swap_search(bins, lengths, 97)}
+
+
 def test_repeated_rows_are_dealt_to_all_shards(spark, vocab):
     d = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
     rows = packing.pieces(d, vocab("word_bpe_49k.json"))
