@@ -56,6 +56,12 @@ def hashed_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, s array<bigint>")
 
 
+def sets_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """(id, s) of the documents with these ids; if ids are ``repeated``, each set of an id once."""
+    sets = hashed_sets(docs.join(ids, "id", "left_semi").select("id", "text"))
+    return sets.dropDuplicates(["id", "s"]) if repeated else sets
+
+
 def _apart(n: Column, m: Column) -> Column:
     """Shingles that are in one only of two linked sets of n and m, at most."""
     return F.floor((n + m) / 7)
@@ -86,7 +92,7 @@ def _ne(size: str) -> Column:
     return F.col(size).bitwiseAND(F.lit((1 << 32) - 1))
 
 
-def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None) -> DataFrame:
+def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None, repeated: bool = True) -> DataFrame:
     """Links (a, b) of the class representatives ``reps`` (id, n, bands) whose components are those of all links."""
     band = F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int").alias("band")
     rows = reps.select("id", "n", F.explode("bands.keys").alias("keys"))
@@ -132,23 +138,23 @@ def links(scratch: Scratch, docs: DataFrame, reps: DataFrame, joined: int | None
     scratch.sweep()
     # then its nearest candidate for each document, and the others only where that left two components
     best = candidates.groupBy("b").agg(F.max(F.struct("eq", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-    verified = scratch.table("links", verify(scratch, docs, scratch.table("best", best), "sets"))
+    verified = scratch.table("links", verify(scratch, docs, scratch.table("best", best), "sets", repeated))
     comp = components(scratch, verified, "near")
     pairs = None
     if open_.limit(1).count():
         ids = scratch.table("open-ids", open_.select("id").distinct())
         bits = scratch.table("open-reps", reps.join(if_small(ids)[0], "id", "left_semi"))
-        prefix = prefixes(scratch, docs, ids)
+        prefix = prefixes(scratch, docs, ids, repeated)
         held = busy(scratch, prefix, comp, "busy1").filter(F.col("c") > HOT)
         first = scratch.table("firsts", held.groupBy("t").agg(F.min(F.struct("id", "n", "component")).alias("x")))
         led = held.join(first, "t").filter((F.col("x.component") != F.col("component")) & _sized(F.col("n"), F.col("x.n")))
         led = scratch.table("led", near(bits, led.select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b")).distinct()))
-        verified = verified.union(scratch.table("links1", verify(scratch, docs, led, "sets1")))
+        verified = verified.union(scratch.table("links1", verify(scratch, docs, led, "sets1", repeated)))
         comp = components(scratch, verified, "nearer")
         pairs = near(bits, late(scratch, bits, prefix, comp))
     rest = apart(candidates.select("a", "b"), comp)
     rest = scratch.table("rest", rest.union(pairs).distinct() if pairs is not None else rest)
-    verified = verified.union(scratch.table("links2", verify(scratch, docs, rest, "sets2")))
+    verified = verified.union(scratch.table("links2", verify(scratch, docs, rest, "sets2", repeated)))
     scratch.drop("candidates", "best", "led", "rest", "open", "open-ids", "open-reps", "open-sets", "prefixes", "firsts", *(f"busy{k}{e}" for k in (1, 2) for e in ("", "-rows", "-held")), *(f"{k}{e}" for k in ("sets", "sets1", "sets2") for e in ("", "-ends")))
     return verified
 
@@ -175,27 +181,29 @@ def near(reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return kept.groupBy("a", "b").agg(*(F.max(c).alias(c) for c in rest)) if rest else kept.select("a", "b").distinct()
 
 
-def verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """The pairs whose sets have 100 * intersection >= 75 * union, counted exactly on the whole sets."""
+def verify(scratch: Scratch, docs: DataFrame, pairs: DataFrame, name: str, repeated: bool = True) -> DataFrame:
+    """The pairs whose sets have 100 * intersection >= 75 * union, counted exactly on the whole sets, each set of an id once."""
     ends, _ = if_small(scratch.table(f"{name}-ends", pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
-    sets = scratch.table(name, hashed_sets(docs.join(ends, "id", "left_semi").select("id", "text")))
+    sets = scratch.table(name, sets_of(docs, ends, repeated))
     out = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")).join(pairs, "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     out = out.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).alias("t"))
     return out.filter(100 * F.col("i") >= 75 * (F.col("t") - F.col("i"))).select("a", "b")
 
 
-def prefixes(scratch: Scratch, docs: DataFrame, open_: DataFrame) -> DataFrame:
+def prefixes(scratch: Scratch, docs: DataFrame, open_: DataFrame, repeated: bool = True) -> DataFrame:
     """(t, id, n): of each open document (id) the shingles t by which prefix filtering finds all that it links with among them.
 
     Their shingles are put in one order, those first that fewest of them hold.
-    Two linked sets share one of the first n - ceil(0.75 n) + 1 of each.
+    Two linked sets share one of the first n - ceil(0.75 n) + 1 of each; every
+    set of a repeated id has its own.
     """
     ends, _ = if_small(open_)
-    sets = scratch.table("open-sets", hashed_sets(docs.join(ends, "id", "left_semi").select("id", "text")))
-    each = sets.select("id", F.size("s").cast("bigint").alias("n"), F.explode("s").alias("t"))
+    sets = scratch.table("open-sets", sets_of(docs, ends, repeated))
+    own = [F.xxhash64("s").alias("h")] if repeated else []
+    each = sets.select("id", F.size("s").cast("bigint").alias("n"), *own, F.explode("s").alias("t"))
     often = each.groupBy("t").agg(F.count("*").alias("f"))
-    ranked = each.join(often, "t").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("r"))  # a document's own shingles
+    ranked = each.join(often, "t").groupBy("id", "n", *(["h"] if repeated else [])).agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("r"))  # a document's own shingles
     prefix = ranked.select("id", "n", F.explode(F.slice("r", 1, (F.col("n") - F.ceil(F.col("n") * 3 / 4) + 1).cast("int"))).alias("x")).filter("x.f > 1")
     return scratch.table("prefixes", prefix.select(F.col("x.t").alias("t"), "id", "n").distinct())
 
@@ -288,7 +296,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     reps = scratch.table("reps", reps.select("id", "n", "bands"))
     scratch.drop("sketches")
     scratch.sweep()
-    found = links(scratch, docs, reps, joined)
+    repeated = not own.filter("n > 0 and id is not null").groupBy("id").count().filter("count > 1").isEmpty()
+    found = links(scratch, docs, reps, joined, repeated)
     comp = components(scratch, found, "all")
     reached = scratch.table("reached", classes.join(comp, classes["rep"] == comp["id"], "left").select("n", "k1", "k2", F.coalesce("component", "rep").alias("component_id")))
     scratch.drop("classes", "reps", "links", "links1", "links2")
