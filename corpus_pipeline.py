@@ -35,10 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     comp = jaccard_join.jaccard_components(docs)
     gone = Scratch(spark, "copies").table("gone", comp.filter("component_id <> doc_id").select("doc_id").distinct())
     out = docs.join(if_small(gone)[0], "doc_id", "left_anti")  # few enough ids go to the texts, not the texts to them
-    row = [F.xxhash64("text"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))]
-    best = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.struct(row[0].alias("h"), row[1].alias("g"))).alias("b")).filter("n > 1")
-    best = Scratch(spark, "repeats").table("best", best.select("doc_id", "b.h", "b.g"))
-    if not best.isEmpty():
+    repeats = Scratch(spark, "repeats")
+    again = repeats.table("again", docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))  # reads ids alone
+    if not again.isEmpty():
+        # hashed before they are sorted: the least of structs is found by sorting rows, and rows with whole texts need not fit
+        hashes = docs.select("doc_id", F.struct(F.xxhash64("text").alias("h"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("g")).alias("b"))
+        best = repeats.table("best", hashes.join(if_small(again)[0], "doc_id").groupBy("doc_id").agg(F.min("b").alias("b")).select("doc_id", "b.h", "b.g"))
         b = if_small(best)[0].alias("b")
         once = out.alias("d").join(b, F.col("d.doc_id") == F.col("b.doc_id"), "left_anti")
         kept = out.alias("d").join(b, (F.col("d.doc_id") == F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.h")) & (F.xxhash64(*(F.col(f"d.`{c}`") for c in docs.columns)) == F.col("b.g")), "left_semi")

@@ -14,6 +14,8 @@ from stratawork.session import delete, own_folder, ship
 
 #: Rows and bytes of one Arrow batch; they bound a Python worker's memory, and smaller settings of the session are kept.
 ROWS_A_BATCH, BYTES_A_BATCH = 512, 8 << 20
+#: Bytes of one row group of a scratch table: each task that writes holds one in memory, and one that reads holds its columns.
+ROW_GROUP = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -46,7 +48,7 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(self.path(name))
+        df.write.option("parquet.block.size", str(ROW_GROUP)).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def sweep(self) -> None:
